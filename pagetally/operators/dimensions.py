@@ -32,7 +32,7 @@ def fits_broadcast(dim: DataFrame) -> bool:
     jconf = spark._jsparkSession.sessionState().conf()
     limit = jconf.autoBroadcastJoinThreshold()
     size = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return limit >= 0 and int(size.toString()) <= limit
+    return limit >= 0 and int(str(size)) <= limit
 
 
 def lookup(visits: DataFrame, dim: DataFrame, visit_key: str, dim_key: str) -> DataFrame:

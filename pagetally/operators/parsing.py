@@ -56,14 +56,11 @@ def rejected_lines(lines: DataFrame, honor_offset: bool = False) -> DataFrame:
     `no_record`: not a log line. `bad_date`: a log line without a valid date. Log lines
     with another status than 200 are valid records and not listed.
     """
-    date_time = F.regexp_extract("value", P.LOG_LINE, 4)
-    checked = C.once(
-        lines.select("value"),
-        "reason",
-        F.when(date_time == "", "no_record").when(
-            C.event_time(date_time, honor_offset).isNull(), "bad_date"
-        ),
-    )
+    found = F.coalesce(F.regexp_extract("value", P.LOG_LINE, 4), F.lit(""))
+    dated = C.once(lines.select("value"), "_date_time", found)
+    no_date = C.event_time(F.col("_date_time"), honor_offset).isNull()
+    reason = F.when(F.col("_date_time") == "", "no_record").when(no_date, "bad_date")
+    checked = C.once(dated, "reason", reason).drop("_date_time")
     return checked.where(F.col("reason").isNotNull())
 
 
