@@ -39,12 +39,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _log_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return lines.spread(_table(spark, sf_dir, name).select(*columns))
+
+
+_EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+_ITEM_COLUMNS = (
+    "l_suppkey",
+    "l_partkey",
+    "l_linenumber",
+    "l_extendedprice",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+)
+
+
 def _forum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.forum_lines(_table(spark, sf_dir, "events"))
+    return derived.forum_lines(_log_table(spark, sf_dir, "events", *_EVENT_COLUMNS))
+
+
+def _shop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived.shop_lines(_log_table(spark, sf_dir, "lineitem", *_ITEM_COLUMNS))
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prose = derived.prose_lines(_table(spark, sf_dir, "documents"))
+    prose = derived.prose_lines(_log_table(spark, sf_dir, "documents", "text"))
     return _forum(spark, sf_dir).union(prose)
 
 
@@ -212,13 +232,13 @@ def hot_article(spark, sf_dir):
 @query
 def hot_article_shop(spark, sf_dir):
     """The article report with n = 3 over the largest table, one line per item."""
-    shop = derived.shop_lines(_table(spark, sf_dir, "lineitem"))
-    return reports.hot_article(shop, _articles(spark, sf_dir), JobConfig(top_n=3))
+    cfg = JobConfig(top_n=3)
+    return reports.hot_article(_shop(spark, sf_dir), _articles(spark, sf_dir), cfg)
 
 
 @query
 def client_access_shop(spark, sf_dir):
-    return reports.client_access(derived.shop_lines(_table(spark, sf_dir, "lineitem")))
+    return reports.client_access(_shop(spark, sf_dir))
 
 
 @query

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import once
+
 
 def _address(key: str) -> str:
     """Client address that encodes the low 24 bits of a numeric key."""
@@ -38,6 +40,10 @@ end
 """
 
 
+def _lines(table: DataFrame, expr: str) -> DataFrame:
+    return once(table, "_line", F.expr(expr)).select(F.col("_line").alias("value"))
+
+
 def forum_lines(events: DataFrame) -> DataFrame:
     """One line per event; works on a batch or a stream of events."""
     keyed = events.select(
@@ -48,7 +54,7 @@ def forum_lines(events: DataFrame) -> DataFrame:
         "ts",
         F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),
     )
-    return keyed.select(F.expr(_FORUM_LINE).alias("value"))
+    return _lines(keyed, _FORUM_LINE)
 
 
 def shop_lines(lineitem: DataFrame) -> DataFrame:
@@ -60,7 +66,7 @@ def shop_lines(lineitem: DataFrame) -> DataFrame:
            else concat('viewthread&tid=', l_partkey) end,
       ' HTTP/1.1" ', case when l_returnflag = 'A' and l_linestatus = 'O' then '304' else '200' end,
       ' ', cast(l_extendedprice as bigint))"""
-    return lineitem.select(F.expr(line).alias("value"))
+    return _lines(lineitem, line)
 
 
 def crawl_lines(pages: DataFrame) -> DataFrame:
@@ -70,7 +76,7 @@ def crawl_lines(pages: DataFrame) -> DataFrame:
       date_format(timestamp_seconds(1704067200 + page_id), 'dd/MMM/yyyy:HH:mm:ss'),
       ' +0000] "GET ', regexp_replace(url, '^https?://[^/]+', ''), ' HTTP/1.1" 200 ',
       length(html), ' "', url, '" "crawler/', page_id, '"')"""
-    return pages.select(F.expr(line).alias("value"))
+    return _lines(pages, line)
 
 
 def prose_lines(documents: DataFrame) -> DataFrame:

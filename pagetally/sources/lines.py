@@ -9,8 +9,18 @@ from ..schemas import RAW_LINE
 DEFAULT_TOPIC = "user_access_logs"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core although the input has few partitions, as with a few gzip files.
+
+    Parsing is the costly step, so it pays to deal such rows out first. An input with at
+    least one partition per core, which is any large splittable one, is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_LINE).text(path)
+    return spread(spark.read.schema(RAW_LINE).text(path))
 
 
 def text_line_stream(
