@@ -1,0 +1,208 @@
+"""Options handed to connectors, stored visits, shared folder. No broker, no database."""
+
+from datetime import date
+
+import pytest
+
+from pagetally import cli, schemas
+from pagetally.config import JobConfig
+from pagetally.plans import reports, visits
+from pagetally.session import run_dir, shared_dir
+from pagetally.sinks import Console, JdbcTable, as_result
+from pagetally.sources import derived, dimensions, lines
+from pagetally.streaming import runner
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+class Recorder:
+    """Stands in for spark.read and df.write: notes options, returns a given frame."""
+
+    def __init__(self, *frames):
+        self.frames, self.calls = list(frames), []
+
+    def format(self, name):
+        self.calls.append({"format": name})
+        return self
+
+    def options(self, **options):
+        self.calls[-1].update(options)
+        return self
+
+    def load(self):
+        return self.frames.pop(0)
+
+
+class FakeSpark:
+    def __init__(self, *frames):
+        self.read = Recorder(*frames)
+
+
+def test_kafka_reader_options():
+    options = lines.kafka_options(
+        "broker:9092",
+        max_offsets_per_trigger=1000,
+        consumer={
+            "key.deserializer": "x",
+            "value.deserializer": "x",
+            "auto.offset.reset": "earliest",
+            "security.protocol": "SSL",
+        },
+    )
+    assert options == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "user_access_logs",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "1000",
+        "kafka.security.protocol": "SSL",
+    }
+
+
+def test_kafka_writer_options():
+    options = runner.producer_options("broker:9092", "t", {"linger.ms": "5"})
+    assert options == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "topic": "t",
+        "kafka.acks": "1",
+        "kafka.linger.ms": "5",
+        "kafka.compression.type": "snappy",
+    }
+
+
+def test_jdbc_dimension_reads_in_parts(spark):
+    bounds = spark.createDataFrame([(3, 90)], "lo int, hi int")
+    table = spark.createDataFrame([(3, "s", 1)], "tid int, subject string, other int")
+    fake = FakeSpark(bounds, table)
+    options = dimensions.jdbc_options("jdbc:x", "pre_forum_post", {"user": "u"})
+    dim = dimensions.jdbc_dimension(fake, options, schemas.ARTICLE_DIM, parts=4)
+    assert dim.columns == ["tid", "subject"]
+    asked, read = fake.read.calls
+    assert asked["query"] == "SELECT MIN(tid) AS lo, MAX(tid) AS hi FROM pre_forum_post"
+    assert "dbtable" not in asked
+    assert read["partitionColumn"] == "tid"
+    assert (read["lowerBound"], read["upperBound"], read["numPartitions"]) == ("3", "90", "4")
+
+
+def test_jdbc_dimension_of_an_empty_table(spark):
+    empty = spark.createDataFrame([(None, None)], "lo int, hi int")
+    table = spark.createDataFrame([], schemas.SECTION_DIM)
+    fake = FakeSpark(empty, table)
+    options = dimensions.jdbc_options("jdbc:x", "t")
+    assert dimensions.jdbc_dimension(fake, options, schemas.SECTION_DIM, parts=4).count() == 0
+    assert "partitionColumn" not in fake.read.calls[-1]
+
+
+def test_jdbc_sink_options_and_columns(spark):
+    sink = JdbcTable("jdbc:x", "hot_section", schemas.HOT_SECTION, {"user": "u"})
+    options = sink.options()
+    assert options["dbtable"] == "hot_section" and options["user"] == "u"
+    assert options["numPartitions"] == "8"
+    report = spark.createDataFrame(
+        [("e", "b", 5, "a", 1)],
+        "time_end string, time_beg string, section_pv bigint, name string, section_id int",
+    )
+    assert as_result(report, schemas.HOT_SECTION).schema.simpleString() == (
+        "struct<section_id:int,name:string,section_pv:int,time_beg:string,time_end:string>"
+    )
+
+
+def test_console_sink(spark, capfd):
+    frame = spark.createDataFrame([("c", 1, "b", "e")], schemas.CLIENT_IP_ACCESS)
+    Console(schemas.CLIENT_IP_ACCESS).write(frame)
+    assert "client_access_cnt" in capfd.readouterr().out
+
+
+def test_stored_visits_prune_days(spark, folder):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    visits.write_visits(derived.forum_lines(events), f"{folder}/visits")
+    some = visits.read_visits(spark, f"{folder}/visits", date(2024, 1, 2), date(2024, 1, 3))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(visit_date" in plan
+    days = {r.event_time.date() for r in some.collect()}
+    assert days == {date(2024, 1, 2), date(2024, 1, 3)}
+    stored = reports.client_counts(visits.read_visits(spark, f"{folder}/visits"), JobConfig())
+    direct = reports.client_access(derived.forum_lines(events))
+    assert sorted(stored.collect()) == sorted(direct.collect())
+
+
+def test_snapshot_has_a_known_size(spark):
+    dim = spark.createDataFrame([(1, "a")], schemas.SECTION_DIM)
+    fixed = dimensions.snapshot(dim, "section")
+    from pagetally.operators.dimensions import fits_broadcast
+
+    assert fits_broadcast(fixed) and fixed.collect() == dim.collect()
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert run_dir(spark, "x").startswith(shared_dir(spark))
+    assert run_dir(spark, "x") != run_dir(spark, "x")
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError):
+        shared_dir(Cluster)
+
+
+def test_few_partitions_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert lines.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
+    many = spark.range(0, 100, 1, cores + 1)
+    assert lines.spread(many) is many
+
+
+def test_batch_job_from_the_command_line(spark, folder):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    derived.forum_lines(events).write.text(f"{folder}/logs")
+    derived.section_table(spark.read.parquet(f"{SF_DIR}/nation.parquet")).write.parquet(
+        f"{folder}/sections"
+    )
+    base = ["hot_section", "--text", f"{folder}/logs", "--dim-files", f"{folder}/sections"]
+    cli.run(spark, cli.parser().parse_args([*base, "--out-files", f"{folder}/out", "--top-n", "2"]))
+    got = spark.read.schema(schemas.HOT_SECTION).parquet(f"{folder}/out")
+    sections = spark.read.parquet(f"{folder}/sections")
+    want = reports.hot_section(spark.read.text(f"{folder}/logs"), sections, JobConfig(top_n=2))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_streaming_job_from_the_command_line(spark, folder):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    derived.forum_lines(events).write.text(f"{folder}/logs")
+    cli.run(
+        spark,
+        cli.parser().parse_args(
+            ["client_access", "--text-stream", f"{folder}/logs", "--available-now"]
+            + ["--checkpoint", f"{folder}/cp", "--out-files", f"{folder}/out"]
+        ),
+    )
+    out = spark.read.schema(schemas.CLIENT_IP_ACCESS).option("recursiveFileLookup", "true")
+    assert out.parquet(f"{folder}/out").count() > 0
+
+
+def test_settings_file(folder):
+    path = f"{folder}/job.properties"
+    with open(path, "w") as f:
+        f.write("# broker\nkafka.bootstrap.servers = b:9092\nmysql.url=jdbc:mysql://h/d?a=b\n\n")
+    assert cli.settings(path) == {
+        "kafka.bootstrap.servers": "b:9092",
+        "mysql.url": "jdbc:mysql://h/d?a=b",
+    }
+
+
+def test_database_arguments_come_from_the_settings_file(folder):
+    path = f"{folder}/job.properties"
+    with open(path, "w") as f:
+        f.write("mysql.url=jdbc:mysql://h/d\nmysql.username=u\nmysql.password=p\n")
+    args = cli.parser().parse_args(
+        ["hot_article", "--kafka", "--out-jdbc", "--settings", path, "--checkpoint", "c"]
+    )
+    sink = cli.sink(args, cli.settings(path))
+    assert sink.table == "hot_article" and sink.options()["url"] == "jdbc:mysql://h/d"
+    assert sink.options()["user"] == "u" and sink.options()["password"] == "p"

@@ -1,0 +1,198 @@
+"""Streams against the batch reports: order, late rows, restarts, replays."""
+
+import os
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagetally import schemas
+from pagetally.config import JobConfig
+from pagetally.plans import reports
+from pagetally.sinks import FileTable
+from pagetally.sources import derived, lines
+from pagetally.streaming import runner
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+class LogFolder:
+    """Files that arrive one after the other, each later than the one before."""
+
+    def __init__(self, path):
+        self.path = Path(path)
+        self.path.mkdir(parents=True)
+        self.count = 0
+
+    def add(self, texts):
+        file = self.path / f"log-{self.count:03}.txt"
+        file.write_text("".join(t + "\n" for t in texts))
+        moment = 1_700_000_000 + 10 * self.count
+        os.utime(file, (moment, moment))
+        self.count += 1
+
+
+def visit(time, client="10.0.0.1", page="mod=viewthread&tid=1"):
+    return f'{client} - - [{time:%d/%b/%Y:%H:%M:%S} +0000] "GET /forum.php?{page} HTTP/1.1" 200 1'
+
+
+def at(day, hour=0):
+    return datetime(2024, 1, 1) + timedelta(days=day - 1, hours=hour)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def ordered_lines(spark):
+    """All derived log lines in six parts, ordered by time."""
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    texts = [r.value for r in derived.forum_lines(events.orderBy("ts").coalesce(1)).collect()]
+    step = -(-len(texts) // 6)
+    return [texts[i : i + step] for i in range(0, len(texts), step)]
+
+
+@pytest.fixture()
+def logs(folder):
+    return LogFolder(f"{folder}/logs")
+
+
+def sections(spark):
+    return derived.section_table(spark.read.parquet(f"{SF_DIR}/nation.parquet"))
+
+
+def articles(spark):
+    return derived.article_table(spark.read.parquet(f"{SF_DIR}/part.parquet"))
+
+
+def test_client_stream_equals_batch_on_closed_windows(spark, folder, logs, ordered_lines):
+    for part in ordered_lines:
+        logs.add(part)
+    table = FileTable(f"{folder}/out", schemas.CLIENT_IP_ACCESS)
+    stream = lines.text_line_stream(spark, str(logs.path), max_files_per_trigger=1)
+    query = runner.start_client_access(stream, table, f"{folder}/cp")
+    query.awaitTermination()
+    assert len({p["batchId"] for p in query.recentProgress}) >= 6
+    batch = reports.client_access(lines.text_lines(spark, str(logs.path)))
+    last = batch.agg(F.max("time_beg")).first()[0]
+    want = batch.where(F.col("time_beg") < last).withColumn(
+        "client_access_cnt", F.col("client_access_cnt").cast("int")
+    )
+    assert rows(table.read(spark)) == rows(want)
+
+
+@pytest.mark.parametrize("n", [1, 3])
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_hot_section_stream_equals_batch(spark, folder, logs, ordered_lines, n, threshold):
+    for part in ordered_lines:
+        logs.add(part)
+    cfg = JobConfig(top_n=n)
+    table = FileTable(f"{folder}/out", schemas.HOT_SECTION)
+    stream = lines.text_line_stream(spark, str(logs.path), max_files_per_trigger=2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        query = runner.start_hot_section(stream, sections(spark), table, f"{folder}/cp", cfg)
+        query.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    batch = reports.hot_section(lines.text_lines(spark, str(logs.path)), sections(spark), cfg)
+    last = batch.agg(F.max("time_beg")).first()[0]
+    want = batch.where(F.col("time_beg") < last).withColumn(
+        "section_pv", F.col("section_pv").cast("int")
+    )
+    assert want.count() > 0
+    assert rows(table.read(spark)) == rows(want)
+
+
+def test_restart_goes_on_with_open_windows(spark, folder, logs, ordered_lines):
+    """Half of the files, a stop, the rest: the same result as in one go."""
+    outs = []
+    for name, stops in (("one", [6]), ("two", [3, 3])):
+        place = LogFolder(f"{folder}/{name}/logs")
+        parts = iter(ordered_lines)
+        table = FileTable(f"{folder}/{name}/out", schemas.HOT_ARTICLE)
+        for count in stops:
+            for _ in range(count):
+                place.add(next(parts))
+            stream = lines.text_line_stream(spark, str(place.path), max_files_per_trigger=1)
+            runner.start_hot_article(
+                stream, articles(spark), table, f"{folder}/{name}/cp"
+            ).awaitTermination()
+        outs.append(rows(table.read(spark)))
+    assert outs[0] and outs[0] == outs[1]
+
+
+def test_late_rows_are_dropped(spark, folder, logs):
+    """A row two micro-batches behind the watermark is too late for its closed day."""
+    logs.add([visit(at(1, 10)), visit(at(3, 10))])
+    logs.add([visit(at(3, 9))])
+    logs.add([visit(at(1, 12)), visit(at(5))])
+    logs.add([visit(at(9))])
+    table = FileTable(f"{folder}/out", schemas.CLIENT_IP_ACCESS)
+    stream = lines.text_line_stream(spark, str(logs.path), max_files_per_trigger=1)
+    query = runner.start_client_access(stream, table, f"{folder}/cp")
+    query.awaitTermination()
+    got = {r.time_beg[:10]: r.client_access_cnt for r in table.read(spark).collect()}
+    assert got == {"2024-01-01": 1, "2024-01-03": 2, "2024-01-05": 1}
+    dropped = [s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert sum(dropped) == 1
+
+
+def test_watermark_delay_keeps_late_rows(spark, folder, logs):
+    logs.add([visit(at(1, 10)), visit(at(3, 10))])
+    logs.add([visit(at(3, 9))])
+    logs.add([visit(at(1, 12)), visit(at(5))])
+    logs.add([visit(at(9))])
+    table = FileTable(f"{folder}/out", schemas.CLIENT_IP_ACCESS)
+    stream = lines.text_line_stream(spark, str(logs.path), max_files_per_trigger=1)
+    cfg = JobConfig(watermark_delay="2 days")
+    runner.start_client_access(stream, table, f"{folder}/cp", cfg).awaitTermination()
+    got = {r.time_beg[:10]: r.client_access_cnt for r in table.read(spark).collect()}
+    assert got == {"2024-01-01": 2, "2024-01-03": 2, "2024-01-05": 1}
+
+
+def test_only_known_pages_move_the_watermark_of_hot_pages(spark, folder, logs):
+    known, unknown = "mod=forumdisplay&fid=1", "mod=forumdisplay&fid=999"
+    logs.add([visit(at(1), page=known)])
+    logs.add([visit(at(20), page=unknown)])
+    logs.add([visit(at(21), page=unknown)])
+    logs.add([visit(at(2), page=known)])
+    logs.add([visit(at(9), page=known)])
+    table = FileTable(f"{folder}/out", schemas.HOT_SECTION)
+    stream = lines.text_line_stream(spark, str(logs.path), max_files_per_trigger=1)
+    runner.start_hot_section(stream, sections(spark), table, f"{folder}/cp").awaitTermination()
+    assert rows(table.read(spark)) == [
+        (1, "NATION_1", 2, "2023-12-31 00:00:00", "2024-01-03 00:00:00")
+    ]
+
+
+def test_landing_is_exactly_once_over_restarts(spark, folder, logs, ordered_lines):
+    for part in ordered_lines:
+        logs.add(part)
+        stream = lines.text_line_stream(spark, str(logs.path))
+        runner.land_raw_logs(stream, f"{folder}/raw", f"{folder}/cp").awaitTermination()
+    landed = rows(lines.landed_lines(spark, f"{folder}/raw"))
+    assert landed == sorted((t,) for part in ordered_lines for t in part)
+
+
+def test_reports_run_on_landed_lines(spark, folder, logs, ordered_lines):
+    for part in ordered_lines:
+        logs.add(part)
+    stream = lines.text_line_stream(spark, str(logs.path))
+    runner.land_raw_logs(stream, f"{folder}/raw", f"{folder}/cp").awaitTermination()
+    table = FileTable(f"{folder}/out", schemas.CLIENT_IP_ACCESS)
+    landed = lines.landed_line_stream(spark, f"{folder}/raw")
+    runner.start_client_access(landed, table, f"{folder}/cp2").awaitTermination()
+    assert table.read(spark).count() > 0
+
+
+def test_replayed_batch_replaces_its_rows(spark, folder):
+    table = FileTable(f"{folder}/out", schemas.HOT_SECTION)
+    one = spark.createDataFrame([(1, "a", 5, "b", "e")], schemas.HOT_SECTION)
+    two = spark.createDataFrame([(2, "b", 6, "b", "e")], schemas.HOT_SECTION)
+    table.write(one, 0)
+    table.write(two, 1)
+    table.write(two, 1)
+    assert rows(table.read(spark)) == [(1, "a", 5, "b", "e"), (2, "b", 6, "b", "e")]

@@ -1,0 +1,171 @@
+"""Counts and ranking against brute force, with hot keys."""
+
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+
+from pagetally.config import JobConfig
+from pagetally.operators import dimensions as D
+from pagetally.operators import windows
+from pagetally.plans import reports
+from pagetally.plans.reports import ARTICLE
+from pagetally.schemas import ARTICLE_DIM, VISIT
+
+EPOCH = datetime(1970, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def visit_rows():
+    """A third of all visits goes to article 1, another third comes from one client."""
+    rnd = random.Random(7)
+    rows = []
+    for i in range(6000):
+        article = 1 if i % 3 == 0 else rnd.randrange(0, 60)
+        client = "10.0.0.1" if i % 3 == 1 else f"10.0.1.{rnd.randrange(200)}"
+        time = datetime(2024, 1, 1) + timedelta(minutes=rnd.randrange(20_000))
+        rows.append((client, time, 0, article))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def dim_rows():
+    rows = [(i, f"subject {i}") for i in range(50)]
+    return rows + [(3, "subject 3 again"), (4, ""), (4, ""), (5, None)]
+
+
+def expected_counts(visit_rows, dim_rows, days=3):
+    names = {}
+    for tid, subject in dim_rows:
+        if subject:
+            names[tid] = max(subject, names.get(tid, ""))
+    counts = Counter()
+    for _, time, _, article in visit_rows:
+        if article in names:
+            counts[article, EPOCH + timedelta(days=(time - EPOCH).days // days * days)] += 1
+    return {(a, names[a], w): n for (a, w), n in counts.items()}
+
+
+def expected_top(counts, n):
+    by_window = {}
+    for (article, name, window), pv in counts.items():
+        by_window.setdefault(window, []).append((-pv, article, name))
+    return {
+        (article, name, -neg, str(window))
+        for window, rows in by_window.items()
+        for neg, article, name in sorted(rows)[:n]
+    }
+
+
+def top_rows(df):
+    return [tuple(r) for r in df.select("article_id", "subject", "article_pv", "time_beg").collect()]
+
+
+@pytest.mark.parametrize("n", [1, 3, 1000])
+def test_top_pages(spark, visit_rows, dim_rows, n):
+    visits = spark.createDataFrame(visit_rows, VISIT)
+    dim = D.articles(spark.createDataFrame(dim_rows, ARTICLE_DIM))
+    cfg = JobConfig(top_n=n)
+    counts = reports.page_counts(visits, dim, ARTICLE, cfg)
+    got = top_rows(reports.top_pages(counts, ARTICLE, cfg))
+    want = expected_top(expected_counts(visit_rows, dim_rows), n)
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_large_n_ranks_in_two_steps(spark, visit_rows, dim_rows):
+    visits = spark.createDataFrame(visit_rows, VISIT)
+    dim = D.articles(spark.createDataFrame(dim_rows, ARTICLE_DIM))
+    cfg = JobConfig(top_n=5)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        ranked = reports.top_pages(
+            reports.page_counts(visits, dim, ARTICLE, cfg), ARTICLE, cfg
+        )
+        got = top_rows(ranked)
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    want = expected_top(expected_counts(visit_rows, dim_rows), 5)
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_ranking_limits_rows_before_the_shuffle(spark):
+    counts = spark.range(10).selectExpr("id", "id AS pv", "id % 2 AS window")
+    plan = windows.top_n(counts, 2, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_lookup_with_and_without_broadcast(spark, folder, visit_rows, dim_rows, threshold):
+    spark.createDataFrame(visit_rows, VISIT).write.parquet(f"{folder}/v")
+    spark.createDataFrame(dim_rows, ARTICLE_DIM).write.parquet(f"{folder}/d")
+    visits = spark.read.parquet(f"{folder}/v")
+    dim = D.articles(spark.read.parquet(f"{folder}/d"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = reports.page_visits(visits, dim, ARTICLE)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = Counter((r.article_id, r.subject) for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = Counter()
+    for (article, name, _), n in expected_counts(visit_rows, dim_rows).items():
+        want[article, name] += n
+    assert got == want
+    assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
+    assert ("_salt" in plan) == (threshold == "-1")
+
+
+def test_unknown_size_is_not_broadcast(spark):
+    assert not D.fits_broadcast(spark.createDataFrame(spark.sparkContext.parallelize([(1,)])))
+
+
+def test_counts_combine_before_the_shuffle(spark, visit_rows):
+    visits = spark.createDataFrame(visit_rows, VISIT)
+    plan = reports.client_counts(visits, JobConfig())._jdf.queryExecution().executedPlan()
+    assert "partial_count" in plan.toString()
+
+
+def test_client_counts_and_offset(spark, visit_rows):
+    visits = spark.createDataFrame(visit_rows, VISIT)
+    want = Counter((c, str(datetime.combine(t.date(), datetime.min.time()))) for c, t, _, _ in visit_rows)
+    for offset in (0, 1):
+        rows = reports.client_counts(visits, JobConfig(count_offset=offset)).collect()
+        got = {(r.client, r.time_beg): r.client_access_cnt for r in rows}
+        assert got == {k: n + offset for k, n in want.items()}
+
+
+def test_window_grid_is_aligned_to_utc_epoch(spark):
+    visits = spark.createDataFrame([("c", datetime(2024, 1, 1, 12), 0, 1)], VISIT)
+    counts = windows.tumbling_count(visits, ["article_id"], "3 days")
+    row = windows.with_bounds(counts).first()
+    assert (row.time_beg, row.time_end) == ("2023-12-31 00:00:00", "2024-01-03 00:00:00")
+
+
+def test_local_days(spark):
+    visits = spark.createDataFrame([("c", datetime(2024, 1, 1, 15, 59), 0, 1)], VISIT)
+    row = reports.client_counts(visits, JobConfig(window_start_time="16 hours")).first()
+    assert (row.time_beg, row.time_end) == ("2023-12-31 16:00:00", "2024-01-01 16:00:00")
+
+
+def test_ties_go_to_the_lower_id(spark):
+    counts = spark.createDataFrame([(2, 5, 0), (1, 5, 0), (3, 4, 0)], "id int, pv int, window int")
+    assert [r.id for r in windows.top_n(counts, 2, "id").orderBy("id").collect()] == [1, 2]
+
+
+def test_fewer_rows_than_n(spark):
+    counts = spark.createDataFrame([(2, 5, 0)], "id int, pv int, window int")
+    assert windows.top_n(counts, 3, "id").count() == 1
+
+
+def test_n_must_be_positive():
+    with pytest.raises(ValueError):
+        JobConfig(top_n=0)
+
+
+def test_prepared_articles(spark, dim_rows):
+    rows = D.articles(spark.createDataFrame(dim_rows, ARTICLE_DIM)).collect()
+    names = dict(map(tuple, rows))
+    assert len(rows) == len(names) == 50
+    assert names[3] == "subject 3 again" and names[4] == "subject 4"
+    assert all(names.values())
