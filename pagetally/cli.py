@@ -1,4 +1,4 @@
-"""Run one job: spark-submit pagetally/cli.py hot_section --kafka --out-jdbc ...
+"""Run one job: spark-submit --py-files pagetally.zip run_job.py hot_section --kafka ...
 
 Settings of brokers and databases are read from a file of key=value lines (--settings):
 kafka.bootstrap.servers, mysql.url, mysql.username, mysql.password, and optionally

@@ -15,10 +15,21 @@ _STORED = T.StructType([*VISIT.fields, T.StructField("visit_date", T.DateType())
 
 
 def write_visits(
-    lines: DataFrame, path: str, honor_offset: bool = False, mode: str = "append"
+    lines: DataFrame,
+    path: str,
+    honor_offset: bool = False,
+    cluster_days: bool = False,
+    mode: str = "append",
 ) -> None:
-    """Store the visits by day. No shuffle: log files hold few days each, so do the tasks."""
+    """Store the visits by day.
+
+    Log files hold few days each and so do the tasks that read them: no shuffle is needed.
+    For lines in no such order, `cluster_days` brings each day together before writing;
+    large days are split over several tasks and small ones merged at run time.
+    """
     dated = visit_facts(lines, honor_offset).withColumn("visit_date", F.to_date("event_time"))
+    if cluster_days:
+        dated = dated.hint("rebalance", "visit_date")
     dated.write.mode(mode).partitionBy("visit_date").parquet(path)
 
 

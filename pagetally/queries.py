@@ -257,7 +257,7 @@ def top_parts_3d(spark, sf_dir):
 def client_access_from_table(spark, sf_dir):
     """The client report from the stored visits instead of from text."""
     path = run_dir(spark, "visits")
-    visits.write_visits(_forum(spark, sf_dir), path)
+    visits.write_visits(_forum(spark, sf_dir), path, cluster_days=True)
     return reports.client_counts(visits.read_visits(spark, path), JobConfig())
 
 

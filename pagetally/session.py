@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job wants. Sizes are for a cluster; a caller may override any of them.
+# Settings every job wants unless it is told otherwise. Sizes are for a cluster.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,11 +24,19 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str, overrides: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    for key, value in {**DEFAULTS, **(overrides or {})}.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+def build_session(app: str) -> SparkSession:
+    """The session of a job. Settings given to spark-submit win over the defaults here."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="pagetally-")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,9 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="pagetally-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

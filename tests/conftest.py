@@ -1,11 +1,8 @@
 import tempfile
-from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-DATA = Path("/root/testdata")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,7 +13,6 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -7,7 +7,7 @@ import pytest
 from pagetally import cli, schemas
 from pagetally.config import JobConfig
 from pagetally.plans import reports, visits
-from pagetally.session import run_dir, shared_dir
+from pagetally.session import DEFAULTS, build_session, run_dir, shared_dir
 from pagetally.sinks import Console, JdbcTable, as_result
 from pagetally.sources import derived, dimensions, lines
 from pagetally.streaming import runner
@@ -133,22 +133,40 @@ def test_snapshot_has_a_known_size(spark):
     assert fits_broadcast(fixed) and fixed.collect() == dim.collect()
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert run_dir(spark, "x").startswith(shared_dir(spark))
-    assert run_dir(spark, "x") != run_dir(spark, "x")
+class FakeCluster:
+    """A session with a given master and perhaps a shared folder."""
 
+    def __init__(self, master, **conf):
+        self.conf, self.sparkContext, self.master = conf, self, master
 
-def test_shared_folder_must_be_set_on_a_cluster():
-    class Cluster:
-        class conf:
-            get = staticmethod(lambda key, default: default)
 
-        class sparkContext:
-            master = "yarn"
+def test_shared_folder_comes_from_the_session():
+    named = FakeCluster("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert shared_dir(named) == "hdfs:///shared"
+    assert run_dir(named, "x").startswith("hdfs:///shared/pagetally/x-")
+    assert run_dir(named, "x") != run_dir(named, "x")
+
 
+def test_shared_folder_must_be_set_on_a_cluster():
     with pytest.raises(ValueError):
-        shared_dir(Cluster)
+        shared_dir(FakeCluster("yarn"))
+
+
+def test_local_session_may_use_a_temporary_folder():
+    local = FakeCluster("local[2]")
+    assert shared_dir(local) == shared_dir(local)
+
+
+def test_job_session_keeps_what_was_given(spark):
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    session = build_session("test")
+    try:
+        assert session.conf.get("spark.sql.session.timeZone") == kept
+        assert session.conf.get("spark.sql.files.maxPartitionBytes") == "256m"
+    finally:
+        for key in DEFAULTS:
+            if not session.sparkContext.getConf().contains(key):
+                session.conf.unset(key)
 
 
 def test_few_partitions_are_spread(spark):
