@@ -245,7 +245,7 @@ def client_access_shop(spark, sf_dir):
 def top_parts_3d(spark, sf_dir):
     """Counting and ranking alone, on typed columns without any text."""
     items = _table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").cast("int").alias("article_id"),
+        (F.col("l_partkey") + 1).cast("int").alias("article_id"),
         F.col("l_shipdate").cast("timestamp").alias("event_time"),
     )
     cfg = JobConfig(top_n=3)

@@ -34,7 +34,7 @@ select concat(
   {_address('l_suppkey')}, ' - - [', strftime(l_shipdate, '%d/%b/%Y:%H:%M:%S'),
   ' +0000] "GET /forum.php?mod=',
   case when l_returnflag = 'N' then concat('forumdisplay&fid=', l_linenumber)
-       else concat('viewthread&tid=', l_partkey) end,
+       else concat('viewthread&tid=', l_partkey + 1) end,
   ' HTTP/1.1" ', case when l_returnflag = 'A' and l_linestatus = 'O' then '304' else '200' end,
   ' ', cast(trunc(l_extendedprice) as bigint)) as value
 from lineitem
@@ -55,12 +55,12 @@ union all
 select unnest(string_split(text, chr(10))) as value from documents
 """
 
-_SECTIONS = "select n_nationkey as fid, max(n_name) as name from nation group by 1"
+_SECTIONS = "select n_nationkey + 1 as fid, max(n_name) as name from nation group by 1"
 _ARTICLES = """
 select tid, max(subject) as subject from (
-  select cast(p_partkey as integer) as tid, p_name as subject from part where p_size > 5
+  select cast(p_partkey + 1 as integer) as tid, p_name as subject from part where p_size > 5
   union all
-  select cast(p_partkey as integer), concat(p_name, ' ', p_brand) from part where p_size > 5)
+  select cast(p_partkey + 1 as integer), concat(p_name, ' ', p_brand) from part where p_size > 5)
 where subject <> '' group by 1
 """
 
@@ -177,7 +177,9 @@ _DATED = f"select *, {_DATE} as event_time from ({_records(_FORUM)}) where {_DAT
 _HOT_SECTION = _report(_page_counts(_VISITS, "section"), "section", 1)
 _HOT_ARTICLE = _report(_page_counts(_VISITS, "article"), "article", 1)
 _SHOP_VISITS = _visits(_SHOP)
-_ITEMS = "select cast(l_partkey as integer) as article_id, l_shipdate as event_time from lineitem"
+_ITEMS = """
+select cast(l_partkey + 1 as integer) as article_id, l_shipdate as event_time from lineitem
+"""
 _SPLIT = "string_split(regexp_extract(request, '^\"(.*)\"$', 1), ' ')"
 
 ORACLE: dict[str, str] = {

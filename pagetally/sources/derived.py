@@ -63,7 +63,7 @@ def shop_lines(lineitem: DataFrame) -> DataFrame:
       {_address('l_suppkey')}, ' - - [', date_format(l_shipdate, 'dd/MMM/yyyy:HH:mm:ss'),
       ' +0000] "GET /forum.php?mod=',
       case when l_returnflag = 'N' then concat('forumdisplay&fid=', l_linenumber)
-           else concat('viewthread&tid=', l_partkey) end,
+           else concat('viewthread&tid=', l_partkey + 1) end,
       ' HTTP/1.1" ', case when l_returnflag = 'A' and l_linestatus = 'O' then '304' else '200' end,
       ' ', cast(l_extendedprice as bigint))"""
     return _lines(lineitem, line)
@@ -85,12 +85,14 @@ def prose_lines(documents: DataFrame) -> DataFrame:
 
 
 def section_table(nation: DataFrame) -> DataFrame:
-    return nation.select(F.col("n_nationkey").alias("fid"), F.col("n_name").alias("name"))
+    """Nations as sections, numbered from 1: id 0 means that a visit has no section."""
+    fid = (F.col("n_nationkey") + 1).cast("int").alias("fid")
+    return nation.select(fid, F.col("n_name").alias("name"))
 
 
 def article_table(part: DataFrame) -> DataFrame:
-    """Parts as articles: small ones have an empty subject, and each id comes twice."""
-    tid = F.col("p_partkey").cast("int").alias("tid")
+    """Parts as articles, numbered from 1: small ones have an empty subject, and each id comes twice."""
+    tid = (F.col("p_partkey") + 1).cast("int").alias("tid")
     subject = F.when(F.col("p_size") <= 5, "").otherwise(F.col("p_name"))
     second = F.when(F.col("p_size") <= 5, "").otherwise(F.concat_ws(" ", "p_name", "p_brand"))
     return part.select(tid, F.explode(F.array(subject, second)).alias("subject"))

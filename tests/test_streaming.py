@@ -164,7 +164,7 @@ def test_only_known_pages_move_the_watermark_of_hot_pages(spark, folder, logs):
     stream = lines.text_line_stream(spark, str(logs.path), max_files_per_trigger=1)
     runner.start_hot_section(stream, sections(spark), table, f"{folder}/cp").awaitTermination()
     assert rows(table.read(spark)) == [
-        (1, "NATION_1", 2, "2023-12-31 00:00:00", "2024-01-03 00:00:00")
+        (1, "NATION_0", 2, "2023-12-31 00:00:00", "2024-01-03 00:00:00")
     ]
 
 
