@@ -169,3 +169,18 @@ def test_prepared_articles(spark, dim_rows):
     assert len(rows) == len(names) == 50
     assert names[3] == "subject 3 again" and names[4] == "subject 4"
     assert all(names.values())
+
+
+@pytest.mark.parametrize("partitions", ["1", "8", "31"])
+def test_partitioning_does_not_change_results(spark, visit_rows, dim_rows, partitions):
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        visits = spark.createDataFrame(visit_rows, VISIT).repartition(int(partitions))
+        dim = D.articles(spark.createDataFrame(dim_rows, ARTICLE_DIM))
+        cfg = JobConfig(top_n=4)
+        counts = reports.page_counts(visits, dim, ARTICLE, cfg)
+        got = top_rows(reports.top_pages(counts, ARTICLE, cfg))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert set(got) == expected_top(expected_counts(visit_rows, dim_rows), 4)
