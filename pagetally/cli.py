@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--topic", default=lines.DEFAULT_TOPIC)
     p.add_argument("--max-files", type=int, help="files per micro-batch")
     p.add_argument("--max-offsets", type=int, help="messages per micro-batch")
+    p.add_argument("--min-partitions", type=int, help="least number of tasks that read the topic")
 
     p.add_argument("--dim-files", help="parquet dimension instead of the database table")
     p.add_argument("--dim-table", help="name of the database table")
@@ -66,6 +67,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--client-window", default=d.client_window)
     p.add_argument("--watermark-delay", default=d.watermark_delay)
     p.add_argument("--window-start-time", default=d.window_start_time)
+    p.add_argument("--lookup-salts", type=int, default=d.lookup_salts)
     p.add_argument("--count-offset", type=int, default=d.count_offset)
     p.add_argument("--honor-offset", action="store_true")
     p.add_argument("--forum-pages-only", action="store_true")
@@ -96,7 +98,10 @@ def source(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
         return lines.landed_line_stream(spark, args.landed_stream, args.max_files)
     servers = values["kafka.bootstrap.servers"]
     options = lines.kafka_options(
-        servers, args.topic, max_offsets_per_trigger=args.max_offsets
+        servers,
+        args.topic,
+        max_offsets_per_trigger=args.max_offsets,
+        min_partitions=args.min_partitions,
     )
     return lines.kafka_lines(spark, options)
 
@@ -127,6 +132,7 @@ def config(args) -> JobConfig:
         hot_window=args.hot_window,
         client_window=args.client_window,
         top_n=args.top_n,
+        lookup_salts=args.lookup_salts,
         watermark_delay=args.watermark_delay,
         count_offset=args.count_offset,
         honor_offset=args.honor_offset,

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALTS = 32
-
 
 def _unique(dim: DataFrame, key: str, name: str) -> DataFrame:
     """One row per key. Repeated keys would multiply visits; the greatest name is kept."""
@@ -35,20 +33,22 @@ def fits_broadcast(dim: DataFrame) -> bool:
     return limit >= 0 and int(str(size)) <= limit
 
 
-def lookup(visits: DataFrame, dim: DataFrame, visit_key: str, dim_key: str) -> DataFrame:
+def lookup(
+    visits: DataFrame, dim: DataFrame, visit_key: str, dim_key: str, salts: int = 8
+) -> DataFrame:
     """Inner join of every visit with its dimension row (N:1); `dim` has unique keys.
 
     A dimension of checked size is broadcast: no shuffle of visits, no skew. A larger one is
-    joined by key and salt, so that the visits of one hot page spread over many tasks while
-    each dimension row is repeated once per salt.
+    joined by key and salt, so that the visits of one hot page spread over `salts` tasks while
+    each dimension row is repeated once per salt; AQE may split a batch further.
     """
     dim = dim.withColumnRenamed(dim_key, visit_key)
     if fits_broadcast(dim):
         return visits.join(F.broadcast(dim), visit_key)
     salted = visits.withColumn(
-        "_salt", F.pmod(F.xxhash64("client_ip", "event_time"), F.lit(_SALTS)).cast("int")
+        "_salt", F.pmod(F.xxhash64("client_ip", "event_time"), F.lit(salts)).cast("int")
     )
-    repeated = dim.select("*", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
+    repeated = dim.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     return salted.join(repeated, [visit_key, "_salt"]).drop("_salt")
 
 

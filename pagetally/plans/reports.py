@@ -32,9 +32,11 @@ SECTION = PageKind("section_id", "fid", "name", "section_pv", D.sections)
 ARTICLE = PageKind("article_id", "tid", "subject", "article_pv", D.articles)
 
 
-def page_visits(visits: DataFrame, dim: DataFrame, kind: PageKind) -> DataFrame:
+def page_visits(
+    visits: DataFrame, dim: DataFrame, kind: PageKind, cfg: JobConfig = JobConfig()
+) -> DataFrame:
     """Every visit of a known page: id, name, event_time. `dim` is prepared by its kind."""
-    found = D.lookup(visits, dim, kind.visit_key, kind.dim_key)
+    found = D.lookup(visits, dim, kind.visit_key, kind.dim_key, cfg.lookup_salts)
     return found.select(kind.visit_key, kind.name, "event_time")
 
 
@@ -48,7 +50,8 @@ def page_counts(
     """
     width, start = cfg.hot_window, cfg.window_start_time
     if visits.isStreaming:
-        named = page_visits(visits, dim, kind).withWatermark("event_time", cfg.watermark_delay)
+        named = page_visits(visits, dim, kind, cfg)
+        named = named.withWatermark("event_time", cfg.watermark_delay)
         return windows.tumbling_count(named, [kind.visit_key, kind.name], width, start)
     counts = windows.tumbling_count(visits, [kind.visit_key], width, start)
     return D.name_counts(counts, dim, kind.visit_key, kind.dim_key)

@@ -34,8 +34,14 @@ class JdbcTable:
             **self.connection,
         }
 
+    def prepared(self, df: DataFrame) -> DataFrame:
+        """Rows in one partition per connection. The exchange keeps the report itself at full
+        parallelism: left to the writer, its last stage would shrink to so many tasks.
+        """
+        return as_result(df, self.schema).repartition(self.max_connections)
+
     def write(self, df: DataFrame, batch_id: int | None = None) -> None:
-        rows = as_result(df, self.schema)
+        rows = self.prepared(df)
         rows.write.format("jdbc").options(**self.options()).mode("append").save()
 
 

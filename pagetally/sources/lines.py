@@ -52,10 +52,12 @@ def kafka_options(
     topic: str = DEFAULT_TOPIC,
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     consumer: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Reader options. Offsets live in the checkpoint; `starting_offsets` counts only for
-    the first start. Deserializers and the offset reset are Spark's own and are left out.
+    the first start. `min_partitions` lets more tasks than topic partitions read and parse.
+    Deserializers and the offset reset are Spark's own and are left out.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -64,6 +66,8 @@ def kafka_options(
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     spark_owned = {"key.deserializer", "value.deserializer", "auto.offset.reset"}
     for key, value in (consumer or {}).items():
         if key not in spark_owned:

@@ -42,6 +42,7 @@ def test_kafka_reader_options():
     options = lines.kafka_options(
         "broker:9092",
         max_offsets_per_trigger=1000,
+        min_partitions=64,
         consumer={
             "key.deserializer": "x",
             "value.deserializer": "x",
@@ -54,6 +55,7 @@ def test_kafka_reader_options():
         "subscribe": "user_access_logs",
         "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "1000",
+        "minPartitions": "64",
         "kafka.security.protocol": "SSL",
     }
 
@@ -106,6 +108,14 @@ def test_jdbc_sink_options_and_columns(spark):
     )
 
 
+def test_jdbc_rows_come_in_one_partition_per_connection(spark):
+    sink = JdbcTable("jdbc:x", "t", schemas.CLIENT_IP_ACCESS, max_connections=3)
+    report = spark.range(0, 100, 1, 20).selectExpr(
+        "'c' client", "id client_access_cnt", "'b' time_beg", "'e' time_end"
+    )
+    assert sink.prepared(report).rdd.getNumPartitions() == 3
+
+
 def test_console_sink(spark, capfd):
     frame = spark.createDataFrame([("c", 1, "b", "e")], schemas.CLIENT_IP_ACCESS)
     Console(schemas.CLIENT_IP_ACCESS).write(frame)
