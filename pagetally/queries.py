@@ -325,3 +325,33 @@ def land_raw_logs(spark, sf_dir):
     source = _forum_stream(spark, sf_dir)
     runner.land_raw_logs(source, f"{work}/lines", f"{work}/checkpoint").awaitTermination()
     return lines.landed_lines(spark, f"{work}/lines")
+
+
+# Whole chains: lines pass through files before the report
+
+
+@query
+def client_access_from_text(spark, sf_dir):
+    path = run_dir(spark, "text")
+    _forum(spark, sf_dir).write.text(path)
+    return reports.client_access(lines.text_lines(spark, path))
+
+
+@query
+def hot_article_from_landed(spark, sf_dir):
+    landed = land_raw_logs(spark, sf_dir)
+    return reports.hot_article(lines.spread(landed), _articles(spark, sf_dir))
+
+
+@query
+def stream_client_access_from_landed(spark, sf_dir):
+    """Two streams in a row: landing, then the report over the landed files."""
+    work = run_dir(spark, "stream_from_landed")
+    table = FileTable(f"{work}/out", schemas.CLIENT_IP_ACCESS)
+    raw, cfg = f"{work}/lines", JobConfig(forum_pages_only=True)
+    runner.land_raw_logs(
+        _forum_stream(spark, sf_dir), raw, f"{work}/landing"
+    ).awaitTermination()
+    source = lines.landed_line_stream(spark, raw)
+    runner.start_client_access(source, table, f"{work}/report", cfg).awaitTermination()
+    return table.read(spark)

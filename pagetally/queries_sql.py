@@ -250,4 +250,12 @@ ORACLE: dict[str, str] = {
         "article_pv",
     ),
     "land_raw_logs": _FORUM,
+    "client_access_from_text": _clients(_VISITS),
+    "hot_article_from_landed": _HOT_ARTICLE,
+    "stream_client_access_from_landed": _as_table(
+        _clients(
+            _VISITS, "where section_id > 0 or article_id > 0", closed_by=_closed(_VISITS, 1)
+        ),
+        "client_access_cnt",
+    ),
 }
