@@ -8,9 +8,11 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry_module  # noqa: E402
+from pagetally import queries as base_queries  # noqa: E402
+from pagetally import queries_sql  # noqa: E402
 
 SF_DIR = Path("/root/testdata/sf0.01")
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLE = base_queries.QUERIES, queries_sql.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +42,8 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
