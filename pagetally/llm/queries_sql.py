@@ -1,3 +1,93 @@
 """SQL of the queries that SQL can express, for DuckDB over the same tables."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from pagetally.llm.quality_rules import RULES, SCALE, Limits
+
+#: The words of a text, in the expression language of the engine that checks.
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _quality_rules() -> str:
+    limits = Limits()
+    values = ", ".join(
+        f"case when {r.of} > 0 then {r.part} * {SCALE} // {r.of} else 0 end as {r.name}" for r in RULES
+    )
+    long = " union all ".join(
+        f"select lang, source, '{r.name}' as rule, {r.name} as v, {r.least_spread} as least, "
+        f"{r.low} as low from measures where not base_failed"
+        for r in RULES
+    )
+
+    def level(name: str, groups: str) -> str:
+        return f"""{name}_at as (
+            select {groups} rule, bucket, sum(n) over (partition by {groups} rule order by bucket) as upto,
+                   sum(n) over (partition by {groups} rule) as total
+            from (select {groups} rule, bucket, sum(n) as n from own group by all)),
+        {name} as (
+            select {groups} rule, max(total) as total,
+                   min(bucket) filter (4 * upto >= total) as q25,
+                   min(bucket) filter (4 * upto >= 3 * total) as q75
+            from {name}_at group by all)"""
+
+    failing = " or ".join(
+        f"(t.rule = '{r.name}' and (m.{r.name} > t.high or (t.low and m.{r.name} < t.bottom)))" for r in RULES
+    )
+    return rf"""
+    with tokens as (select doc_id, lang, source, text, {WORDS} as w from documents),
+    grams as (
+        select doc_id, i, array_to_string(w[i:i + 4], ' ') as g
+        from tokens, unnest(range(1, len(w) - 3)) as r(i)),
+    twice as (select doc_id, g from grams group by all having count(*) > 1),
+    covered as (
+        select doc_id, count(distinct i + k) as n
+        from grams join twice using (doc_id, g), unnest(range(0, 5)) as r(k) group by doc_id),
+    counted as (
+        select doc_id, lang, source, len(w) as n_words,
+               length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
+               length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g')) as n_symbols,
+               list_filter(string_split(coalesce(text, ''), chr(10)),
+                           lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines,
+               coalesce(n, 0) as n_repeat_words
+        from tokens left join covered using (doc_id)),
+    measures as (
+        select *, len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+               n_words < {limits.min_words}
+                 or 100 * n_repeat_words > {limits.max_repeat_percent} * n_words as base_failed,
+               {values}
+        from counted),
+    long as ({long}),
+    own as (
+        select lang, source, rule, count(*) as n,
+               (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) as bucket
+        from long group by lang, source, rule, bucket),
+    {level("by_source", "lang, source,")},
+    {level("by_lang", "lang,")},
+    {level("by_all", "")},
+    chosen as (
+        select g.lang, g.source, g.rule, g.least, g.low,
+               coalesce(s.q25, l.q25, a.q25) as q25, coalesce(s.q75, l.q75, a.q75) as q75
+        from (select distinct lang, source, rule, least, low from long) as g
+        left join by_source as s on s.lang is not distinct from g.lang
+            and s.source is not distinct from g.source and s.rule = g.rule and s.total >= {limits.least_rows}
+        left join by_lang as l on l.lang is not distinct from g.lang and l.rule = g.rule
+            and l.total >= {limits.least_rows}
+        left join by_all as a on a.rule = g.rule),
+    fences as (
+        select *, q75 + {limits.spreads} * greatest(q75 - q25, least) as high,
+               q25 - {limits.spreads} * greatest(q75 - q25, least) as bottom
+        from chosen),
+    outside as (
+        select distinct m.doc_id
+        from measures as m join fences as t
+          on m.lang is not distinct from t.lang and m.source is not distinct from t.source
+        where {failing})
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines::bigint as n_dup_lines,
+           n_repeat_words::bigint as n_repeat_words, base_failed,
+           not base_failed and doc_id not in (select doc_id from outside) as kept
+    from measures"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": _quality_rules(),
+}
