@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagetally.llm import bpe, quality_rules, simhash
+from pagetally.llm import bpe, quality_rules, simhash, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,8 +36,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = substring_dedup.dedup(docs, window=13)
+    digest = F.sha2("kept_text", 256).alias("kept_sha256")
+    return left.select("doc_id", "n_words", "n_removed", digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
     "op8_simhash": op8_simhash,
+    "op10_substring_dedup": op10_substring_dedup,
 }

@@ -88,6 +88,24 @@ def _quality_rules() -> str:
     from measures"""
 
 
+SUBSTRING_DEDUP = rf"""
+    with tokens as (select doc_id, {WORDS} as w from documents),
+    grams as (
+        select doc_id, i, array_to_string(w[i:i + 12], ' ') as g
+        from tokens, unnest(range(1, len(w) - 11)) as r(i)),
+    firsts as (select g, min(doc_id) as first from grams group by g),
+    gone as (
+        select distinct doc_id, i + k as i
+        from grams join firsts using (g), unnest(range(0, 13)) as r(k) where doc_id > first),
+    lost as (select doc_id, count(*) as n, list(i) as spots from gone group by doc_id)
+    select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed,
+           sha256(array_to_string(
+               [w[i] for i in range(1, len(w) + 1) if spots is null or not list_contains(spots, i)], ' '
+           )) as kept_sha256
+    from tokens left join lost using (doc_id)"""
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
+    "op10_substring_dedup": SUBSTRING_DEDUP,
 }
