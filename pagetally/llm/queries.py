@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetally.llm import bpe, quality_rules, simhash, substring_dedup
+from pagetally.llm import bpe, mixing, quality_rules, simhash, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+#: Flat as far as no source comes more than twice; every document comes at least once.
+MIX = mixing.Target(max_repeats=2.0)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mixture(docs, MIX).drop("text")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
@@ -46,6 +55,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
+    "op5_mixing": op5_mixing,
     "op8_simhash": op8_simhash,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pagetally.llm.mixing import GRID, PLACE_BITS
 from pagetally.llm.quality_rules import RULES, SCALE, Limits
+from pagetally.llm.queries import MIX
 
 #: The words of a text, in the expression language of the engine that checks.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -105,7 +107,45 @@ SUBSTRING_DEDUP = rf"""
     from tokens left join lost using (doc_id)"""
 
 
+# The exponent is looked for among all of the grid here, where the operator bisects.
+MIXING = rf"""
+    with sized as (select doc_id, source, len({WORDS})::bigint as n_tokens from documents),
+    sources as (select source, sum(n_tokens)::bigint as tokens from sized group by source having tokens > 0),
+    tried as (
+        select k, source, tokens, pow(tokens / most, k / {GRID}) as mass,
+               pow(tokens / most, k / {GRID}) / tokens * most as repeats
+        from sources, (select max(tokens)::double as most from sources), range(0, {GRID + 1}) as r(k)),
+    exponent as (
+        select coalesce(min(k), {GRID}) as k
+        from (select k from tried group by k having max(repeats) / min(repeats) <= {MIX.max_repeats})),
+    budgets as (
+        select source, tokens,
+               round(tokens * (repeats * (1 / min(repeats) over ())))::bigint as budget
+        from tried join exponent using (k)),
+    plan as (select *, budget // tokens as blocks, budget % tokens as rest from budgets),
+    last as (
+        select source, rest, n_tokens,
+               ('0x' || substr(md5('0:' || blocks || ':' || doc_id), 1, 8))::bigint >> 2 as place
+        from sized join plan using (source) where rest > 0),
+    upto as (
+        select source, place, rest, sum(sum(n_tokens)) over (partition by source order by place) as upto
+        from last group by source, place, rest),
+    cuts as (select source, min(place) as cut from upto where upto > rest group by source),
+    taken as (
+        select s.*, p.tokens, p.budget,
+               coalesce(blocks + (('0x' || substr(md5('0:' || blocks || ':' || doc_id), 1, 8))::bigint >> 2
+                                  < coalesce(cut, 0))::bigint, 1) as copies
+        from sized as s left join plan as p using (source) left join cuts using (source)),
+    placed as (
+        select *, ('0x' || substr(md5('0:' || block || ':' || doc_id), 1, 8))::bigint >> 2 as place
+        from taken, unnest(range(0, copies)) as r(block))
+    select doc_id, source, n_tokens, block, place,
+           coalesce((block + place / {1 << PLACE_BITS}) * tokens / budget, 0) as at
+    from placed"""
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
+    "op5_mixing": MIXING,
     "op10_substring_dedup": SUBSTRING_DEDUP,
 }
