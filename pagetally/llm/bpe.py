@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import slices
+from pagetally.llm.common import slices, with_fields
 
 #: Pre-tokens whose ids a task remembers. A bound of memory only: others are encoded again.
 CACHE = 200_000
@@ -143,8 +143,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep: tuple[str, ...]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "n_tokens", "ids"])
 
     rows = docs.select(*kept, F.col("text").cast("string").alias("text"))
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in kept)
-    return rows.mapInArrow(run, f"{names}, n_tokens long, ids binary")
+    return rows.mapInArrow(run, with_fields(rows.select(*kept), "n_tokens long, ids binary"))
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
@@ -158,12 +157,11 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             decoded = pa.array([coder.decode(i) for i in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*names, "decoded"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(run, f"{fields}, decoded binary")
+    return encoded.mapInArrow(run, with_fields(encoded, "decoded binary"))
 
 
 def with_digests(decoded: DataFrame) -> DataFrame:
-    """Digests of both directions in place of nothing: ids_sha256 and decoded_sha256."""
+    """The rows with digests of both directions: ids_sha256 and decoded_sha256."""
     return decoded.withColumns(
         {"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2("decoded", 256)}
     )

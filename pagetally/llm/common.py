@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pagetally.session import run_dir
 
@@ -49,3 +50,8 @@ def parts(df: DataFrame, per_input: int = 1) -> int:
     """Partitions for an exchange of what a scan yields: they follow the size of the input."""
     setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(setting, per_input * df.rdd.getNumPartitions())
+
+
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """The schema of a DataFrame and more fields after it."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetally.llm import bpe, mixing, quality_rules, simhash, substring_dedup
+from pagetally.llm import bpe, mixing, quality_rules, simhash, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs.select("doc_id", "text"), toxicity.fit_labels(docs, labels)).drop("text")
+
+
 #: Flat as far as no source comes more than twice; every document comes at least once.
 MIX = mixing.Target(max_repeats=2.0)
 
@@ -55,6 +60,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
+    "op3_toxicity": op3_toxicity,
     "op5_mixing": op5_mixing,
     "op8_simhash": op8_simhash,
     "op10_substring_dedup": op10_substring_dedup,

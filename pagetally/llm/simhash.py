@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetally.llm.common import lower_words, slices, stored
@@ -194,3 +194,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     return classes(prints, radius).select(
         "doc_id", hexed.alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """The rows of docs that stay: of each group of near-duplicates the smallest doc_id, and of
+    rows that repeat it the one with the smallest text. Rows of null doc_id all stay. Columns are
+    those of docs."""
+    found = near_duplicates(docs, shingle, radius)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("#gone")).distinct()
+    left = docs.join(gone, docs["doc_id"].cast("long") == F.col("#gone"), "left_anti")
+    apart = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    rank = F.row_number().over(Window.partitionBy("doc_id", "#apart").orderBy("text"))
+    ranked = left.withColumn("#apart", apart).withColumn("#rank", rank)
+    return ranked.where(F.col("#rank") == 1).select(*docs.columns)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import parts, slices, words
+from pagetally.llm.common import parts, slices, with_fields, words
 
 WINDOW = 13
 #: Words of the runs that minimisers are taken from.
@@ -278,5 +278,5 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             new = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], [*columns, *mine])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return joined.mapInArrow(run, f"{fields}, n_words long, n_removed long, kept_text string")
+    more = "n_words long, n_removed long, kept_text string"
+    return joined.mapInArrow(run, with_fields(docs.select(*columns), more))
