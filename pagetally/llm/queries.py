@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetally.llm import bpe, mixing, quality_rules, simhash, substring_dedup, toxicity
+from pagetally.llm import bpe, mixing, quality_fm, quality_rules, simhash, substring_dedup, toxicity
+from pagetally.llm.common import crc_of_id
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +51,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op9_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_of_id() % 3 == 1
+    machine = quality_fm.fit_labels(docs, labels.where(~held_out))
+    scored = quality_fm.score(docs.select("doc_id", "text"), machine)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     left = substring_dedup.dedup(docs, window=13)
@@ -63,5 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_mixing": op5_mixing,
     "op8_simhash": op8_simhash,
+    "op9_quality_fm": op9_quality_fm,
     "op10_substring_dedup": op10_substring_dedup,
 }
