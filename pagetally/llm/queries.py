@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetally.llm import bpe, mixing, quality_fm, quality_rules, simhash, substring_dedup, toxicity
+from pagetally.llm import bpe, maxent, mixing, quality_fm, quality_rules, simhash, substring_dedup, toxicity
 from pagetally.llm.common import crc_of_id
 
 
@@ -38,6 +38,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", "text"), toxicity.fit_labels(docs, labels)).drop("text")
 
 
+def op4_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_of_id() % 5 == 1
+    docs = table(spark, sf_dir, "documents")
+    scored = maxent.score(docs, training=~held_out)
+    return scored.withColumn("held_out", held_out)
+
+
 #: Flat as far as no source comes more than twice; every document comes at least once.
 MIX = mixing.Target(max_repeats=2.0)
 
@@ -70,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
+    "op4_maxent": op4_maxent,
     "op5_mixing": op5_mixing,
     "op8_simhash": op8_simhash,
     "op9_quality_fm": op9_quality_fm,
