@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetally.llm import bpe, maxent, mixing, quality_fm, quality_rules, simhash, substring_dedup, toxicity
+from pagetally.llm import bpe, maxent, mixing, nn_descent, quality_fm, quality_rules, simhash, substring_dedup, toxicity
 from pagetally.llm.common import crc_of_id
 
 
@@ -54,6 +54,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(docs, MIX).drop("text")
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_maxent": op4_maxent,
     "op5_mixing": op5_mixing,
+    "op7_nn_descent": op7_nn_descent,
     "op8_simhash": op8_simhash,
     "op9_quality_fm": op9_quality_fm,
     "op10_substring_dedup": op10_substring_dedup,
