@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetally.llm import bpe, maxent, mixing, nn_descent, quality_fm, quality_rules, simhash, substring_dedup, toxicity
+from pagetally.llm import bpe, maxent, mixing, nn_descent, quality_fm, quality_rules, simhash, substring_dedup, tool_calls, toxicity
 from pagetally.llm.common import crc_of_id
 
 
@@ -54,6 +54,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(docs, MIX).drop("text")
 
 
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.calls_of(table(spark, sf_dir, "conversations"))
+    linked = tool_calls.link(calls, results, tool_calls.TOOLS)
+    return linked.withColumn("problems", F.array_join("problems", ","))
+
+
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_maxent": op4_maxent,
     "op5_mixing": op5_mixing,
+    "op6_tool_calls": op6_tool_calls,
     "op7_nn_descent": op7_nn_descent,
     "op8_simhash": op8_simhash,
     "op9_quality_fm": op9_quality_fm,

@@ -144,8 +144,57 @@ MIXING = rf"""
     from placed"""
 
 
+# Every call has one result at most here, and what a call comes after is two turns before it.
+TOOL_CALLS = """
+    with recursive asked as (
+        select conv_id, turn, text, 'call-' || conv_id || '-' || turn as call_id,
+               turn // 2 % 3 as kind, length(text) as size
+        from conversations where role = 'user'),
+    answered as (
+        select conv_id, turn, text, 'call-' || conv_id || '-' || (turn - 1) as call_id
+        from conversations where role = 'assistant'),
+    depth as (
+        select conv_id, turn, 0::bigint as level from asked as a
+        where not exists (select 1 from asked as b where b.conv_id = a.conv_id and b.turn = a.turn - 2)
+        union all
+        select a.conv_id, a.turn, level + 1
+        from depth as d join asked as a on a.conv_id = d.conv_id and a.turn = d.turn + 2),
+    called as (
+        select a.*, level,
+               case kind when 0 then 'search' when 1 then 'translate' else 'count_words' end as name,
+               case when kind = 0 then '{"limit":' || case when size % 7 = 0
+                        then '"' || (size % 20 + 1) || '"' else (size % 20 + 1)::varchar end
+                        || ',"query":' || to_json(text) || '}'
+                    when kind = 1 then '{"target":"' || ['en', 'de', 'fr', 'es', 'xx'][size % 5 + 1]
+                        || '","text":' || to_json(text) || '}'
+                    when size % 11 = 0 then '{"lang":"en","options":{"least":' || size % 3 || ',"unique":true}}'
+                    else '{"options":{"least":' || size % 3 || ',"unique":true},"text":' || to_json(text) || '}'
+               end as arguments,
+               case when kind = 0 and size % 7 = 0 then 'type:limit'
+                    when kind = 1 and size % 5 = 4 then 'choice:target'
+                    when kind = 2 and size % 11 = 0 then 'missing:text,unexpected:lang'
+                    else '' end as problems
+        from asked as a join depth using (conv_id, turn)),
+    linked as (
+        select coalesce(c.conv_id, r.conv_id) as conv_id, coalesce(c.call_id, r.call_id) as call_id,
+               coalesce(c.turn, r.turn) as turn, level, name, arguments, coalesce(problems, '') as problems,
+               r.text as result, (c.call_id is not null)::bigint as n_calls,
+               (r.call_id is not null)::bigint as n_results,
+               case when c.call_id is null then 'no_call' when r.call_id is null then 'no_result'
+                    else 'linked' end as status
+        from called as c full join answered as r on c.conv_id = r.conv_id and c.call_id = r.call_id)
+    select conv_id, call_id, turn, level, status, problems, n_calls, n_results,
+           '{' || coalesce('"arguments":' || arguments || ',', '') || '"call_id":"' || call_id
+           || '","conv_id":' || conv_id || coalesce(',"name":"' || name || '"', '')
+           || case when problems = '' then '' else
+                ',"problems":["' || replace(problems, ',', '","') || '"]' end
+           || coalesce(',"result":' || to_json(result), '') || ',"status":"' || status || '"}' as message
+    from linked"""
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
     "op5_mixing": MIXING,
+    "op6_tool_calls": TOOL_CALLS,
     "op10_substring_dedup": SUBSTRING_DEDUP,
 }
