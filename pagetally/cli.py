@@ -2,7 +2,8 @@
 
 Settings of brokers and databases are read from a file of key=value lines (--settings):
 kafka.bootstrap.servers, mysql.url, mysql.username, mysql.password, and optionally
-mysql.driver.
+mysql.driver. All other kafka.* settings go to the reader or the writer of the topic, as
+security settings do; kafka.auto.offset.reset says where a first start begins.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagetally import schemas
 from pagetally.config import JobConfig
+from pagetally.operators.parsing import rejected_lines
 from pagetally.plans import reports
 from pagetally.session import build_session
 from pagetally.sinks import Console, FileTable, JdbcTable
@@ -23,6 +25,7 @@ RESULTS = {
     "hot_section": ("hot_section", schemas.HOT_SECTION),
     "hot_article": ("hot_article", schemas.HOT_ARTICLE),
     "client_access": ("client_ip_access", schemas.CLIENT_IP_ACCESS),
+    "rejected_lines": ("rejected_lines", schemas.REJECTED),
 }
 DIMENSIONS = {
     "hot_section": ("pre_forum_forum", schemas.SECTION_DIM),
@@ -48,7 +51,7 @@ def parser() -> argparse.ArgumentParser:
 
     p.add_argument("--dim-files", help="parquet dimension instead of the database table")
     p.add_argument("--dim-table", help="name of the database table")
-    p.add_argument("--dim-parts", type=int, default=1, help="parallel reads of the table")
+    p.add_argument("--dim-parts", type=int, default=8, help="parallel reads of the table")
 
     out = p.add_mutually_exclusive_group(required=True)
     out.add_argument("--out-files", help="folder of parquet files")
@@ -59,6 +62,7 @@ def parser() -> argparse.ArgumentParser:
 
     p.add_argument("--checkpoint", help="checkpoint folder of a stream")
     p.add_argument("--available-now", action="store_true", help="stop when all is read")
+    p.add_argument("--state-partitions", type=int, help="of a stream, fixed by its first start")
     p.add_argument("--interval", default="1 minute", help="time between micro-batches")
 
     d = JobConfig()
@@ -82,6 +86,12 @@ def settings(path: str | None) -> dict[str, str]:
     return {k.strip(): v.strip() for k, _, v in (r.partition("=") for r in rows)}
 
 
+def _kafka(values: dict[str, str]) -> dict[str, str]:
+    """The kafka.* settings without that prefix, and without the servers."""
+    found = {k.removeprefix("kafka."): v for k, v in values.items() if k.startswith("kafka.")}
+    return {k: v for k, v in found.items() if k != "bootstrap.servers"}
+
+
 def _connection(values: dict[str, str]) -> dict[str, str]:
     names = {"mysql.username": "user", "mysql.password": "password", "mysql.driver": "driver"}
     return {option: values[key] for key, option in names.items() if key in values}
@@ -102,6 +112,7 @@ def source(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
         args.topic,
         max_offsets_per_trigger=args.max_offsets,
         min_partitions=args.min_partitions,
+        consumer=_kafka(values),
     )
     return lines.kafka_lines(spark, options)
 
@@ -145,13 +156,18 @@ def run(spark: SparkSession, args) -> None:
     values, cfg = settings(args.settings), config(args)
     rows = source(spark, args, values)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.interval}
-    if rows.isStreaming and not args.checkpoint:
-        raise SystemExit("a stream needs --checkpoint")
+    if rows.isStreaming:
+        if not args.checkpoint:
+            raise SystemExit("a stream needs --checkpoint")
+        spark.streams.addListener(runner.LateRows())
+        if args.state_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
     if args.job == "land_raw_logs":
         if not rows.isStreaming:
             raise SystemExit("land_raw_logs needs a stream")
         if args.out_kafka:
-            options = runner.producer_options(values["kafka.bootstrap.servers"], args.topic)
+            servers = values["kafka.bootstrap.servers"]
+            options = runner.producer_options(servers, args.topic, _kafka(values))
             runner.publish_raw_logs(rows, options, args.checkpoint, trigger).awaitTermination()
         elif args.out_files:
             runner.land_raw_logs(
@@ -171,6 +187,14 @@ def run(spark: SparkSession, args) -> None:
         else:
             target.write(reports.client_access(rows, cfg))
         return
+    if args.job == "rejected_lines":
+        if rows.isStreaming:
+            runner.start_rejected_lines(
+                rows, target, args.checkpoint, cfg, trigger
+            ).awaitTermination()
+        else:
+            target.write(rejected_lines(rows, cfg.honor_offset))
+        return
     dim = dimension(spark, args, values)
     start, report = {
         "hot_section": (runner.start_hot_section, reports.hot_section),

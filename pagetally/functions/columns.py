@@ -37,13 +37,13 @@ def request_part(request: Column, index: int) -> Column:
 
 
 def page_id(request: Column, pattern: str) -> Column:
-    """Numeric page id named by the request; 0 if it names none or the id exceeds INT.
+    """Numeric page id named by the request; 0 if it names none or the id exceeds BIGINT.
 
     The empty match is turned into NULL before the cast: try_cast of '' raises and catches
     an exception for each row inside the JVM, which costs more than all the parsing.
     """
     digits = F.regexp_extract(request_part(request, 1), pattern, 2)
-    return F.coalesce(F.nullif(digits, F.lit("")).try_cast("int"), F.lit(0))
+    return F.coalesce(F.nullif(digits, F.lit("")).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def time_text(ts: Column) -> Column:

@@ -12,12 +12,13 @@ def _unique(dim: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def sections(dim: DataFrame) -> DataFrame:
-    return _unique(dim.select("fid", "name").where(F.col("fid").isNotNull()), "fid", "name")
+    """Sections by id. Id 0 stands for visits of no section, so no section has it."""
+    return _unique(dim.select("fid", "name").where(F.col("fid") > 0), "fid", "name")
 
 
 def articles(dim: DataFrame) -> DataFrame:
-    """Articles with a subject; empty and NULL subjects are left out."""
-    kept = dim.select("tid", "subject").where((F.col("subject") != "") & F.col("tid").isNotNull())
+    """Articles with a subject; empty and NULL subjects are left out, and id 0 with them."""
+    kept = dim.select("tid", "subject").where((F.col("subject") != "") & (F.col("tid") > 0))
     return _unique(kept, "tid", "subject")
 
 
@@ -33,29 +34,55 @@ def fits_broadcast(dim: DataFrame) -> bool:
     return limit >= 0 and int(str(size)) <= limit
 
 
+def hot_keys(visits: DataFrame, visit_key: str, share: float) -> dict[int, float]:
+    """Ids that more than a share of all visits has, with their shares; 1 / share ids at most."""
+    counts = visits.where(F.col(visit_key) > 0).groupBy(visit_key).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.where(F.col("n") > share * total).collect()
+    return {r[visit_key]: r["n"] / total for r in rows}
+
+
 def lookup(
     visits: DataFrame, dim: DataFrame, visit_key: str, dim_key: str, salts: int = 8
 ) -> DataFrame:
-    """Inner join of every visit with its dimension row (N:1); `dim` has unique keys.
+    """Inner join of every visit with its dimension row (N:1); `dim` has unique keys above 0.
 
-    A dimension of checked size is broadcast: no shuffle of visits, no skew. A larger one is
-    joined by key and salt, so that the visits of one hot page spread over `salts` tasks while
-    each dimension row is repeated once per salt; AQE may split a batch further.
+    Visits without a page (id 0) are left out before anything is moved. A dimension of checked
+    size is broadcast: no shuffle of visits, no skew. A larger one is joined by key and salt. In
+    a batch the visits per key are counted first, and a hot page gets as many salts as its share
+    fills partitions twice over, so that it spreads as evenly as all others; only its dimension
+    row is repeated. A stream cannot count ahead: there each key has `salts` of them.
     """
-    dim = dim.withColumnRenamed(dim_key, visit_key)
+    visits = visits.where(F.col(visit_key) > 0)
+    kind = visits.schema[visit_key].dataType
+    others = [c for c in dim.columns if c != dim_key]
+    dim = dim.select(F.col(dim_key).cast(kind).alias(visit_key), *others)
     if fits_broadcast(dim):
         return visits.join(F.broadcast(dim), visit_key)
-    salted = visits.withColumn(
-        "_salt", F.pmod(F.xxhash64("client_ip", "event_time"), F.lit(salts)).cast("int")
-    )
-    repeated = dim.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    number = F.lit(salts)
+    if not visits.isStreaming:
+        partitions = int(visits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hot = hot_keys(visits, visit_key, 0.25 / partitions)
+        number = F.lit(1)
+        if hot:
+            pairs = [(F.lit(k).cast(kind), F.lit(int(4 * v * partitions) + 1)) for k, v in hot.items()]
+            number = F.coalesce(F.create_map(*[x for p in pairs for x in p])[F.col(visit_key)], number)
+    drawn = F.pmod(F.xxhash64("client_ip", "event_time"), number)
+    salted = visits.withColumn("_salt", drawn.cast("int"))
+    repeated = dim.select("*", F.explode(F.sequence(F.lit(0), number - 1)).alias("_salt"))
     return salted.join(repeated, [visit_key, "_salt"]).drop("_salt")
 
 
-def name_counts(counts: DataFrame, dim: DataFrame, count_key: str, dim_key: str) -> DataFrame:
-    """Inner join of finished counts with the dimension.
+def name_counts(
+    counts: DataFrame, dim: DataFrame, count_key: str, dim_key: str, how: str = "inner"
+) -> DataFrame:
+    """Finished counts with the names of the dimension.
 
     Counts hold one row per key and window, so there is no skew left to salt against; Spark
-    picks broadcast or sort-merge by size, at run time where AQE is on.
+    picks broadcast or sort-merge by size, at run time where AQE is on. A left join keeps the
+    counts of a page that has left the dimension since, without a name.
     """
-    return counts.join(dim.withColumnRenamed(dim_key, count_key), count_key)
+    kind = counts.schema[count_key].dataType
+    others = [c for c in dim.columns if c != dim_key]
+    named = dim.select(F.col(dim_key).cast(kind).alias(count_key), *others)
+    return counts.join(named, count_key, how)

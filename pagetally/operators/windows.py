@@ -26,8 +26,8 @@ def top_n(counts: DataFrame, n: int, tie: str) -> DataFrame:
     """The n rows with the highest `pv` of each window; equal counts in order of `tie`.
 
     For small n Spark keeps n rows per task before the shuffle (WindowGroupLimit). Above the
-    threshold of that rule a first ranking within spread groups does the same, so that no
-    task has to rank a whole window.
+    threshold of that rule a first ranking within spread groups does the same: the last task of
+    a window then ranks the n first rows of each of these groups, not the whole window.
     """
     limit = int(
         counts.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")

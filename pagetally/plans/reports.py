@@ -43,16 +43,19 @@ def page_visits(
 def page_counts(
     visits: DataFrame, dim: DataFrame, kind: PageKind, cfg: JobConfig
 ) -> DataFrame:
-    """Visits of known pages per page and window: id, name, window, pv.
+    """Visits of known pages per page and window: id, window, pv, and in a batch the name.
 
     A batch counts first and names the few counted rows, so that no visit is shuffled for
-    the join. A stream names first: only visits of known pages may move its watermark.
+    the join. A stream looks ids up first: only visits of known pages may move its watermark.
+    Its counts have no name; the closed ones are named where they are written.
     """
     width, start = cfg.hot_window, cfg.window_start_time
     if visits.isStreaming:
-        named = page_visits(visits, dim, kind, cfg)
-        named = named.withWatermark("event_time", cfg.watermark_delay)
-        return windows.tumbling_count(named, [kind.visit_key, kind.name], width, start)
+        ids = dim.select(kind.dim_key)
+        known = D.lookup(visits, ids, kind.visit_key, kind.dim_key, cfg.lookup_salts)
+        known = known.select(kind.visit_key, "event_time")
+        known = known.withWatermark("event_time", cfg.watermark_delay)
+        return windows.tumbling_count(known, [kind.visit_key], width, start)
     counts = windows.tumbling_count(visits, [kind.visit_key], width, start)
     return D.name_counts(counts, dim, kind.visit_key, kind.dim_key)
 

@@ -18,19 +18,21 @@ def write_visits(
     lines: DataFrame,
     path: str,
     honor_offset: bool = False,
-    cluster_days: bool = False,
-    mode: str = "append",
+    cluster_days: bool = True,
+    replace_days: bool = False,
 ) -> None:
-    """Store the visits by day.
+    """Store the visits by day, after those that are there or, with `replace_days`, in place of
+    all visits of the days that the lines have: then a run can be repeated.
 
-    Log files hold few days each and so do the tasks that read them: no shuffle is needed.
-    For lines in no such order, `cluster_days` brings each day together before writing;
-    large days are split over several tasks and small ones merged at run time.
+    Each day is brought together before writing, or every task would write a file into every day
+    it meets; large days are split over several tasks and small ones merged at run time. Log
+    files that hold few days each need no such shuffle (`cluster_days=False`).
     """
     dated = visit_facts(lines, honor_offset).withColumn("visit_date", F.to_date("event_time"))
     if cluster_days:
         dated = dated.hint("rebalance", "visit_date")
-    dated.write.mode(mode).partitionBy("visit_date").parquet(path)
+    writer = dated.write.mode("overwrite" if replace_days else "append").partitionBy("visit_date")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_visits(

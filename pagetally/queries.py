@@ -245,7 +245,7 @@ def client_access_shop(spark, sf_dir):
 def top_parts_3d(spark, sf_dir):
     """Counting and ranking alone, on typed columns without any text."""
     items = _table(spark, sf_dir, "lineitem").select(
-        (F.col("l_partkey") + 1).cast("int").alias("article_id"),
+        (F.col("l_partkey") + 1).cast("bigint").alias("article_id"),
         F.col("l_shipdate").cast("timestamp").alias("event_time"),
     )
     cfg = JobConfig(top_n=3)
@@ -257,7 +257,7 @@ def top_parts_3d(spark, sf_dir):
 def client_access_from_table(spark, sf_dir):
     """The client report from the stored visits instead of from text."""
     path = run_dir(spark, "visits")
-    visits.write_visits(_forum(spark, sf_dir), path, cluster_days=True)
+    visits.write_visits(_forum(spark, sf_dir), path)
     return reports.client_counts(visits.read_visits(spark, path), JobConfig())
 
 
@@ -300,6 +300,17 @@ def stream_client_access(spark, sf_dir):
     return table.read(spark)
 
 
+@query
+def stream_client_access_two_runs(spark, sf_dir):
+    """Two streams of their own checkpoints into one result table: both results are there."""
+    work = run_dir(spark, "stream_two_runs")
+    table = FileTable(f"{work}/out", schemas.CLIENT_IP_ACCESS)
+    for name in ("first", "second"):
+        source = _forum_stream(spark, sf_dir)
+        runner.start_client_access(source, table, f"{work}/{name}").awaitTermination()
+    return table.read(spark)
+
+
 @query
 def stream_hot_section(spark, sf_dir):
     work = run_dir(spark, "stream_hot_section")
@@ -319,6 +330,25 @@ def stream_hot_article(spark, sf_dir):
     return table.read(spark)
 
 
+@query
+def stream_hot_article_renamed(spark, sf_dir):
+    """A stream that is stopped halfway and goes on after all subjects were edited."""
+    work = run_dir(spark, "stream_renamed")
+    table = FileTable(f"{work}/out", schemas.HOT_ARTICLE)
+    events, dim = _table(spark, sf_dir, "events"), _articles(spark, sf_dir)
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    middle = ends.select((F.col("low") + (F.col("high") - F.col("low")) / 2).alias("at")).first().at
+    edited = F.when(F.col("subject") != "", F.concat("subject", F.lit(" (new)"))).otherwise("")
+    runs = [(F.col("ts") < middle, dim), (F.col("ts") >= middle, dim.withColumn("subject", edited))]
+    for part, names in runs:
+        events.where(part).write.mode("append").parquet(f"{work}/events")
+        source = spark.readStream.schema(events.schema).parquet(f"{work}/events")
+        runner.start_hot_article(
+            derived.forum_lines(source), names, table, f"{work}/checkpoint", JobConfig(top_n=3)
+        ).awaitTermination()
+    return table.read(spark)
+
+
 @query
 def land_raw_logs(spark, sf_dir):
     work = run_dir(spark, "land_raw_logs")
@@ -340,7 +370,7 @@ def client_access_from_text(spark, sf_dir):
 @query
 def hot_article_from_landed(spark, sf_dir):
     landed = land_raw_logs(spark, sf_dir)
-    return reports.hot_article(lines.spread(landed), _articles(spark, sf_dir))
+    return reports.hot_article(landed, _articles(spark, sf_dir))
 
 
 @query

@@ -15,8 +15,8 @@ VISIT = T.StructType(
     [
         T.StructField("client_ip", T.StringType()),
         T.StructField("event_time", T.TimestampType()),
-        T.StructField("section_id", T.IntegerType()),
-        T.StructField("article_id", T.IntegerType()),
+        T.StructField("section_id", T.LongType()),
+        T.StructField("article_id", T.LongType()),
     ]
 )
 
@@ -26,19 +26,20 @@ def _result(key: str, key_type: T.DataType, *rest: T.StructField) -> T.StructTyp
     return T.StructType([T.StructField(key, key_type), *rest, *bounds])
 
 
-# Result tables as the sinks receive them: counts are INT there, window bounds are text.
+# Result tables as the sinks receive them: ids and counts are BIGINT, window bounds are text.
 HOT_SECTION = _result(
     "section_id",
-    T.IntegerType(),
+    T.LongType(),
     T.StructField("name", T.StringType()),
-    T.StructField("section_pv", T.IntegerType()),
+    T.StructField("section_pv", T.LongType()),
 )
 HOT_ARTICLE = _result(
     "article_id",
-    T.IntegerType(),
+    T.LongType(),
     T.StructField("subject", T.StringType()),
-    T.StructField("article_pv", T.IntegerType()),
+    T.StructField("article_pv", T.LongType()),
 )
+REJECTED = T.StructType([T.StructField(c, T.StringType()) for c in ("value", "reason")])
 CLIENT_IP_ACCESS = _result(
-    "client", T.StringType(), T.StructField("client_access_cnt", T.IntegerType())
+    "client", T.StringType(), T.StructField("client_access_cnt", T.LongType())
 )

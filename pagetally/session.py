@@ -16,6 +16,8 @@ DEFAULTS = {
     # Many initial partitions, merged by AQE down to what the data needs.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Texts can be long: few of them in each batch that goes to Python.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Window counters of a stream live off-heap and on disk, and upload only what changed.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -52,6 +54,29 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir()
 
 
+def _path(spark: SparkSession, path: str):
+    """A path of any file system that Spark knows, and that file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop, files = _path(spark, path)
+    return files.exists(hadoop)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if it is not there."""
+    hadoop, files = _path(spark, path)
+    return [str(f.getPath()) for f in files.listStatus(hadoop)] if files.exists(hadoop) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package has written."""
+    hadoop, files = _path(spark, path)
+    files.delete(hadoop, True)
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run under the shared folder."""
     return f"{shared_dir(spark)}/pagetally/{name}-{uuid.uuid4().hex}"

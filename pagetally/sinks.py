@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .session import delete, exists
+from .sources.dimensions import driver_settings
+
+
+class Batch(NamedTuple):
+    """A micro-batch: the id of its query, the same over restarts, and its number there."""
+
+    query: str
+    id: int
+
 
 def as_result(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns in the order and types of a result table (counts become INT)."""
+    """Columns in the order and types of a result table."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
@@ -31,6 +43,7 @@ class JdbcTable:
             "dbtable": self.table,
             "numPartitions": str(self.max_connections),
             "batchsize": str(self.batch_size),
+            **driver_settings(self.url),
             **self.connection,
         }
 
@@ -40,36 +53,58 @@ class JdbcTable:
         """
         return as_result(df, self.schema).repartition(self.max_connections)
 
-    def write(self, df: DataFrame, batch_id: int | None = None) -> None:
+    def write(self, df: DataFrame, batch: Batch | None = None) -> None:
         rows = self.prepared(df)
         rows.write.format("jdbc").options(**self.options()).mode("append").save()
 
 
 @dataclass(frozen=True)
 class FileTable:
-    """Parquet files. Each micro-batch owns a folder, so its replay replaces its own rows."""
+    """Parquet files.
+
+    Each micro-batch owns a folder, so its replay replaces its own rows, and each query has its
+    folders in one of its own: batches of another checkpoint have the same numbers. A batch
+    without rows leaves no folder behind.
+    """
 
     path: str
     schema: StructType
 
-    def write(self, df: DataFrame, batch_id: int | None = None) -> None:
+    def write(self, df: DataFrame, batch: Batch | None = None) -> None:
         rows = as_result(df, self.schema)
-        if batch_id is None:
+        if batch is None:
             rows.write.mode("append").parquet(self.path)
-        else:
-            rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+            return
+        spark, folder = df.sparkSession, f"{self.path}/query={batch.query}/batch_id={batch.id}"
+        rows = rows.persist()  # the few rows of closed windows, looked at and then written
+        try:
+            if not rows.isEmpty():
+                rows.write.mode("overwrite").parquet(folder)
+            elif exists(spark, folder):  # what an earlier try has written
+                delete(spark, folder)
+        finally:
+            rows.unpersist()
 
     def read(self, spark) -> DataFrame:
+        """All rows; none where nothing was ever written."""
+        if not exists(spark, self.path):
+            return spark.createDataFrame([], self.schema)
         files = spark.read.schema(self.schema).option("recursiveFileLookup", "true")
         return files.parquet(self.path)
 
 
 @dataclass(frozen=True)
 class Console:
-    """Print rows, for a look at a job. Shows the first rows only."""
+    """Print every row, on the task that has it: nothing passes through the driver."""
 
     schema: StructType
-    rows: int = 20
+    show: Callable[[str], None] = print
+
+    def write(self, df: DataFrame, batch: Batch | None = None) -> None:
+        names, show = self.schema.fieldNames(), self.show
+
+        def print_rows(rows) -> None:
+            for row in rows:
+                show(", ".join(f"{n}={v}" for n, v in zip(names, row, strict=True)))
 
-    def write(self, df: DataFrame, batch_id: int | None = None) -> None:
-        as_result(df, self.schema).show(self.rows, truncate=False)
+        as_result(df, self.schema).foreachPartition(print_rows)

@@ -14,9 +14,10 @@ from ..functions.columns import once
 
 
 def _address(key: str) -> str:
-    """Client address that encodes the low 24 bits of a numeric key."""
+    """Client address that encodes the low 32 bits of a numeric key."""
     return (
-        f"concat('10.', {key} div 65536 % 256, '.', {key} div 256 % 256, '.', {key} % 256)"
+        f"concat({key} div 16777216 % 256, '.', {key} div 65536 % 256, '.', "
+        f"{key} div 256 % 256, '.', {key} % 256)"
     )
 
 

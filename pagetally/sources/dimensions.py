@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..session import run_dir
+from ..session import children, delete, run_dir, shared_dir
+
+
+def driver_settings(url: str) -> dict[str, str]:
+    """What the MySQL driver needs to honour Spark's fetch and batch sizes: without a cursor it
+    holds a whole result in the task, and without rewriting it sends batches row by row."""
+    if not url.startswith(("jdbc:mysql:", "jdbc:mariadb:")):
+        return {}
+    return {"useCursorFetch": "true", "rewriteBatchedStatements": "true"}
 
 
 def jdbc_options(
     url: str, table: str, connection: dict[str, str] | None = None, fetch_size: int = 10_000
 ) -> dict[str, str]:
-    return {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **(connection or {})}
+    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
+    return {**options, **driver_settings(url), **(connection or {})}
 
 
 def jdbc_dimension(
@@ -42,12 +54,23 @@ def jdbc_dimension(
     return spark.read.format("jdbc").options(**options).load().select(*columns)
 
 
-def snapshot(dim: DataFrame, name: str) -> DataFrame:
+def snapshot(dim: DataFrame, name: str, owner: str | None = None) -> DataFrame:
     """Write a prepared dimension once to the shared folder and read it from there.
 
     A stream then looks up one fixed state of the table, does not query the database per
-    micro-batch, survives lost executors, and Spark knows the size for its join choice.
+    micro-batch, survives lost executors, and Spark knows the size for its join choice. With an
+    `owner`, the checkpoint of the one query that reads it, earlier snapshots of that owner are
+    removed once the new one is written.
     """
-    path = run_dir(dim.sparkSession, f"dim-{name}")
+    spark = dim.sparkSession
+    if owner is None:
+        path = run_dir(spark, f"dim-{name}")
+    else:
+        mark = hashlib.sha256(owner.encode()).hexdigest()[:16]
+        folder = f"{shared_dir(spark)}/pagetally/dim-{name}-{mark}"
+        earlier = children(spark, folder)
+        path = f"{folder}/{uuid.uuid4().hex}"
     dim.write.parquet(path)
-    return dim.sparkSession.read.schema(dim.schema).parquet(path)
+    for old in earlier if owner is not None else []:
+        delete(spark, old)
+    return spark.read.schema(dim.schema).parquet(path)

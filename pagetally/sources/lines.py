@@ -7,16 +7,34 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import RAW_LINE
 
 DEFAULT_TOPIC = "user_access_logs"
+# Settings of a plain consumer that Spark decides by itself.
+CONSUMER_ONLY = {
+    "key.deserializer",
+    "value.deserializer",
+    "auto.offset.reset",
+    "group.id",
+    "enable.auto.commit",
+}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core although the input has few partitions, as with a few gzip files.
+def input_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate, which comes from the sizes of the files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    Parsing is the costly step, so it pays to deal such rows out first. An input with at
-    least one partition per core, which is any large splittable one, is not shuffled.
+
+def spread(df: DataFrame, bytes_each: int = 64 << 20) -> DataFrame:
+    """Deal rows out where the input has few partitions, as with a few large gzip files.
+
+    Parsing is the costly step, so it pays to use every core, and to use partitions of a size
+    that a task can hold: one per core at least, and one per `bytes_each` of the files. An input
+    that can be split has enough partitions by itself and is not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores, have, size = spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions(), input_bytes(df)
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if have >= cores and size <= 2 * split * have:
+        return df
+    return df.repartition(max(cores, -(-size // bytes_each))) if size < 1 << 60 else df.repartition(cores)
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -35,7 +53,7 @@ def text_line_stream(
 
 def landed_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines stored by the landing job."""
-    return spark.read.schema(RAW_LINE).parquet(path)
+    return spread(spark.read.schema(RAW_LINE).parquet(path))
 
 
 def landed_line_stream(
@@ -56,22 +74,21 @@ def kafka_options(
     consumer: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Reader options. Offsets live in the checkpoint; `starting_offsets` counts only for
-    the first start. `min_partitions` lets more tasks than topic partitions read and parse.
-    Deserializers and the offset reset are Spark's own and are left out.
+    the first start, and an offset reset among the consumer settings is one. `min_partitions`
+    lets more tasks than topic partitions read and parse. Deserializers, groups and commits are
+    Spark's own and are left out.
     """
+    consumer = consumer or {}
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": starting_offsets,
+        "startingOffsets": consumer.get("auto.offset.reset", starting_offsets),
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if min_partitions:
         options["minPartitions"] = str(min_partitions)
-    spark_owned = {"key.deserializer", "value.deserializer", "auto.offset.reset"}
-    for key, value in (consumer or {}).items():
-        if key not in spark_owned:
-            options[f"kafka.{key}"] = value
+    options |= {f"kafka.{k}": v for k, v in consumer.items() if k not in CONSUMER_ONLY}
     return options
 
 

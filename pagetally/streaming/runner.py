@@ -2,28 +2,67 @@
 
 from __future__ import annotations
 
+import json
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..config import JobConfig
-from ..operators.parsing import visit_facts
+from ..operators import dimensions as D
+from ..operators.parsing import rejected_lines, visit_facts
 from ..plans import reports
 from ..plans.reports import ARTICLE, SECTION, PageKind
+from ..sinks import Batch
 from ..sources.dimensions import snapshot
+from ..sources.lines import CONSUMER_ONLY
+
+log = logging.getLogger(__name__)
+
+SERIALIZERS = {"key.serializer", "value.serializer"}  # Spark's own
 
 # Trigger settings: all that is there now, then stop.
 AVAILABLE_NOW = {"availableNow": True}
 
 
+class LateRows(StreamingQueryListener):
+    """Logs how many rows of a micro-batch came after their window was closed."""
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        if late:
+            log.warning("%s, batch %s: %s late rows", event.progress.name, event.progress.batchId, late)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint; it stays the same over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+
+
 def _start(
     df: DataFrame,
-    write: Callable[[DataFrame, int], None],
+    sink_write: Callable[[DataFrame, Batch], None],
     checkpoint: str,
     name: str,
     trigger: dict,
 ) -> StreamingQuery:
+    owner: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not owner:
+            owner.append(query_id(batch.sparkSession, checkpoint))
+        sink_write(batch, Batch(owner[0], batch_id))
+
     writer = df.writeStream.outputMode("append").queryName(name)
     writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
     return writer.foreachBatch(write).start()
@@ -38,16 +77,19 @@ def _start_hot_pages(
     cfg: JobConfig,
     trigger: dict,
 ) -> StreamingQuery:
-    """Count by window in the stream and rank the closed windows of each micro-batch.
+    """Count by id and window in the stream, and rank and name the closed windows of each
+    micro-batch.
 
     All rows of a window close in the same micro-batch, so ranking there is complete, keeps
-    no list of rows as state, and sends n rows per task and window through the shuffle.
+    no list of rows as state, and sends n rows per task and window through the shuffle. Names
+    are no part of the state: a page that is renamed between two starts keeps one counter.
     """
-    fixed = snapshot(kind.prepare(dim), kind.visit_key)
+    fixed = snapshot(kind.prepare(dim), kind.visit_key, owner=checkpoint)
     counts = reports.page_counts(visit_facts(lines, cfg.honor_offset), fixed, kind, cfg)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        sink.write(reports.top_pages(batch, kind, cfg), batch_id)
+    def write(counted: DataFrame, batch: Batch) -> None:
+        named = D.name_counts(counted, fixed, kind.visit_key, kind.dim_key, how="left")
+        sink.write(reports.top_pages(named, kind, cfg), batch)
 
     return _start(counts, write, checkpoint, f"hot_{kind.visit_key}", trigger)
 
@@ -86,6 +128,18 @@ def start_client_access(
     )
 
 
+def start_rejected_lines(
+    lines: DataFrame,
+    sink,
+    checkpoint: str,
+    cfg: JobConfig = JobConfig(),
+    trigger: dict = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """The lines that yield no visit, with the reason, as a result table of their own."""
+    rejected = rejected_lines(lines, cfg.honor_offset)
+    return _start(rejected, sink.write, checkpoint, "rejected_lines", trigger)
+
+
 def _landing(lines: DataFrame, checkpoint: str, trigger: dict) -> DataStreamWriter:
     writer = lines.select("value").writeStream.outputMode("append").queryName("land_raw_logs")
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger)
@@ -102,7 +156,8 @@ def producer_options(
     servers: str, topic: str, producer: dict[str, str] | None = None
 ) -> dict[str, str]:
     """Writer options for a Kafka topic; producer settings are passed through as kafka.*"""
-    settings = {"acks": "1", "linger.ms": "1", "compression.type": "snappy", **(producer or {})}
+    own = {k: v for k, v in (producer or {}).items() if k not in CONSUMER_ONLY | SERIALIZERS}
+    settings = {"acks": "1", "linger.ms": "1", "compression.type": "snappy", **own}
     return {
         "kafka.bootstrap.servers": servers,
         "topic": topic,

@@ -7,8 +7,8 @@ import pytest
 from pagetally import cli, schemas
 from pagetally.config import JobConfig
 from pagetally.plans import reports, visits
-from pagetally.session import DEFAULTS, build_session, run_dir, shared_dir
-from pagetally.sinks import Console, JdbcTable, as_result
+from pagetally.session import DEFAULTS, build_session, exists, run_dir, shared_dir
+from pagetally.sinks import Console, FileTable, JdbcTable, as_result
 from pagetally.sources import derived, dimensions, lines
 from pagetally.streaming import runner
 
@@ -98,13 +98,13 @@ def test_jdbc_sink_options_and_columns(spark):
     sink = JdbcTable("jdbc:x", "hot_section", schemas.HOT_SECTION, {"user": "u"})
     options = sink.options()
     assert options["dbtable"] == "hot_section" and options["user"] == "u"
-    assert options["numPartitions"] == "8"
+    assert options["numPartitions"] == "8" and "useCursorFetch" not in options
     report = spark.createDataFrame(
         [("e", "b", 5, "a", 1)],
         "time_end string, time_beg string, section_pv bigint, name string, section_id int",
     )
     assert as_result(report, schemas.HOT_SECTION).schema.simpleString() == (
-        "struct<section_id:int,name:string,section_pv:int,time_beg:string,time_end:string>"
+        "struct<section_id:bigint,name:string,section_pv:bigint,time_beg:string,time_end:string>"
     )
 
 
@@ -116,10 +116,48 @@ def test_jdbc_rows_come_in_one_partition_per_connection(spark):
     assert sink.prepared(report).rdd.getNumPartitions() == 3
 
 
-def test_console_sink(spark, capfd):
-    frame = spark.createDataFrame([("c", 1, "b", "e")], schemas.CLIENT_IP_ACCESS)
-    Console(schemas.CLIENT_IP_ACCESS).write(frame)
-    assert "client_access_cnt" in capfd.readouterr().out
+def test_console_prints_every_row(spark, folder):
+    def show(text):
+        with open(f"{folder}/printed", "a") as out:
+            out.write(text + "\n")
+
+    frame = spark.range(0, 1000, 1, 7).selectExpr(
+        "concat('c', id) client", "id client_access_cnt", "'b' time_beg", "'e' time_end"
+    )
+    Console(schemas.CLIENT_IP_ACCESS, show).write(frame)
+    with open(f"{folder}/printed") as printed:
+        found = sorted(printed.read().splitlines())
+    want = [f"client=c{i}, client_access_cnt={i}, time_beg=b, time_end=e" for i in range(1000)]
+    assert found == sorted(want)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_counts_beyond_32_bits(spark, folder, ansi):
+    kept = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        table = FileTable(f"{folder}/out", schemas.HOT_SECTION)
+        table.write(
+            spark.createDataFrame([(1, "a", 3_000_000_000, "b", "e")], schemas.HOT_SECTION)
+        )
+        assert [r.section_pv for r in table.read(spark).collect()] == [3_000_000_000]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", kept)
+
+
+def test_clients_of_large_keys_stay_apart(spark):
+    keys = [(1 << 24) + 5, 5, (1 << 31) + 5, (3 << 24) + 5]
+    rows = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    found = {r[0] for r in rows.selectExpr(f"{derived._address('k')} a").collect()}
+    assert found == {"1.0.0.5", "0.0.0.5", "128.0.0.5", "3.0.0.5"}
+
+
+def test_mysql_driver_settings():
+    url = "jdbc:mysql://h/d"
+    assert dimensions.jdbc_options(url, "t")["useCursorFetch"] == "true"
+    assert JdbcTable(url, "t", schemas.HOT_SECTION).options()["rewriteBatchedStatements"] == "true"
+    given = dimensions.jdbc_options(url, "t", {"useCursorFetch": "false"})
+    assert given["useCursorFetch"] == "false"
 
 
 def test_stored_visits_prune_days(spark, folder):
@@ -130,6 +168,7 @@ def test_stored_visits_prune_days(spark, folder):
     assert "PartitionFilters: [isnotnull(visit_date" in plan
     days = {r.event_time.date() for r in some.collect()}
     assert days == {date(2024, 1, 2), date(2024, 1, 3)}
+    visits.write_visits(derived.forum_lines(events), f"{folder}/visits", replace_days=True)
     stored = reports.client_counts(visits.read_visits(spark, f"{folder}/visits"), JobConfig())
     direct = reports.client_access(derived.forum_lines(events))
     assert sorted(stored.collect()) == sorted(direct.collect())
@@ -143,6 +182,17 @@ def test_snapshot_has_a_known_size(spark):
     assert fits_broadcast(fixed) and fixed.collect() == dim.collect()
 
 
+def test_new_snapshot_of_an_owner_replaces_the_old_one(spark, folder):
+    dims = [spark.createDataFrame([(1, name)], schemas.SECTION_DIM) for name in "ab"]
+    owner = f"{folder}/checkpoint"
+    first = dimensions.snapshot(dims[0], "section", owner)
+    kept = dimensions.snapshot(dims[0], "section", "another")
+    second = dimensions.snapshot(dims[1], "section", owner)
+    old = first.inputFiles()[0].rpartition("/")[0]
+    assert not exists(spark, old)
+    assert second.collect() == dims[1].collect() and kept.collect() == dims[0].collect()
+
+
 class FakeCluster:
     """A session with a given master and perhaps a shared folder."""
 
@@ -186,6 +236,53 @@ def test_few_partitions_are_spread(spark):
     assert lines.spread(many) is many
 
 
+def test_large_unsplittable_inputs_are_spread_by_size(spark, monkeypatch):
+    monkeypatch.setattr(lines, "input_bytes", lambda df: 100 << 30)
+    cores = spark.sparkContext.defaultParallelism
+    gzipped = spark.range(0, 100, 1, cores + 1)
+    assert lines.spread(gzipped, bytes_each=1 << 30).rdd.getNumPartitions() == 100
+
+
+def test_landed_lines_are_spread(spark, folder):
+    spark.createDataFrame([("a",)], schemas.RAW_LINE).coalesce(1).write.parquet(f"{folder}/l")
+    cores = spark.sparkContext.defaultParallelism
+    assert lines.landed_lines(spark, f"{folder}/l").rdd.getNumPartitions() == cores
+
+
+def test_rejected_lines_from_the_command_line(spark, folder):
+    spark.createDataFrame([("prose",), ("more",)], schemas.RAW_LINE).write.text(f"{folder}/logs")
+    source = {"batch": ["--text"], "stream": ["--available-now", "--checkpoint", f"{folder}/cp", "--text-stream"]}
+    for kind, options in source.items():
+        args = ["rejected_lines", "--out-files", f"{folder}/{kind}", *options, f"{folder}/logs"]
+        cli.run(spark, cli.parser().parse_args(args))
+        got = FileTable(f"{folder}/{kind}", schemas.REJECTED).read(spark)
+        assert sorted(map(tuple, got.collect())) == [("more", "no_record"), ("prose", "no_record")]
+
+
+def test_kafka_settings_reach_reader_and_writer(monkeypatch):
+    values = {
+        "kafka.bootstrap.servers": "b:9092",
+        "kafka.auto.offset.reset": "latest",
+        "kafka.key.deserializer": "x",
+        "kafka.security.protocol": "SASL_SSL",
+        "mysql.url": "u",
+    }
+    seen = {}
+    monkeypatch.setattr(lines, "kafka_lines", lambda spark, options: seen.update(options))
+    args = cli.parser().parse_args(["client_access", "--kafka", "--out-console"])
+    cli.source(None, args, values)
+    assert seen == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "user_access_logs",
+        "startingOffsets": "latest",
+        "kafka.security.protocol": "SASL_SSL",
+    }
+    written = runner.producer_options("b:9092", "t", cli._kafka(values))
+    assert written["kafka.security.protocol"] == "SASL_SSL"
+    assert not {k for k in written if "offset" in k or "deserializer" in k}
+    assert cli.parser().parse_args(["hot_article", "--kafka", "--out-jdbc"]).dim_parts > 1
+
+
 def test_batch_job_from_the_command_line(spark, folder):
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     derived.forum_lines(events).write.text(f"{folder}/logs")

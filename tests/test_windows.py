@@ -38,7 +38,7 @@ def dim_rows():
 def expected_counts(visit_rows, dim_rows, days=3):
     names = {}
     for tid, subject in dim_rows:
-        if subject:
+        if subject and tid > 0:
             names[tid] = max(subject, names.get(tid, ""))
     counts = Counter()
     for _, time, _, article in visit_rows:
@@ -116,6 +116,37 @@ def test_lookup_with_and_without_broadcast(spark, folder, visit_rows, dim_rows,
     assert ("_salt" in plan) == (threshold == "-1")
 
 
+def test_large_lookup_spreads_hot_pages_evenly(spark, folder):
+    """Three quarters of the visits have no page and a tenth goes to one."""
+    rows = [("c", datetime(2024, 1, 1) + timedelta(seconds=i), 0, [0, 0, 0, i % 997 + 2][i % 4]) for i in range(40_000)]
+    rows += [("c", datetime(2024, 2, 1) + timedelta(seconds=i), 0, 1) for i in range(4_000)]
+    spark.createDataFrame(rows, VISIT).write.parquet(f"{folder}/v")
+    spark.createDataFrame([(i, f"s{i}") for i in range(1, 1000)], ARTICLE_DIM).write.parquet(f"{folder}/d")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    kept = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = D.lookup(
+            spark.read.parquet(f"{folder}/v"), spark.read.parquet(f"{folder}/d"), "article_id", "tid"
+        )
+        sizes = found.rdd.glom().map(len).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 14_000
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_hot_keys_are_those_above_the_share(spark, visit_rows):
+    hot = D.hot_keys(spark.createDataFrame(visit_rows, VISIT), "article_id", 0.2)
+    assert list(hot) == [1] and hot[1] > 0.3
+
+
 def test_unknown_size_is_not_broadcast(spark):
     assert not D.fits_broadcast(spark.createDataFrame(spark.sparkContext.parallelize([(1,)])))
 
@@ -166,7 +197,7 @@ def test_n_must_be_positive():
 def test_prepared_articles(spark, dim_rows):
     rows = D.articles(spark.createDataFrame(dim_rows, ARTICLE_DIM)).collect()
     names = dict(map(tuple, rows))
-    assert len(rows) == len(names) == 50
+    assert len(rows) == len(names) == 49 and 0 not in names
     assert names[3] == "subject 3 again" and names[4] == "subject 4"
     assert all(names.values())
 
