@@ -11,17 +11,16 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import slices, with_fields
+from pagetally.llm.common import slices, whole_texts, with_fields
 
 #: Pre-tokens whose ids a task remembers. A bound of memory only: others are encoded again.
-CACHE = 200_000
+CACHE = 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -97,11 +96,11 @@ class ByteBpe:
         to_byte = {c: b for b, c in enumerate(alphabet)}
         size = self.model.get_piece_size() - 1
         self.bytes_of = [bytes(map(to_byte.get, self.model.id_to_piece(i))) for i in range(size)]
-        self.ids: dict[str, list[int]] = {}
+        self.ids: dict[str, bytes] = {}
         self.cache = cache
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text, as little-endian unsigned 32-bit integers."""
+    def encode(self, text: str) -> bytes:
+        """Ids of a text, packed as little-endian unsigned 32-bit integers."""
         tokens, ids = self.split(text), self.ids
         if new := [t for t in dict.fromkeys(tokens) if t not in ids]:
             if len(ids) + len(new) > self.cache:
@@ -109,12 +108,13 @@ class ByteBpe:
                 new = list(dict.fromkeys(tokens))
             # The bytes, as the characters of their codes, become the model's alphabet.
             mapped = [t.encode().decode("latin-1").translate(self.to_chars) for t in new]
-            ids.update(zip(new, self.model.encode(mapped, num_threads=1), strict=True))
-        return np.fromiter(chain.from_iterable(map(ids.__getitem__, tokens)), "<u4")
+            for token, found in zip(new, self.model.encode(mapped, num_threads=1), strict=True):
+                ids[token] = struct.pack(f"<{len(found)}I", *found)
+        return b"".join(map(ids.__getitem__, tokens))
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes that the ids stand for, in order."""
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+    def decode(self, ids: bytes) -> bytes:
+        """The bytes that the packed ids stand for, in order."""
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def _coder(spark, vocabulary: str, pattern: str):
@@ -136,13 +136,13 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep: tuple[str, ...]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = make()
         for batch in slices(batches):
-            packed = [coder.encode(t or "").tobytes() for t in batch.column("text").to_pylist()]
+            packed = [coder.encode(t or "") for t in batch.column("text").to_pylist()]
             columns = [batch.column(c) for c in kept]
             counts = pa.array([len(p) // 4 for p in packed], pa.int64())
             columns += [counts, pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "n_tokens", "ids"])
 
-    rows = docs.select(*kept, F.col("text").cast("string").alias("text"))
+    rows = whole_texts(docs).select(*kept, F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, with_fields(rows.select(*kept), "n_tokens long, ids binary"))
 
 
@@ -153,8 +153,8 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = make()
         for batch in slices(batches):
-            ids = [np.frombuffer(b or b"", "<u4") for b in batch.column("ids").to_pylist()]
-            decoded = pa.array([coder.decode(i) for i in ids], pa.binary())
+            ids = batch.column("ids").to_pylist()
+            decoded = pa.array([coder.decode(i or b"") for i in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*names, "decoded"])
 
     return encoded.mapInArrow(run, with_fields(encoded, "decoded binary"))

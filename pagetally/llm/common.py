@@ -32,6 +32,16 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def whole_texts(docs: DataFrame, rows: int = 1000) -> DataFrame:
+    """The same rows, for a session whose Arrow batches hold few of them: texts are long, and a
+    batch of very long ones must still fit."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(setting)) <= rows:
+        conf.set(setting, str(rows))
+    return docs
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as a table in the shared folder and read again: no lineage is left,
     and a lost executor takes nothing of it away."""

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import slices
+from pagetally.llm.common import slices, whole_texts
 
 
 @dataclass
@@ -72,7 +72,7 @@ def sample(
     known = labels.select(F.col("doc_id").cast("long"), *[F.col(n).cast("int") for n in names])
     known = known.dropna().groupBy("doc_id").agg(*[F.max(n).alias(n) for n in names])
     chosen = known.orderBy(rank, "doc_id").limit(bound)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = rows.join(F.broadcast(chosen), "doc_id")  # `bound` rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

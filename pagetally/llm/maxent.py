@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import lower_words, slices, stored
+from pagetally.llm.common import lower_words, slices, stored, whole_texts
 
 #: The end of a text is a token; no word is empty, so it is written as the empty word.
 END = b""
@@ -386,7 +386,7 @@ def score(docs: DataFrame, training: Column, shape: Shape = Shape()) -> DataFram
     null ids are rows like others, other columns are not read. Without any training row all words
     are unknown.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     model, counts = fit(rows.where(training).select("text"), shape)
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
     scored = stored(_scored(numbered, model), "scored")

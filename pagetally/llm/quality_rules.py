@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import BLANKS, slices, stored, words
+from pagetally.llm.common import BLANKS, slices, stored, whole_texts, words
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -102,7 +102,7 @@ def measured(docs: DataFrame) -> DataFrame:
             both = [batch.column(c) for c in kept] + columns
             yield pa.RecordBatch.from_arrays(both, [*kept, *MEASURES])
 
-    rows = docs.select(
+    rows = whole_texts(docs).select(
         F.col("doc_id").cast("long"), *[F.col(c).cast("string") for c in ("lang", "source", "text")]
     )
     longs = ", ".join(f"{m} long" for m in MEASURES)
