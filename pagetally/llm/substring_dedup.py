@@ -1,7 +1,7 @@
 """Removal of word passages that an earlier document has, by super-k-mer partitioning.
 
-A window is so many consecutive words. Its minimiser is the smallest hash among its runs of
-three words; neighbouring windows mostly share it, and such windows travel together as one packed
+A window is so many consecutive words. Its minimiser is the smallest hash among its pairs of
+words; neighbouring windows mostly share it, and such windows travel together as one packed
 string, a super-k-mer, to the bucket of their minimiser. Equal windows have equal minimisers, so
 they meet in one bucket; there the windows are sorted as strings and counted exactly.
 
@@ -19,14 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import parts, slices, with_fields, words
+from pagetally.llm.common import parts, slices, whole_texts, with_fields, words
 
 WINDOW = 13
-#: Words of the runs that minimisers are taken from.
-RUN = 3
-#: Bytes of text that a task packs at once.
-PACK = 8 << 20
-LEVEL = 3
+#: Pairs whose words have so few bytes both come after all others: the most frequent pairs are
+#: among them, and would otherwise draw very many windows to one bucket.
+SHORT = 4
+#: Characters of text that a task packs at once, and the level of compression.
+PACK = 4 << 20
+LEVEL = 6
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -34,14 +35,14 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def minimisers(hashes: np.ndarray, window: int = WINDOW, run: int = RUN) -> np.ndarray:
-    """The smallest hash of the runs in every window, for the hashes of all words."""
-    n = len(hashes) - run + 1
-    low = hashes[:n].copy()
-    for k in range(1, run):
-        low = low * np.uint64(0x9E3779B97F4A7C15) + hashes[k : n + k]
-    low, have, want = _mix(low), 1, window - run + 1
-    while have < want:  # the minimum over `have` runs, doubled up to `want`
+def minimisers(hashes: np.ndarray, short: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The smallest hash of the pairs in every window, for the hashes of all words and whether
+    they are short. It depends on the words of the window alone."""
+    late = short[:-1] & short[1:]
+    low = _mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]) >> np.uint64(1)
+    low[late] |= np.uint64(1 << 63)
+    have, want = 1, window - 1
+    while have < want:  # the minimum over `have` pairs, doubled up to `want`
         step = min(have, want - have)
         low, have = np.minimum(low[:-step], low[step:]), have + step
     return low
@@ -56,7 +57,8 @@ def super_kmers(tokens: list[bytes], ends: list[int], window: int = WINDOW):
     if len(tokens) < window:
         return none, none, none, none.astype(np.uint64)
     hashes = np.fromiter(map(xxh64_intdigest, tokens), np.uint64, len(tokens))
-    low = minimisers(hashes, window)
+    short = np.fromiter(map(len, tokens), np.int64, len(tokens)) <= SHORT
+    low = minimisers(hashes, short, window)
     of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
     inside = of[: len(low)] == of[window - 1 :]  # windows within one document
     at = np.flatnonzero(inside)
@@ -238,6 +240,25 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(run, ", ".join(f"`{n}` long" for n in names))
 
 
+def _compressed(docs: DataFrame) -> DataFrame:
+    """The rows with `#text`, the compressed text, for the exchange that brings text and findings
+    together."""
+    others = [c for c in docs.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        shrink = zstandard.ZstdCompressor(level=3).compress
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            blobs = pa.array([None if t is None else shrink(t.encode()) for t in texts], pa.binary())
+            own = [batch.column(c) for c in others]
+            yield pa.RecordBatch.from_arrays([*own, blobs], [*others, "#text"])
+
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    return rows.mapInArrow(run, with_fields(docs.select(*others), "`#text` binary"))
+
+
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs with n_words, n_removed and kept_text, the words left, parted by blanks.
 
@@ -250,22 +271,26 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     mine = ("n_words", "n_removed", "kept_text")
     columns = [c for c in docs.columns if c.lower() not in mine]
     check = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.select(*columns, check.alias("#check"))
+    rows = _compressed(whole_texts(docs).select(*columns, check.alias("#check")))
     found = repeated_windows(
         docs.select(F.col("doc_id").cast("long"), check.alias("check"), F.col("text").cast("string")), window
     )
     spans = found.groupBy("doc_id", "check").agg(F.collect_list(F.struct("start", "stop")).alias("#spans"))
     spans = spans.withColumnsRenamed({"doc_id": "#doc", "check": "#of"})
     on = (rows["doc_id"].cast("long") == spans["#doc"]) & (rows["#check"] == spans["#of"])
-    joined = rows.join(spans, on, "left").select(*columns, "#spans")
+    joined = rows.join(spans, on, "left").select(*rows.columns, "#spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        expand = zstandard.ZstdDecompressor().decompress
         for batch in slices(batches):
-            n_words, n_removed, texts = [], [], []
-            for text, spans in zip(
-                batch.column("text").to_pylist(), batch.column("#spans").to_pylist(), strict=True
+            n_words, n_removed, texts, kept = [], [], [], []
+            for blob, spans in zip(
+                batch.column("#text").to_pylist(), batch.column("#spans").to_pylist(), strict=True
             ):
-                tokens = words(text)
+                texts.append(None if blob is None else expand(blob).decode())
+                tokens = words(texts[-1])
                 n = len(tokens)
                 if spans:
                     gone = np.zeros(n, bool)
@@ -274,9 +299,11 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     tokens = [tokens[i] for i in np.flatnonzero(~gone).tolist()]
                 n_words.append(n)
                 n_removed.append(n - len(tokens))
-                texts.append(b" ".join(tokens).decode())
-            new = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], [*columns, *mine])
+                kept.append(b" ".join(tokens).decode())
+            new = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
+            text = pa.array(texts, pa.string())
+            own = [text if c == "text" else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*own, *new], [*columns, *mine])
 
     more = "n_words long, n_removed long, kept_text string"
-    return joined.mapInArrow(run, with_fields(docs.select(*columns), more))
+    return joined.mapInArrow(run, with_fields(docs.withColumn("text", F.col("text").cast("string")).select(*columns), more))
