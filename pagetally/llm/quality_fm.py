@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pagetally.llm.common import slices, with_fields
+from pagetally.llm.common import slices, whole_texts, with_fields
 from pagetally.llm.labelled import Rows, sample
 
 BITS = 16
@@ -95,7 +95,7 @@ def fit(rows: Rows, y: np.ndarray, settings: Settings = Settings()) -> Machine:
     rng, size = np.random.default_rng(settings.seed), 1 << BITS
     prior = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     machine = Machine(prior, np.zeros(size), np.zeros((size, settings.rank)))
-    if y.min(initial=1) == y.max(initial=0):
+    if not len(y) or y.min() == y.max():
         return machine
     machine.vectors = rng.normal(0, 0.01, (size, settings.rank))
     seen_w, seen_v, seen_c = np.full(size, 1e-8), np.full((size, settings.rank), 1e-8), 1e-8
@@ -146,5 +146,5 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
             own = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*own, *new], [*columns, "score", "predicted"])
 
-    rows = docs.select(*columns)
+    rows = whole_texts(docs).select(*columns)
     return rows.mapInArrow(run, with_fields(rows, "score double, predicted int"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import slices, with_fields
+from pagetally.llm.common import slices, whole_texts, with_fields
 from pagetally.llm.labelled import Rows, sample
 
 BITS = 18
@@ -34,7 +34,7 @@ class Settings:
     folds: int = 5
     features: int = 600
     least_rows: int = 4
-    ridge: float = 1e-3
+    ridge: float = 1e-4
     steps: int = 300
     precision: float = 0.995
 
@@ -63,8 +63,9 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
-    p = np.clip(p, 1e-6, 1 - 1e-6)
-    return np.log(p / (1 - p))
+    """Log-odds in tens, about -1 to 1."""
+    p = np.clip(p, 1e-4, 1 - 1e-4)
+    return np.log(p / (1 - p)) / 10
 
 
 @dataclass
@@ -98,14 +99,15 @@ def fit_linear(rows: Rows, y: np.ndarray, earlier: np.ndarray, settings: Setting
     """Ridge logistic regression by accelerated gradient steps over the selected columns."""
     weights = np.zeros(1 << BITS)
     constant = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
-    if y.min(initial=1) == y.max(initial=0):
+    if not len(y) or y.min() == y.max():
         return Linear(weights, np.zeros(earlier.shape[1]), constant)
     chosen = _select(rows, y, settings)
     x, dense = rows.columns(chosen), _logit(earlier)
     of, n, k = x.row, len(y), len(chosen)
-    # A bound of the curvature: a quarter of the mean squared length of a row.
-    squares = np.bincount(of, x.value**2, n) + (dense**2).sum(1) + 1
-    step = 4 / squares.max()
+    # A bound of the curvature for each column by itself, so that rare ones move fast as well.
+    length = np.bincount(of, np.abs(x.value), n) + np.abs(dense).sum(1) + 1
+    bound = [np.bincount(x.index, np.abs(x.value) * length[of], k), length @ np.abs(dense), [length.sum()]]
+    step = 1 / (np.concatenate(bound) / (4 * n) + settings.ridge)
     theta = np.concatenate((np.zeros(k + dense.shape[1]), [constant]))
     ahead, momentum = theta.copy(), 1.0
     for _ in range(settings.steps):
@@ -140,12 +142,12 @@ class Chain:
 
 
 def limit(p: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The smallest probability, 0.5 at least, above which so great a share of the rows is
-    positive; no row is rejected for less. Without positive rows: never."""
+    """The smallest probability, at least twice the share of positive rows, from which on so
+    great a share of the rows is positive. Without positive rows: never."""
     order = np.argsort(-p, kind="stable")
     right = np.cumsum(y[order]) / np.arange(1, len(p) + 1)
-    good = np.flatnonzero((right >= precision) & (p[order] >= 0.5))
-    return max(0.5, float(p[order][good[-1]])) if good.size else 2.0
+    good = np.flatnonzero((right >= precision) & (p[order] >= 2 * y.mean()))
+    return float(p[order][good[-1]]) if good.size else 2.0
 
 
 def fit(rows: Rows, labels: np.ndarray, categories: list[str], settings: Settings = Settings()) -> Chain:
@@ -199,7 +201,7 @@ def score(docs: DataFrame, chain: Chain, category: str = "toxic") -> DataFrame:
             new = [pa.array(c) for c in p.T] + [pa.array(p[:, which] >= chain.limits[which])]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], [*columns, *made])
 
-    rows = docs.select(*columns)
+    rows = whole_texts(docs).select(*columns)
     doubles = "".join(f"`{m}` double, " for m in made[:-1])
     return rows.mapInArrow(run, with_fields(rows, f"{doubles} rejected boolean"))
 
@@ -216,4 +218,4 @@ def accepted(docs: DataFrame, chain: Chain, category: str = "toxic") -> DataFram
             p = chain.predict(Rows.of([features(t or "") for t in texts]))
             yield batch.filter(pa.array(p[:, which] < chain.limits[which]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return whole_texts(docs).mapInArrow(run, docs.schema)
