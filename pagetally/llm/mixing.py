@@ -183,4 +183,5 @@ def mixture(docs: DataFrame, target: Target, seed: int = 0) -> DataFrame:
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("#copies") - 1))
     placed = taken.withColumn("block", block).withColumn("place", place(seed, F.col("block")))
     share = (F.col("block") + F.col("place") / (1 << PLACE_BITS)) * F.col("#tokens") / F.col("#budget")
-    return placed.select(*columns, "n_tokens", "block", "place", F.coalesce(share, F.lit(0.0)).alias("at"))
+    at = F.least(F.coalesce(share, F.lit(0.0)), F.lit(1.0))
+    return placed.select(*columns, "n_tokens", "block", "place", at.alias("at"))

@@ -224,11 +224,8 @@ def links(points: DataFrame, lists: DataFrame, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
-            x, y = (
-                np.stack([np.frombuffer(u) for u in batch.column(c).to_pylist()])
-                for c in ("unit_a", "unit_b")
-            )
-            kept = pa.array((x * y).sum(axis=1) >= s.threshold)
+            ends = zip(*(batch.column(f"unit_{c}").to_pylist() for c in "ab"), strict=True)
+            kept = pa.array([bool(np.frombuffer(x) @ np.frombuffer(y) >= s.threshold) for x, y in ends])
             yield batch.select(["a", "b"]).filter(kept)
 
     return both.select("a", "b", "unit_a", "unit_b").mapInArrow(run, "a long, b long")

@@ -140,7 +140,7 @@ MIXING = rf"""
         select *, ('0x' || substr(md5('0:' || block || ':' || doc_id), 1, 8))::bigint >> 2 as place
         from taken, unnest(range(0, copies)) as r(block))
     select doc_id, source, n_tokens, block, place,
-           coalesce((block + place / {1 << PLACE_BITS}) * tokens / budget, 0) as at
+           least(coalesce((block + place / {1 << PLACE_BITS}) * tokens / budget, 0), 1) as at
     from placed"""
 
 
