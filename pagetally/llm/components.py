@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import stored
+from pagetally.llm.common import only_last, stored
+from pagetally.session import delete
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,10 +17,12 @@ def components(links: DataFrame) -> DataFrame:
     logarithm of the longest path. Every round is a table in the shared folder. Minima combine
     before the shuffle, so an id with very many links is no hot group.
     """
+    spark, trail = links.sparkSession, []
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stored(both.where("a <> b").distinct(), "links")
+    folder: list[str] = []
+    both = stored(both.where("a <> b").distinct(), "links", folder)
     labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("low"))
-    labels = stored(labels.select("id", F.least("id", "low").alias("label")), "labels")
+    labels = stored(labels.select("id", F.least("id", "low").alias("label")), "labels", trail)
     while True:
         low = (
             both.join(labels.withColumnRenamed("id", "b"), "b")
@@ -33,11 +36,13 @@ def components(links: DataFrame) -> DataFrame:
             .groupBy("id")
             .agg(F.min("label").alias("label"))
         )
-        hooked = stored(hooked, "labels")
+        hooked = stored(hooked, "labels", trail)
         further = hooked.select(F.col("id").alias("label"), F.col("label").alias("next"))
         before = labels.select("id", F.col("label").alias("before"))
         rows = hooked.join(further, "label").join(before, "id")
-        rows = stored(rows.select("id", F.col("next").alias("label"), "before"), "labels")
+        rows = stored(rows.select("id", F.col("next").alias("label"), "before"), "labels", trail)
+        only_last(spark, trail)
         labels = rows.select("id", "label")
         if rows.where("label <> before").isEmpty():
+            delete(spark, folder[0])
             return labels.withColumnRenamed("label", "component")

@@ -26,25 +26,25 @@ class Rows:
         sizes = [len(i) for i, _ in lists]
         joined = [np.concatenate(c) if lists else np.zeros(0) for c in zip(*lists, strict=True)] or [[], []]
         start = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-        return cls(start, np.asarray(joined[0], np.int64), np.asarray(joined[1], np.float64))
+        return cls(start, np.asarray(joined[0], np.int32), np.asarray(joined[1]))
 
     def __len__(self) -> int:
         return len(self.start) - 1
 
     @property
     def row(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self)), np.diff(self.start))
+        return np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.start))
 
     def take(self, rows: np.ndarray) -> Rows:
-        spans = [np.arange(self.start[r], self.start[r + 1]) for r in rows]
-        at = np.concatenate(spans) if spans else np.zeros(0, np.int64)
-        start = np.concatenate(([0], np.cumsum([len(s) for s in spans]))).astype(np.int64)
+        sizes = self.start[rows + 1] - self.start[rows]
+        start = np.concatenate(([0], np.cumsum(sizes)))
+        at = np.repeat(self.start[rows] - start[:-1], sizes) + np.arange(start[-1])
         return Rows(start, self.index[at], self.value[at])
 
     def columns(self, chosen: np.ndarray) -> Rows:
         """Only the chosen columns, which are sorted, numbered anew."""
         if not len(chosen):
-            return Rows(np.zeros(len(self) + 1, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            return Rows(np.zeros(len(self) + 1, np.int64), np.zeros(0, np.int32), np.zeros(0))
         place = np.minimum(np.searchsorted(chosen, self.index), len(chosen) - 1)
         kept = chosen[place] == self.index
         counts = np.bincount(self.row[kept], minlength=len(self))

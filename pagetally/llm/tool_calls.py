@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import stored
+from pagetally.llm.common import only_last, stored
 
 KEY = ("conv_id", "call_id")
 
@@ -93,7 +93,8 @@ def levels(calls: DataFrame) -> DataFrame:
         F.when(F.col("there"), F.col("after")).alias("hop"),
         F.when(F.col("there"), 1).otherwise(0).cast("long").alias("level"),
     )
-    state, before = stored(state, "levels"), None
+    trail: list[str] = []
+    state, before = stored(state, "levels", trail), None
     while True:
         left = state.where("hop is not null").count()
         if left in (0, before):  # all that is left leads into circles
@@ -102,7 +103,8 @@ def levels(calls: DataFrame) -> DataFrame:
         ahead = state.select("conv_id", F.col("call_id").alias("hop"), F.col("hop").alias("next"), F.col("level").alias("more"))
         joined = state.join(ahead, ["conv_id", "hop"], "left")
         total = F.col("level") + F.coalesce("more", F.lit(0))
-        state = stored(joined.select(*KEY, F.col("next").alias("hop"), total.alias("level")), "levels")
+        state = stored(joined.select(*KEY, F.col("next").alias("hop"), total.alias("level")), "levels", trail)
+        only_last(calls.sparkSession, trail)
     return state.select(*KEY, F.when(F.col("hop").isNull(), F.col("level")).alias("level"))
 
 
