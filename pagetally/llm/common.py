@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pagetally.session import run_dir
+from pagetally.session import delete, run_dir
 
 #: Characters that part words: blank, tab, newline, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\v\f\r"
@@ -42,15 +42,24 @@ def whole_texts(docs: DataFrame, rows: int = 1000) -> DataFrame:
     return docs
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, trail: list[str] | None = None) -> DataFrame:
     """The rows written as a table in the shared folder and read again: no lineage is left,
-    and a lost executor takes nothing of it away."""
+    and a lost executor takes nothing of it away. The folder is added to the trail, if any."""
     spark = df.sparkSession
     path = run_dir(spark, name)
     df.write.parquet(path)
+    if trail is not None:
+        trail.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def only_last(spark: SparkSession, trail: list[str]) -> None:
+    """Remove the tables of a trail but the last one, which no longer needs them."""
+    for path in trail[:-1]:
+        delete(spark, path)
+    del trail[:-1]
+
+
 def crc_of_id(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text; folds are remainders of it. A null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
@@ -62,6 +71,16 @@ def parts(df: DataFrame, per_input: int = 1) -> int:
     return max(setting, per_input * df.rdd.getNumPartitions())
 
 
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """n numbers that repartition(n, key) sends to n different partitions. A number of buckets
+    like the number of partitions, but named 0, 1, ..., would leave some of these empty and
+    bring several buckets to others."""
+    tried = spark.range(64 * n).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("partition"))
+    rows = tried.groupBy("partition").agg(F.min("id").alias("id")).collect()  # n rows at most
+    found = sorted(r["id"] for r in rows)
+    return found + [64 * n + i for i in range(n - len(found))]
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of a DataFrame and more fields after it."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
