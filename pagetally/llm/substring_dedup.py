@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import parts, slices, whole_texts, with_fields, words
+from pagetally.llm.common import even_keys, parts, slices, whole_texts, with_fields, words
 
 WINDOW = 13
 #: Pairs whose words have so few bytes both come after all others: the most frequent pairs are
@@ -145,16 +145,16 @@ def _buckets_of(docs: list[tuple[int, int, list[bytes]]], buckets: int, window:
         yield int(bucket[rows[0]]), _pack(arrays, b"".join(texts))
 
 
-def packed(docs: DataFrame, buckets: int, window: int = WINDOW) -> DataFrame:
-    """(bucket, packed) of (doc_id, check, text)."""
+def packed(docs: DataFrame, keys: list[int], window: int = WINDOW) -> DataFrame:
+    """(bucket, packed) of (doc_id, check, text), for buckets of these names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            rows = list(_buckets_of(held, buckets, window))
-            keys, blobs = [b for b, _ in rows], [p for _, p in rows]
-            arrays = [pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())]
+            rows = list(_buckets_of(held, len(keys), window))
+            names, blobs = [keys[b] for b, _ in rows], [p for _, p in rows]
+            arrays = [pa.array(names, pa.int64()), pa.array(blobs, pa.binary())]
             return pa.RecordBatch.from_arrays(arrays, ["bucket", "packed"])
 
         for batch in slices(batches):
@@ -236,7 +236,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         columns = [both[0], both[1], both[2], both[2] + both[3] + window - 1]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names)
 
-    rows = packed(docs, 2 * parts(docs), window)
+    n = parts(docs)
+    rows = packed(docs, even_keys(docs.sparkSession, n), window).repartition(n, "bucket")
     return rows.groupBy("bucket").applyInArrow(run, ", ".join(f"`{n}` long" for n in names))
 
 
