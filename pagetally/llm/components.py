@@ -9,40 +9,53 @@ from pagetally.llm.common import only_last, stored
 from pagetally.session import delete
 
 
+def _roots(pairs: DataFrame) -> DataFrame:
+    """`id` and `to` of every id in the pairs: the end of the way from an id to its smallest
+    neighbour, from there to that one's, and so on while they get smaller. Following doubles the
+    step each time."""
+    back = pairs.select(F.col("b").alias("id"), F.col("a").alias("other"))
+    ends = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(back)
+    first = ends.groupBy("id").agg(F.min("other").alias("low"))
+    trail: list[str] = []
+    to = stored(first.select("id", F.least("id", "low").alias("to")), "roots", trail)
+    while True:
+        ahead = to.select(F.col("id").alias("to"), F.col("to").alias("next"))
+        rows = stored(to.join(ahead, "to").select("id", "to", "next"), "roots", trail)
+        only_last(pairs.sparkSession, trail)
+        to = rows.select("id", F.col("next").alias("to"))
+        if rows.where("to <> next").isEmpty():
+            return to
+
+
 def components(links: DataFrame) -> DataFrame:
     """`id` and `component`, the smallest id reachable, of every id in the links (a, b).
 
-    Each round lowers the label of an id, and of that label's own id, to the smallest label
-    among its neighbours, and then follows labels to labels of labels; the rounds grow with the
-    logarithm of the longest path. Every round is a table in the shared folder. Minima combine
-    before the shuffle, so an id with very many links is no hot group.
+    Each round brings every id to the root of its way to smaller neighbours and keeps only the
+    links between different roots; after the first one dense groups have none left. All tables
+    are in the shared folder. Minima combine before the shuffle, so an id with very many links is
+    no hot group. Links of an id with itself, repeated ones and none at all are fine.
     """
-    spark, trail = links.sparkSession, []
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    folder: list[str] = []
-    both = stored(both.where("a <> b").distinct(), "links", folder)
-    labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("low"))
-    labels = stored(labels.select("id", F.least("id", "low").alias("label")), "labels", trail)
+    spark, trail, named = links.sparkSession, [], []
+    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    own = links.where("a = b").select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
+    pairs = stored(ordered.where("a <> b").distinct(), "links", trail)
+    found = None
     while True:
-        low = (
-            both.join(labels.withColumnRenamed("id", "b"), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("label").alias("low"))
-        )
-        seen = labels.join(low, "id").select("id", "label", F.least("label", "low").alias("low"))
-        hooked = (
-            seen.select("id", F.col("low").alias("label"))
-            .unionByName(seen.select(F.col("label").alias("id"), F.col("low").alias("label")))
-            .groupBy("id")
-            .agg(F.min("label").alias("label"))
-        )
-        hooked = stored(hooked, "labels", trail)
-        further = hooked.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        before = labels.select("id", F.col("label").alias("before"))
-        rows = hooked.join(further, "label").join(before, "id")
-        rows = stored(rows.select("id", F.col("next").alias("label"), "before"), "labels", trail)
+        to = _roots(pairs)
+        if found is None:
+            found = to.withColumnRenamed("to", "component")
+        else:
+            further = to.select(F.col("id").alias("component"), "to")
+            joined = found.join(further, "component", "left")
+            found = joined.select("id", F.coalesce("to", "component").alias("component"))
+        found = stored(found, "components", named)
+        only_last(spark, named)
+        roots = [to.select(F.col("id").alias(c), F.col("to").alias(f"to_{c}")) for c in "ab"]
+        moved = pairs.join(roots[0], "a").join(roots[1], "b").where("to_a <> to_b")
+        least, greatest = F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")
+        pairs = stored(moved.select(least, greatest).distinct(), "links", trail)
         only_last(spark, trail)
-        labels = rows.select("id", "label")
-        if rows.where("label <> before").isEmpty():
-            delete(spark, folder[0])
-            return labels.withColumnRenamed("label", "component")
+        if pairs.isEmpty():
+            delete(spark, trail[0])
+            alone = own.join(found, "id", "left_anti")
+            return found.unionByName(alone)

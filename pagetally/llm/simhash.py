@@ -10,6 +10,7 @@ missed, and pairs are compared exactly where they meet.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import lower_words, slices, stored
+from pagetally.llm.common import lower_words, slices, stored, whole_texts
 from pagetally.llm.components import components
 
 #: Fingerprints of one bucket that a task compares; larger buckets are split by more tables.
@@ -57,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             found = pa.array(np.array(bits, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "bits"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, bits long")
 
 
@@ -72,12 +73,13 @@ def covering(bits: list[int], radius: int, seed: int) -> list[int]:
 
 def spanning(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Positions of links that connect what pairs within the radius connect, one link for each
-    newly reached fingerprint."""
+    newly reached fingerprint, from the earliest one that reaches it: tables that bring the same
+    fingerprints together then mostly find the same links."""
     links, left = [], np.arange(len(prints))
     while left.size > 1:
-        reached, left = [int(left[0])], left[1:]
+        reached, left = deque([int(left[0])]), left[1:]
         while reached and left.size:
-            at = reached.pop()
+            at = reached.popleft()
             near = np.bitwise_count(prints[left] ^ prints[at]) <= radius
             found, left = left[near].tolist(), left[~near]
             links += [(at, other) for other in found]
@@ -124,7 +126,7 @@ def _meet(rows: DataFrame, radius: int, last: bool) -> DataFrame:
             out += close(bucket[0], bits, ids)
         yield flush()
 
-    ordered = rows.repartition("mask", "key").sortWithinPartitions("mask", "key", "bits")
+    ordered = rows.repartition("mask", "key").sortWithinPartitions("mask", "key", "id")
     return ordered.mapInArrow(run, "mask long, bits long, a long, b long")
 
 
