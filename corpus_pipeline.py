@@ -59,8 +59,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, packed, and digests of them and of what they decode to."""
-    encoded = bpe.encode(docs, VOCABULARY, PATTERN, keep=("source", "lang"))
-    return bpe.with_digests(bpe.decode(encoded, VOCABULARY, PATTERN)).drop("decoded")
+    encoded = bpe.encode(docs, VOCABULARY, PATTERN, keep=("source", "lang"), back=True)
+    return bpe.with_digests(encoded).drop("decoded")
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

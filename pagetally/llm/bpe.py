@@ -124,8 +124,11 @@ def _coder(spark, vocabulary: str, pattern: str):
     return lambda: ByteBpe(model.value, pattern)
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Encode every text: doc_id, columns named in `keep`, n_tokens, ids.
+def encode(
+    docs: DataFrame, vocabulary: str, pattern: str, keep: tuple[str, ...] = (), back: bool = False
+) -> DataFrame:
+    """Encode every text: doc_id, columns named in `keep`, n_tokens, ids, and with `back` what
+    the ids decode to, as `decoded`, by the same coder in the same task.
 
     `ids` packs the ids as little-endian unsigned 32-bit integers. A null text is empty: no ids.
     Rows are independent: repeated rows and null ids stay as they are, other columns are not
@@ -140,10 +143,15 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep: tuple[str, ...]
             columns = [batch.column(c) for c in kept]
             counts = pa.array([len(p) // 4 for p in packed], pa.int64())
             columns += [counts, pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "n_tokens", "ids"])
+            if back:
+                columns.append(pa.array(map(coder.decode, packed), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = whole_texts(docs).select(*kept, F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, with_fields(rows.select(*kept), "n_tokens long, ids binary"))
+    more = "n_tokens long, ids binary" + ", decoded binary" * back
+    schema = with_fields(rows.select(*kept), more)
+    names = schema.fieldNames()
+    return rows.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:

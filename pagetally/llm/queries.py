@@ -22,8 +22,8 @@ PATTERN = public_tokenizers.PATTERN
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
-    digests = bpe.with_digests(bpe.decode(encoded, VOCABULARY, PATTERN))
+    docs = table(spark, sf_dir, "documents")
+    digests = bpe.with_digests(bpe.encode(docs, VOCABULARY, PATTERN, back=True))
     return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

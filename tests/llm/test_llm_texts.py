@@ -100,6 +100,8 @@ def reference_encoding():
 def test_ids_and_bytes_equal_the_library(odd, odd_rows, reference_encoding):
     encoded = bpe.encode(odd, VOCABULARY, PATTERN)
     rows = bpe.with_digests(bpe.decode(encoded, VOCABULARY, PATTERN)).collect()
+    at_once = bpe.with_digests(bpe.encode(odd, VOCABULARY, PATTERN, back=True))
+    assert sorted(map(str, at_once.collect())) == sorted(map(str, rows))
     want = defaultdict(list)
     for doc_id, text, *_ in odd_rows:
         ids = reference_encoding.encode_ordinary(text or "")
