@@ -144,6 +144,8 @@ class Chain:
 def limit(p: np.ndarray, y: np.ndarray, precision: float) -> float:
     """The smallest probability, at least twice the share of positive rows, from which on so
     great a share of the rows is positive. Without positive rows: never."""
+    if not len(y):
+        return 2.0
     order = np.argsort(-p, kind="stable")
     right = np.cumsum(y[order]) / np.arange(1, len(p) + 1)
     good = np.flatnonzero((right >= precision) & (p[order] >= 2 * y.mean()))
