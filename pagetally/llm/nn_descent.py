@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import slices, stored
+from pagetally.llm.common import only_last, slices, stored
 from pagetally.llm.components import components
 
 
@@ -44,7 +44,7 @@ class Settings:
     most_rounds: int = 9
     recall: float = 0.98
     audited: int = 512
-    block: int = 1024
+    block: int = 256
     slack: float = 0.01
     seed: int = 1
 
@@ -317,13 +317,16 @@ def near_duplicates(embeddings: DataFrame, settings: Settings = Settings()) -> D
     vectors = stored(distinct(rows), "vectors")
     points = stored(nodes(vectors), "nodes")
     sizes = points.select("id", F.lit(s.lists).alias("size"))
-    lists = stored(best(first_lists(points, s), sizes, s), "lists")
+    trails: list[list[str]] = [[], []]
+    lists = stored(best(first_lists(points, s), sizes, s), "lists", trails[0])
     rounds, wanted = 0, s.rounds
     while True:
         while rounds < wanted:
-            sizes = stored(enlarged(lists, sizes, s), "sizes")
+            sizes = stored(enlarged(lists, sizes, s), "sizes", trails[1])
             more = refine(points, lists, s).unionByName(lists.select("a", "b", "sim"))
-            lists = stored(best(more, sizes, s), "lists")
+            lists = stored(best(more, sizes, s), "lists", trails[0])
+            for trail in trails:
+                only_last(points.sparkSession, trail)
             rounds += 1
         found = stored(components(links(points, lists, s)), "found")
         n_links = stored(counted(points, found, s), "n_links")
