@@ -7,13 +7,16 @@ whose entries are all links is saturated and becomes longer. Vectors travel in e
 component; whatever comes near the threshold is compared again exactly, in double precision.
 
 The links found join the vectors into components. Lists have an end, groups of near copies need
-not: so all vectors of a component are compared in blocks, which counts the links of each exactly
-without a row per pair. An audit compares some vectors with all others and asks for more rounds
-while too many of their links are missing.
+not: so components with a list that was ever full of links are compared with one another as far
+as their extents allow a link, and all vectors of a component are compared in blocks, which counts
+the links of each exactly without a row per pair. An audit compares some vectors with all others
+and asks for more rounds while too many of their links are missing; if the last round leaves it
+short, all vectors of a kind are compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -162,11 +165,17 @@ def best(pairs: DataFrame, sizes: DataFrame, settings: Settings) -> DataFrame:
     return sized.where("rank <= size").select("a", "b", "sim", "size")
 
 
+def full_lists(lists: DataFrame, settings: Settings) -> DataFrame:
+    """The ids whose lists are full of links."""
+    s = settings
+    near = lists.where(F.col("sim") >= s.threshold - s.slack).groupBy("a", "size").count()
+    return near.where("count >= size").select(F.col("a").alias("id"))
+
+
 def enlarged(lists: DataFrame, sizes: DataFrame, settings: Settings) -> DataFrame:
     """Sizes, doubled where a list is full of links."""
     s = settings
-    full = lists.where(F.col("sim") >= s.threshold - s.slack).groupBy("a", "size").count()
-    full = full.where("count >= size").select(F.col("a").alias("id"), F.lit(True).alias("full"))
+    full = full_lists(lists, s).withColumn("full", F.lit(True))
     size = F.when(F.col("full"), F.least(2 * F.col("size"), F.lit(s.longest))).otherwise(F.col("size"))
     return sizes.join(full, "id", "left").select("id", size.alias("size"))
 
@@ -231,6 +240,107 @@ def links(points: DataFrame, lists: DataFrame, settings: Settings) -> DataFrame:
     return both.select("a", "b", "unit_a", "unit_b").mapInArrow(run, "a long, b long")
 
 
+def _dealt(rows: DataFrame, groups: tuple[str, ...], settings: Settings) -> DataFrame:
+    """The rows of each group dealt out to blocks, once for each pair (i, j) of blocks that theirs
+    (`own`) is in."""
+    blocks = F.ceil(F.count("*") / settings.block).cast("int").alias("blocks")
+    rows = rows.join(rows.groupBy(*groups).agg(blocks), list(groups))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    ends = {"i": F.least("own", "other"), "j": F.greatest("own", "other")}
+    return rows.withColumns(ends).drop("blocks", "other")
+
+
+def _sides(group: pa.Table, blobs: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a pair of blocks: the vectors, and the rows of either block."""
+    own = group.column("own").to_numpy()
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    unit = np.stack([np.frombuffer(u) for u in group.column(blobs).to_pylist()])
+    return unit, np.flatnonzero(own == i), np.flatnonzero(own == j)
+
+
+def crossing(rows: DataFrame, groups: tuple[str, ...], settings: Settings) -> DataFrame:
+    """Links (a, b) between the components of a group, of rows (id, component, unit): all its vectors
+    are compared exactly, and one link for two components and pair of blocks is returned."""
+    s = settings
+
+    def run(group: pa.Table) -> pa.Table:
+        unit, left, right = _sides(group, "unit")
+        ids, component = group.column("id").to_numpy(), group.column("component").to_numpy()
+        linked = unit[left] @ unit[right].T >= s.threshold
+        linked &= component[left][:, None] != component[right]
+        x, y = (side[at] for side, at in zip((left, right), np.nonzero(linked), strict=True))
+        ends = np.sort(np.stack([component[x], component[y]]), axis=0)
+        first = np.unique(ends, axis=1, return_index=True)[1] if x.size else np.zeros(0, np.int64)
+        return pa.table({"a": ids[x[first]], "b": ids[y[first]]})
+
+    dealt = _dealt(rows.select(*groups, "id", "component", "unit"), groups, s)
+    return dealt.groupBy(*groups, "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _within(rows: DataFrame, others: tuple[str, ...], out: str) -> DataFrame:
+    """The columns `others` of rows with `angle`, that between the vectors unit and centre."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1024):
+            ends = zip(*(batch.column(c).to_pylist() for c in ("unit", "centre")), strict=True)
+            cosines = np.array([np.frombuffer(x) @ np.frombuffer(y) for x, y in ends], np.float64)
+            angles = pa.array(np.arccos(np.clip(cosines, -1, 1)))
+            own = [batch.column(c) for c in others]
+            yield pa.RecordBatch.from_arrays([*own, angles], [*others, "angle"])
+
+    columns = dict.fromkeys((*others, "unit", "centre"))
+    return rows.select(*columns).mapInArrow(run, f"{out}, angle double")
+
+
+def bridges(points: DataFrame, found: DataFrame, full: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between different components of found (id, component) that have one of the ids
+    in full, without a miss.
+
+    A full list shows its own group alone, so another group within the threshold stays out of
+    sight. A component lies within an angle of its smallest id; two of them can have a link only
+    if these balls come near enough, and only by vectors that come near enough to the other ball.
+    Such vectors are compared in blocks.
+    """
+    s = settings
+    most = math.acos(s.threshold) + 1e-6  # what arccos loses near 1 is less
+    chosen = found.join(full, "id").select("component").distinct()
+    members = points.select("kind", "id", "unit").join(found, "id").join(chosen, "component")
+    members = stored(members.select("kind", "id", "component", "unit"), "members")
+    centres = members.where("id = component").select("kind", "component", F.col("unit").alias("centre"))
+    to_centre = _within(members.join(centres.drop("kind"), "component"), ("component",), "component long")
+    balls = centres.join(to_centre.groupBy("component").agg(F.max("angle").alias("radius")), "component")
+    balls = stored(balls.select("kind", F.col("component").alias("id"), "centre", "radius"), "balls")
+
+    def run(group: pa.Table) -> pa.Table:
+        unit, left, right = _sides(group, "centre")
+        ids, radius = group.column("id").to_numpy(), group.column("radius").to_numpy()
+        angles = np.arccos(np.clip(unit[left] @ unit[right].T, -1, 1))
+        near = angles - radius[left][:, None] - radius[right] <= most
+        near &= ids[left][:, None] < ids[right] if group.column("i")[0] == group.column("j")[0] else True
+        x, y = np.nonzero(near)
+        return pa.table({"low": ids[left[x]], "high": ids[right[y]]})
+
+    pairs = _dealt(balls, ("kind",), s).groupBy("kind", "i", "j").applyInArrow(run, "low long, high long")
+    pairs = stored(pairs, "near_balls")
+    sides = [
+        pairs.select("low", "high", F.col(own).alias("component"), F.col(other).alias("other"))
+        for own, other in (("low", "high"), ("high", "low"))
+    ]
+    facing = sides[0].unionByName(sides[1]).join(balls.select(F.col("id").alias("other"), "centre", "radius"), "other")
+    kept = ("low", "high", "id", "component", "unit", "radius")
+    types = "low long, high long, id long, component long, unit binary, radius double"
+    reached = _within(members.drop("kind").join(facing, "component"), kept, types)
+    reached = reached.where(F.col("angle") <= F.col("radius") + most)
+    return crossing(stored(reached.drop("angle", "radius"), "reached"), ("low", "high"), s)
+
+
+def joined_by(found: DataFrame, more: DataFrame) -> DataFrame:
+    """The components found, joined by more links (a, b)."""
+    stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return components(stars.unionByName(more))
+
+
 def counted(points: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
     """id and n_links within its component, for the ids of found (id, component).
 
@@ -238,27 +348,19 @@ def counted(points: DataFrame, found: DataFrame, settings: Settings) -> DataFram
     returned is a count per vector; copies of a vector count by their number.
     """
     s = settings
-    sizes = found.groupBy("component").agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks"))
-    rows = points.select("id", "copies", "unit").join(found, "id").join(sizes, "component")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "id", "copies", "unit",
-    )
+    rows = points.select("id", "copies", "unit").join(found, "id")
+    rows = _dealt(rows, ("component",), s)
 
     def run(group: pa.Table) -> pa.Table:
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        own = group.column("own").to_numpy()
-        unit = np.stack([np.frombuffer(u) for u in group.column("unit").to_pylist()])
+        unit, left, right = _sides(group, "unit")
         ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         linked = unit[left] @ unit[right].T >= s.threshold
-        if i == j:
+        same = group.column("i")[0] == group.column("j")[0]
+        if same:
             np.fill_diagonal(linked, False)
         n = np.zeros(len(ids), np.int64)
         n[left] += linked @ copies[right]
-        if i != j:
+        if not same:
             n[right] += copies[left] @ linked
         return pa.table({"id": ids, "n": n})
 
@@ -317,20 +419,34 @@ def near_duplicates(embeddings: DataFrame, settings: Settings = Settings()) -> D
     vectors = stored(distinct(rows), "vectors")
     points = stored(nodes(vectors), "nodes")
     sizes = points.select("id", F.lit(s.lists).alias("size"))
-    trails: list[list[str]] = [[], []]
+    trails: list[list[str]] = [[], [], []]
     lists = stored(best(first_lists(points, s), sizes, s), "lists", trails[0])
     rounds, wanted = 0, s.rounds
     while True:
         while rounds < wanted:
             sizes = stored(enlarged(lists, sizes, s), "sizes", trails[1])
-            more = refine(points, lists, s).unionByName(lists.select("a", "b", "sim"))
+            more = stored(refine(points, lists, s), "offers", trails[2])
+            # A link that one end is offered is offered to the other one as well, so that it stays
+            # in a list or both of its ends have full ones.
+            back = more.where(F.col("sim") >= s.threshold - s.slack)
+            more = more.unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+            more = more.unionByName(lists.select("a", "b", "sim"))
             lists = stored(best(more, sizes, s), "lists", trails[0])
             for trail in trails:
                 only_last(points.sparkSession, trail)
             rounds += 1
         found = stored(components(links(points, lists, s)), "found")
+        # Lists that are full, or once were and then became longer.
+        full = sizes.where(F.col("size") > s.lists).select("id").unionByName(full_lists(lists, s)).distinct()
+        found = stored(joined_by(found, bridges(points, found, full, s)), "found")
         n_links = stored(counted(points, found, s), "n_links")
-        if rounds >= s.most_rounds or audit(points, n_links, s) >= s.recall:
+        if audit(points, n_links, s) >= s.recall:
+            break
+        if rounds >= s.most_rounds:
+            rows_of = points.select("kind", "id", "unit").join(found, "id", "left")
+            rows_of = rows_of.withColumn("component", F.coalesce("component", "id"))
+            found = stored(joined_by(found, crossing(rows_of, ("kind",), s)), "found")
+            n_links = stored(counted(points, found, s), "n_links")
             break
         wanted += s.more_rounds
     of_node = vectors.join(found, "id", "left").join(n_links, "id", "left")

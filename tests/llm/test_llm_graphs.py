@@ -104,6 +104,42 @@ def test_audit_sees_missing_links(spark):
     assert nn_descent.audit(points, every, nn_descent.Settings()) == 1.0
 
 
+def two_groups(n, across=0.985):
+    """Rows of two groups of n vectors, near 0.999 inside and near `across` between them."""
+    rng = np.random.default_rng(5)
+    axes = np.linalg.qr(rng.normal(size=(32, 2)))[0].T
+    centres = axes[0], across * axes[0] + math.sqrt(1 - across**2) * axes[1]
+    x = [c + rng.normal(size=32) * 0.0045 for c in centres for _ in range(n)]
+    return [(i, [float(np.float32(v)) for v in row], 1) for i, row in enumerate(x)]
+
+
+def equals_brute_force(spark, rows, settings):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    want = true_links(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicates(frame, settings).collect()}
+    assert got == want
+    return want
+
+
+@pytest.mark.parametrize("n", [20, 90])  # of full lists that become long enough, and of those that do not
+def test_groups_with_full_lists_are_joined(spark, n):
+    # Of an audit that sees nothing, so that neither more rounds nor the exact end help.
+    want = equals_brute_force(spark, two_groups(n), nn_descent.Settings(block=32, recall=0.0))
+    assert {low for _, low in want.values()} == {0} and min(k for k, _ in want.values()) > n
+
+
+def test_groups_too_far_from_each_other_stay_apart(spark):
+    want = equals_brute_force(spark, two_groups(70, 0.9), nn_descent.Settings(recall=0.0))
+    assert {low for _, low in want.values()} == {0, 70}
+
+
+def test_short_audit_ends_exactly(spark, monkeypatch):
+    nothing = spark.createDataFrame([], nn_descent.PAIRS)
+    monkeypatch.setattr(nn_descent, "first_lists", lambda points, settings: nothing)
+    rows = two_groups(40) + [(i + 1000, x, k) for i, x, k in two_groups(12, 0.5)]
+    equals_brute_force(spark, rows, nn_descent.Settings(rounds=1, most_rounds=1, block=16))
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert nn_descent.near_duplicates(none).count() == 0
