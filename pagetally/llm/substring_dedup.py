@@ -8,6 +8,9 @@ they meet in one bucket; there the windows are sorted as strings and counted exa
 What a task can settle alone it does before the shuffle: of equal super-k-mers among its
 documents only those of the smallest doc_id are sent as strings. A passage that very many
 documents share so comes to its bucket a few times per task, not once per document.
+
+A minimiser that would fill a bucket by itself is hot. Its windows travel one by one, to the bucket
+of a hash of all their words: equal windows still meet, and different ones spread.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import even_keys, parts, slices, whole_texts, with_fields, words
+from pagetally.llm.common import even_keys, parts, slices, stored, whole_texts, with_fields, words
 
 WINDOW = 13
 #: Pairs whose words have so few bytes both come after all others: the most frequent pairs are
@@ -28,6 +31,10 @@ SHORT = 4
 #: Characters of text that a task packs at once, and the level of compression.
 PACK = 4 << 20
 LEVEL = 6
+#: Hot minimisers are looked for in one of so many documents, among those with so many bytes there.
+#: Which ones are hot decides where windows are counted, not what is found.
+SAMPLE = 16
+LEAST = 1 << 16
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -48,9 +55,13 @@ def minimisers(hashes: np.ndarray, short: np.ndarray, window: int = WINDOW) -> n
     return low
 
 
-def super_kmers(tokens: list[bytes], ends: list[int], window: int = WINDOW):
+NO_HOT = np.zeros(0, np.uint64)
+
+
+def super_kmers(tokens: list[bytes], ends: list[int], window: int = WINDOW, hot: np.ndarray = NO_HOT):
     """Super-k-mers of the documents whose words, one after the other, are `tokens`; document d
-    ends before word ends[d]. Arrays: document, first word, windows, minimiser."""
+    ends before word ends[d]. Arrays: document, first word, windows, minimiser. Windows of hot
+    minimisers come one by one, with a hash of all their words for the minimiser."""
     from xxhash import xxh64_intdigest
 
     none = np.zeros(0, np.int64)
@@ -66,6 +77,13 @@ def super_kmers(tokens: list[bytes], ends: list[int], window: int = WINDOW):
         return none, none, none, none.astype(np.uint64)
     new = np.ones(len(at), bool)
     new[1:] = (np.diff(at) > 1) | (low[at[1:]] != low[at[:-1]]) | (of[at[1:]] != of[at[:-1]])
+    if len(hot):
+        single = np.isin(low[at], hot)
+        new |= single
+        whole, spots = np.zeros(single.sum(), np.uint64), at[single]
+        for k in range(window):
+            whole = _mix(whole * np.uint64(0x9E3779B97F4A7C15) + hashes[spots + k])
+        low[spots] = whole
     first = np.flatnonzero(new)
     return of[at[first]], at[first], np.diff(first, append=len(at)), low[at[first]]
 
@@ -96,11 +114,11 @@ def _unpack(blob: bytes) -> tuple[list[np.ndarray], bytes]:
     return arrays, body[at:]
 
 
-def _buckets_of(docs: list[tuple[int, int, list[bytes]]], buckets: int, window: int) -> Iterator[tuple]:
+def _buckets_of(docs: list[tuple[int, int, list[bytes]]], buckets: int, window: int, hot: np.ndarray) -> Iterator[tuple]:
     """(bucket, packed) of documents (doc_id, check, words)."""
     tokens = [t for _, _, own in docs for t in own]
     ends = np.cumsum([len(own) for _, _, own in docs])
-    of, start, count, low = super_kmers(tokens, ends.tolist(), window)
+    of, start, count, low = super_kmers(tokens, ends.tolist(), window, hot)
     if not len(of):
         return
     joined, stop = b" ".join(tokens), np.cumsum([len(t) + 1 for t in tokens]) - 1
@@ -145,14 +163,38 @@ def _buckets_of(docs: list[tuple[int, int, list[bytes]]], buckets: int, window:
         yield int(bucket[rows[0]]), _pack(arrays, b"".join(texts))
 
 
-def packed(docs: DataFrame, keys: list[int], window: int = WINDOW) -> DataFrame:
+def hot_minimisers(docs: DataFrame, buckets: int, window: int = WINDOW) -> np.ndarray:
+    """The minimisers, at most `buckets`, whose super-k-mers are as many bytes as an average
+    bucket, of (doc_id, check, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            own = [words(t) for t in batch.column("text").to_pylist()]
+            tokens, ends = [t for w in own for t in w], np.cumsum([len(w) for w in own])
+            _, start, count, low = super_kmers(tokens, ends.tolist(), window)
+            upto = np.cumsum([0] + [len(t) + 1 for t in tokens])
+            sizes = upto[start + count + window - 1] - upto[start] if len(low) else start
+            names, place = np.unique(low, return_inverse=True)
+            sums = np.bincount(place, sizes, len(names)).astype(np.int64)
+            lows = pa.array([*names.view(np.int64).tolist(), None], pa.int64())  # null: all of them
+            yield pa.RecordBatch.from_arrays([lows, pa.array([*sums, sizes.sum()], pa.int64())], ["low", "size"])
+
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "check"), F.lit(SAMPLE)) == 0).where("doc_id is not null")
+    sums = some.mapInArrow(run, "low long, size long").groupBy("low").agg(F.sum("size").alias("size"))
+    sums = stored(sums.where((F.col("size") >= LEAST) | F.col("low").isNull()), "minimisers")
+    total = sums.where("low is null").agg(F.sum("size")).first()[0] or 0
+    rows = sums.where("low is not null").where(F.col("size") * buckets >= total).collect()  # `buckets` at most
+    return np.sort(np.array([r["low"] for r in rows], np.int64).view(np.uint64))
+
+
+def packed(docs: DataFrame, keys: list[int], window: int = WINDOW, hot: np.ndarray = NO_HOT) -> DataFrame:
     """(bucket, packed) of (doc_id, check, text), for buckets of these names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            rows = list(_buckets_of(held, len(keys), window))
+            rows = list(_buckets_of(held, len(keys), window, hot))
             names, blobs = [keys[b] for b, _ in rows], [p for _, p in rows]
             arrays = [pa.array(names, pa.int64()), pa.array(blobs, pa.binary())]
             return pa.RecordBatch.from_arrays(arrays, ["bucket", "packed"])
@@ -237,7 +279,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pa.table([pa.array(c, pa.int64()) for c in columns], names)
 
     n = parts(docs)
-    rows = packed(docs, even_keys(docs.sparkSession, n), window).repartition(n, "bucket")
+    hot = hot_minimisers(docs, n, window)
+    rows = packed(docs, even_keys(docs.sparkSession, n), window, hot).repartition(n, "bucket")
     return rows.groupBy("bucket").applyInArrow(run, ", ".join(f"`{n}` long" for n in names))
 
 

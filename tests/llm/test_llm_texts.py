@@ -218,6 +218,36 @@ def test_super_kmers_hold_every_window_once():
     assert all(len(m) == 1 for m in by_window.values())
 
 
+def template_rows(n=300):
+    """Documents with one line of a template, where a name stands within each 13 words."""
+    rnd = random.Random(12)
+    line = [f"template{k}" for k in range(60)]
+    rows = []
+    for i in range(n):
+        own = [f"name{i % (n - 20)}x{k}" if k % 10 == 5 else w for k, w in enumerate(line)]
+        rows.append((i, " ".join([prose(rnd, 15, 4000), *own, prose(rnd, 15, 4000)])))
+    return rows
+
+
+def test_windows_of_a_hot_minimiser_spread(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SAMPLE", 1)
+    monkeypatch.setattr(substring_dedup, "LEAST", 1)
+    rows = template_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    checked = docs.selectExpr("doc_id", "crc32(text) check", "text")
+    hot = substring_dedup.hot_minimisers(checked, 40)
+    assert 0 < len(hot) <= 40
+    # The most windows that have one minimiser, or one hash in its place, in average buckets.
+    most = []
+    tokens = [w for _, text in rows for w in words(text)]
+    ends = np.cumsum([len(words(text)) for _, text in rows]).tolist()
+    for known in (substring_dedup.NO_HOT, hot):
+        _, _, count, low = substring_dedup.super_kmers(tokens, ends, hot=known)
+        most.append(40 * np.bincount(np.unique(low, return_inverse=True)[1], count).max() / count.sum())
+    assert most[0] > 4 and most[1] < 1
+    assert found(substring_dedup.dedup(docs)) == sorted(map(str, without_repeats(rows)))
+
+
 # --- SimHash ---------------------------------------------------------------------------------
 
 
