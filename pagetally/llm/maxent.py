@@ -9,8 +9,8 @@ smoothed relative frequency. The probability of a word given the words before it
 The first two are softmaxes over few outcomes, with weights for features of the history: the unit
 one back (n-gram), the unit two back (skip), both together in hashed buckets, and constants. All
 tokens of the training texts are brought down to counts of outcomes per history, which is all
-that training needs. Every round computes the gradient, observed less expected counts, of all
-histories in tasks, and the driver adds up and updates the bounded table of weights.
+that training needs. Every round computes the observed and expected counts of all histories in
+tasks, and the driver adds up and updates the bounded table of weights by iterative scaling.
 """
 
 from __future__ import annotations
