@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetally.llm import bpe, maxent, mixing, nn_descent, quality_fm, quality_rules, simhash, substring_dedup, tool_calls, toxicity
+from pagetally.llm import (
+    bpe,
+    collocations,
+    conversation_repair,
+    exact_dedup,
+    maxent,
+    mixing,
+    nn_descent,
+    quality_fm,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    tool_calls,
+    toxicity,
+)
 from pagetally.llm.common import crc_of_id
 
 
@@ -83,6 +97,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", digest)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark(table(spark, sf_dir, "documents")).drop("carried")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    turns = conversation_repair.damaged(conversations)
+    plans = conversation_repair.audits(turns, conversations)
+    return conversation_repair.with_digest(turns, plans)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
@@ -94,4 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality_fm": op9_quality_fm,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }

@@ -192,9 +192,58 @@ TOOL_CALLS = """
     from linked"""
 
 
+# Every n-gram is written out and counted by itself here.
+COLLOCATIONS = r"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) as piece
+        from documents),
+    words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+    starts as (
+        select lang, w, size, unnest(range(1, len(w) - size + 2)) as i
+        from words, (values (1), (2), (3)) as sizes(size)),
+    counts as (
+        select lang, size, array_to_string(w[i : i + size - 1], ' ') as phrase, count(*) as n
+        from starts group by all),
+    candidates as (select lang, size, phrase, n, string_split(phrase, ' ') as w from counts where size > 1 and n >= 10),
+    cuts as (
+        select lang, phrase, n as a, k, array_to_string(w[1:k], ' ') as part, array_to_string(w[k + 1 :], ' ') as rest
+        from candidates, (values (1), (2)) as cut(k) where k < size),
+    scored as (
+        select u.lang, u.phrase, a, x.n as l, y.n as r, k,
+               cast(1000000 * a::hugeint * a::hugeint // (x.n::hugeint * y.n::hugeint) as bigint) as score
+        from cuts as u join counts as x on x.lang = u.lang and x.phrase = u.part
+                       join counts as y on y.lang = u.lang and y.phrase = u.rest),
+    best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+    inside as (
+        select lang, phrase, max(n) as n from (
+            select lang, array_to_string(w[1:2], ' ') as phrase, n from candidates where size = 3
+            union all
+            select lang, array_to_string(w[2:3], ' '), n from candidates where size = 3)
+        group by all),
+    total as (select lang, sum(n)::bigint as n from counts where size = 1 group by lang)
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+           phrase, a, l, r, t.n, score
+    from best left join inside as i using (lang, phrase) join total as t using (lang)
+    where i.n is null or 100 * i.n < 50 * a
+    qualify rank <= 2000"""
+
+
+EXACT_DEDUP = r"""
+    with texts as (
+        select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
+        from documents),
+    groups as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from texts group by all)
+    select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256
+    from texts join groups using (text_sha256)"""
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
     "op5_mixing": MIXING,
     "op6_tool_calls": TOOL_CALLS,
     "op10_substring_dedup": SUBSTRING_DEDUP,
+    "op11_collocations": COLLOCATIONS,
+    "op12_exact_dedup": EXACT_DEDUP,
 }
