@@ -4,20 +4,35 @@ Only the longest windows are counted: every word with the words that follow it i
 lead columns, padded with nulls where the piece ends. A shorter phrase is a prefix of the windows
 that begin where it does, so ROLLUP sums over the counted windows give the counts of all shorter
 phrases, of all words, and the total; shorter n-grams are never generated.
+
+Most windows hold a pair of neighbours that is too rare to be in any candidate, or in any part of
+one. A first pass counts hashes of pairs, and windows are padded from such a pair on: they then
+fall together with others, long before they are sent. Pairs of one hash are counted together, so a
+frequent pair is never taken for a rare one, and all counts that are used are exact.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import stored
-
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Characters that end a piece, besides the full stop that stands for all of them in between.
-ENDS = ",;:!?\n\v\f\r"
+from pagetally.llm.common import slices, stored, whole_texts
+
+#: A-Z in lower case; a full stop for every character that ends a piece; a blank for a tab.
+UPPER, ENDS = bytes(range(65, 91)), b".,;:!?\n\v\f\r"
+PLAIN = bytes.maketrans(UPPER + ENDS + b"\t", UPPER.lower() + b"." * len(ENDS) + b" ")
+#: Bytes of text whose windows a task counts before it sends them; cut at the end of a piece.
+CHUNK = 8 << 20
+#: Bits for each frequent pair in the table of their hashes, and the most that it has (32 MB).
+#: Beyond that more rare pairs stay in, and the counts are the same.
+BITS, MOST = 16, 1 << 28
+BITMAP = 1 << 15  # bits of one aggregate
 #: A part of more than one in so many cuts is hot; there are fewer of these than that.
 HOT = 1024
 #: Tasks that share the cuts of a hot part, or the candidates of a language.
@@ -43,24 +58,107 @@ def _names(n: int) -> list[str]:
     return [f"w{i}" for i in range(1, n + 1)]
 
 
-def tokens(text: Column) -> Column:
-    """Words, and a full stop for every end of a piece. The first and last may be empty."""
-    plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER + ENDS, LOWER + "." * len(ENDS))
-    return F.split(F.replace(plain, F.lit("."), F.lit(" . ")), "[ \t]+")
+class _Ids(dict):
+    """Numbers of words, in order of their first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
+    """(lang, numbers, words) of pieces of one language; number 0 is the end of a piece."""
+    held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+
+    def numbered(lang: str) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
+        text, begin = b".".join(held.pop(lang)), 0
+        del sizes[lang]
+        while begin < len(text):
+            end = text.find(b".", begin + size)
+            end = len(text) if end < 0 else end
+            ids = _Ids({b".": 0})
+            tokens = text[begin:end].replace(b".", b" . ").split()
+            yield lang, np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens)), list(ids)
+            begin = end
+
+    for batch in slices(batches):
+        for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if text:
+                lang = "und" if lang is None else lang
+                held.setdefault(lang, []).append(text.encode().translate(PLAIN))
+                sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1])
+                if sizes[lang] >= size:
+                    yield from numbered(lang)
+    for lang in list(held):
+        yield from numbered(lang)
+
+
+def _pairs(lang: str, ids: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a word and the next one are in one piece, and a hash of both."""
+    from xxhash import xxh64_intdigest
 
+    seed = xxh64_intdigest(lang.encode())
+    hashes = np.fromiter((xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))[ids]
+    mixed = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (ids[:-1] > 0) & (ids[1:] > 0), mixed ^ (mixed >> np.uint64(29))
 
-def windows(docs: DataFrame, longest: int) -> DataFrame:
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return whole_texts(docs).select(F.col("lang").cast("string"), F.col("text").cast("string"))
+
+
+def frequent_pairs(docs: DataFrame, least: int) -> np.ndarray:
+    """Bits by hash, a power of two of them: set for every pair with `least` occurrences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, ids, words in _chunks(batches):
+            both, hashes = _pairs(lang, ids, words)
+            names, n = np.unique(hashes[both], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n)], ["hash", "n"])
+
+    found = _texts(docs).mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    found = stored(found.where(F.col("n") >= least).select("hash"), "frequent_pairs")
+    bits = max(BITMAP, min(MOST, 1 << math.ceil(math.log2(BITS * found.count() + 1))))
+    at = F.col("hash").bitwiseAND(bits - 1)
+    place = F.shiftright(at, BITMAP.bit_length() - 1).alias("place")
+    some = F.bitmap_construct_agg(at.bitwiseAND(BITMAP - 1)).alias("bits")
+    table = np.zeros(bits // 8, np.uint8)
+    for row in found.groupBy(place).agg(some).collect():  # MOST bits at most
+        table[row.place * BITMAP // 8 : (row.place + 1) * BITMAP // 8] = np.frombuffer(row.bits, np.uint8)
+    return table
+
+
+def windows(docs: DataFrame, longest: int, frequent: np.ndarray) -> DataFrame:
     """lang, w1 to w<longest>, n: how often each padded window begins at a word."""
     names = _names(longest)
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
-    split = docs.select(lang, tokens(F.col("text")).alias("t"))
-    leads = [F.slice("t", i + 1, F.size("t")) for i in range(1, longest)]
-    rows = split.select("lang", F.inline(F.arrays_zip("t", *leads)).alias(*names))
-    rows = rows.where(~F.col("w1").isin("", "."))
-    for before, name in zip(names, names[1:], strict=False):
-        inside = F.col(before).isNotNull() & ~F.col(name).isin("", ".")
-        rows = rows.withColumn(name, F.when(inside, F.col(name)))
-    return rows.groupBy("lang", *names).agg(F.count("*").alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.uint64(8 * len(frequent) - 1)
+        for lang, ids, words in _chunks(batches):
+            both, hashes = _pairs(lang, ids, words)
+            at = hashes & mask
+            on = both & (frequent[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            on = np.append(on, np.zeros(longest, bool))  # pairs that begin at each word
+            texts = pa.array([w.decode() for w in words], pa.string())
+            begin = np.flatnonzero(ids > 0)
+            for length in range(1, longest + 1):
+                more = on[begin + length - 1] if length < longest else np.zeros(len(begin), bool)
+                ends, begin = begin[~more], begin[more]
+                # Windows of this length as numbers, word by word.
+                key, first = np.zeros(len(ends), np.int64), np.zeros(0, np.int64)
+                for i in range(length):
+                    _, first, key, n = np.unique(key * len(words) + ids[ends + i], True, True, True)
+                if not len(first):
+                    continue
+                columns = [texts.take(pa.array(ids[ends[first] + i])) for i in range(length)]
+                columns += [pa.nulls(len(first), pa.string())] * (longest - length)
+                langs = pa.array([lang] * len(first), pa.string())
+                yield pa.RecordBatch.from_arrays([langs, *columns, pa.array(n, pa.int64())], ["lang", *names, "n"])
+
+    schema = ", ".join(f"{c} string" for c in ["lang", *names])
+    return _texts(docs).mapInArrow(run, f"{schema}, n long").groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -68,7 +166,7 @@ def counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     a row of size 0 with the number of words of each language."""
     names = _names(rules.longest)
     prefix = names[:-1]
-    top = windows(docs, rules.longest)
+    top = stored(windows(docs, rules.longest, frequent_pairs(docs, rules.least)), "windows")
     longest = top.where(F.col(names[-1]).isNotNull()).withColumn("size", F.lit(rules.longest))
     summed = top.rollup("lang", *prefix).agg(F.sum("n").alias("n"), F.grouping_id().alias("out"))
     # Columns that are summed out are null, and so are those beyond the end of a piece: there a

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import frame
@@ -69,15 +70,37 @@ def test_collocations_of_hot_words_ties_and_pieces(spark):
     assert sorted(map(tuple, got.collect())) == want and len(want) > 30
 
 
-def test_shorter_phrases_are_sums_over_prefixes(spark, odd, none):
-    """The only windows that are counted are the longest; the plan has one generator."""
-    plan = collocations.counts(odd)._jdf.queryExecution().analyzed().toString()
-    assert "grouping_id" in plan
-    windows = collocations.windows(odd, 3)
-    assert windows.agg({"n": "sum"}).first()[0] == collocations.counts(odd).where("size = 0").agg({"n": "sum"}).first()[0]
+def test_windows_are_padded_from_rare_pairs_on(spark, odd, odd_rows, none, monkeypatch):
+    """Whatever the table of pairs and the chunks are, every word begins one window; pairs that are
+    not rare are never padded."""
+    n = phrases([(r[1], r[2]) for r in odd_rows], Rules(least=2, top=1))
+    words = sum({r[0]: r[6] for r in n}.values())
+    every, nothing = np.full(1 << 12, 255, np.uint8), np.zeros(1 << 12, np.uint8)
+    for table in (every, nothing, collocations.frequent_pairs(odd, 2)):
+        assert collocations.windows(odd, 3, table).agg({"n": "sum"}).first()[0] == words
+    assert collocations.windows(odd, 3, nothing).where("w2 is not null").count() == 0
+    full = {tuple(r) for r in collocations.windows(odd, 2, every).collect() if r.w2 is not None and r.n >= 2}
+    some = {tuple(r) for r in collocations.windows(odd, 2, collocations.frequent_pairs(odd, 2)).collect()}
+    assert full and full <= some
     assert collocations.collocations(none).count() == 0
 
 
+def test_chunks_cut_long_texts_between_pieces():
+    rnd = random.Random(7)
+    text = "".join(rnd.choice("aB .,\n\tc") for _ in range(5000))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", None, "en"], "text": [text, text, None]})
+
+    def pieces(size):
+        found = Counter()
+        for lang, ids, words in collocations._chunks(iter([batch]), size):
+            for piece in b" ".join(words[i] for i in ids).split(b"."):
+                found[lang, piece.strip()] += bool(piece.strip())
+        return +found
+
+    assert pieces(1) == pieces(64) == pieces(1 << 20)
+    assert {lang for lang, _ in pieces(64)} == {"en", "und"}
+
+
 def test_products_beyond_64_bits(spark):
     big = 3_037_000_500
     rows = [("en", 1, "a", 2 * big), ("en", 1, "b", 3 * big), ("en", 2, "a b", big), ("en", 0, "", 9 * big)]
