@@ -18,7 +18,7 @@ from pagetally.operators.parsing import rejected_lines
 from pagetally.plans import reports
 from pagetally.session import build_session
 from pagetally.sinks import Console, FileTable, JdbcTable
-from pagetally.sources import dimensions, lines
+from pagetally.sources import dimensions, lines, tailing
 from pagetally.streaming import runner
 
 RESULTS = {
@@ -43,7 +43,9 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--landed", help="landed lines, as a batch")
     source.add_argument("--text-stream", help="folder that receives finished log files")
     source.add_argument("--landed-stream", help="landed lines, as a stream")
+    source.add_argument("--tail", help="mounted folder of files that are still written to")
     source.add_argument("--kafka", action="store_true", help="topic with log lines")
+    p.add_argument("--tail-pattern", default="*", help="names of the files in that folder")
     p.add_argument("--topic", default=lines.DEFAULT_TOPIC)
     p.add_argument("--max-files", type=int, help="files per micro-batch")
     p.add_argument("--max-offsets", type=int, help="messages per micro-batch")
@@ -106,6 +108,8 @@ def source(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
         return lines.text_line_stream(spark, args.text_stream, args.max_files)
     if args.landed_stream:
         return lines.landed_line_stream(spark, args.landed_stream, args.max_files)
+    if args.tail:
+        return tailing.tailed_lines(spark, args.tail, args.tail_pattern)
     servers = values["kafka.bootstrap.servers"]
     options = lines.kafka_options(
         servers,

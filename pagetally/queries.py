@@ -17,7 +17,7 @@ from .plans import reports, visits
 from .plans.reports import ARTICLE, SECTION
 from .session import run_dir
 from .sinks import FileTable
-from .sources import derived, lines
+from .sources import derived, lines, tailing
 from .streaming import runner
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -357,6 +357,19 @@ def land_raw_logs(spark, sf_dir):
     return lines.landed_lines(spark, f"{work}/lines")
 
 
+@query
+def land_tailed_logs(spark, sf_dir):
+    """Logs that grow and are rotated between two starts of the landing job."""
+    work = run_dir(spark, "land_tailed_logs")
+    _forum(spark, sf_dir).write.parquet(f"{work}/source")
+    source = spark.read.schema(schemas.RAW_LINE).parquet(f"{work}/source")
+    for grown in (False, True):
+        derived.write_server_logs(source, f"{work}/logs", grown)
+        stream = tailing.tailed_lines(spark, f"{work}/logs", "server-*")
+        runner.land_raw_logs(stream, f"{work}/lines", f"{work}/checkpoint").awaitTermination()
+    return lines.landed_lines(spark, f"{work}/lines")
+
+
 # Whole chains: lines pass through files before the report
 
 

@@ -249,6 +249,7 @@ ORACLE: dict[str, str] = {
     ),
     "stream_hot_article_renamed": _RENAMED,
     "land_raw_logs": _FORUM,
+    "land_tailed_logs": _FORUM,
     "client_access_from_text": _clients(_VISITS),
     "hot_article_from_landed": _HOT_ARTICLE,
     "stream_client_access_from_landed": _clients(

@@ -7,10 +7,15 @@ beyond INT, both log formats, and referers whose page id must not be counted.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import once
+from .tailing import local_path
 
 
 def _address(key: str) -> str:
@@ -97,3 +102,35 @@ def article_table(part: DataFrame) -> DataFrame:
     subject = F.when(F.col("p_size") <= 5, "").otherwise(F.col("p_name"))
     second = F.when(F.col("p_size") <= 5, "").otherwise(F.concat_ws(" ", "p_name", "p_brand"))
     return part.select(tid, F.explode(F.array(subject, second)).alias("subject"))
+
+
+def write_server_logs(stored: DataFrame, folder: str, grown: bool) -> None:
+    """Stored lines as the logs of servers in a mounted folder, one server for each partition.
+
+    First every other line and half of the next one, which is not ended; then, `grown`, the rest of
+    that line, a rotation, and the other lines in a new file. A task that is tried again writes the
+    same bytes to the same places.
+    """
+    folder = local_path(folder)
+    os.makedirs(folder, exist_ok=True)
+
+    def write(rows: Iterator) -> None:
+        log, first, size = f"{folder}/server-{TaskContext.get().partitionId()}.log", b"", 0
+        if grown and not os.path.exists(f"{log}.1"):
+            os.rename(log, f"{log}.1")
+        with open(log, "wb") as file:
+            for i, row in enumerate(rows):
+                line = row.value.encode() + b"\n"
+                first = line if i == 1 else first
+                size += len(line) if i % 2 == 0 else 0
+                if i % 2 == 0 and not grown or i % 2 and i > 1 and grown:
+                    file.write(line)
+            if not grown:
+                file.write(first[: len(first) // 2])
+        if grown:
+            with open(f"{log}.1", "r+b") as file:
+                file.truncate(size + len(first) // 2)
+                file.seek(0, os.SEEK_END)
+                file.write(first[len(first) // 2 :])
+
+    stored.foreachPartition(write)
