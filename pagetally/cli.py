@@ -16,10 +16,11 @@ from pagetally import schemas
 from pagetally.config import JobConfig
 from pagetally.operators.parsing import rejected_lines
 from pagetally.plans import reports
+from pagetally.plans.reports import ARTICLE, SECTION
 from pagetally.session import build_session
 from pagetally.sinks import Console, FileTable, JdbcTable
 from pagetally.sources import dimensions, lines, tailing
-from pagetally.streaming import runner
+from pagetally.streaming import open_windows, runner
 
 RESULTS = {
     "hot_section": ("hot_section", schemas.HOT_SECTION),
@@ -27,6 +28,8 @@ RESULTS = {
     "client_access": ("client_ip_access", schemas.CLIENT_IP_ACCESS),
     "rejected_lines": ("rejected_lines", schemas.REJECTED),
 }
+# Windows that a running report has not closed, read from its checkpoint.
+OPEN = {"open_hot_section": SECTION, "open_hot_article": ARTICLE, "open_client_access": None}
 DIMENSIONS = {
     "hot_section": ("pre_forum_forum", schemas.SECTION_DIM),
     "hot_article": ("pre_forum_post", schemas.ARTICLE_DIM),
@@ -35,10 +38,10 @@ DIMENSIONS = {
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="Page-view reports over access logs")
-    p.add_argument("job", choices=[*RESULTS, "land_raw_logs"])
+    p.add_argument("job", choices=[*RESULTS, *OPEN, "land_raw_logs"])
     p.add_argument("--settings", help="file of key=value lines")
 
-    source = p.add_mutually_exclusive_group(required=True)
+    source = p.add_mutually_exclusive_group()
     source.add_argument("--text", help="text files, as a batch")
     source.add_argument("--landed", help="landed lines, as a batch")
     source.add_argument("--text-stream", help="folder that receives finished log files")
@@ -100,6 +103,9 @@ def _connection(values: dict[str, str]) -> dict[str, str]:
 
 
 def source(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
+    given = (args.text, args.landed, args.text_stream, args.landed_stream, args.tail, args.kafka)
+    if not any(given):
+        raise SystemExit(f"{args.job} needs a source of lines")
     if args.text:
         return lines.text_lines(spark, args.text)
     if args.landed:
@@ -122,7 +128,7 @@ def source(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
 
 
 def dimension(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
-    table, schema = DIMENSIONS[args.job]
+    table, schema = DIMENSIONS[args.job.removeprefix("open_")]
     if args.dim_files:
         return spark.read.schema(schema).parquet(args.dim_files)
     options = dimensions.jdbc_options(
@@ -132,7 +138,7 @@ def dimension(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
 
 
 def sink(args, values: dict[str, str]):
-    table, schema = RESULTS[args.job]
+    table, schema = RESULTS[args.job.removeprefix("open_")]
     if args.out_files:
         return FileTable(args.out_files, schema)
     if args.out_console:
@@ -156,8 +162,22 @@ def config(args) -> JobConfig:
     )
 
 
+def open_report(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
+    if not args.checkpoint:
+        raise SystemExit(f"{args.job} reads the --checkpoint of the running report")
+    kind, cfg = OPEN[args.job], config(args)
+    if kind is None:
+        return open_windows.open_client_access(spark, args.checkpoint, cfg)
+    return open_windows.open_pages(spark, args.checkpoint, dimension(spark, args, values), kind, cfg)
+
+
 def run(spark: SparkSession, args) -> None:
     values, cfg = settings(args.settings), config(args)
+    if args.job in OPEN:
+        if args.out_kafka:
+            raise SystemExit("reports write to --out-files, --out-jdbc or --out-console")
+        sink(args, values).write(open_report(spark, args, values))
+        return
     rows = source(spark, args, values)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.interval}
     if rows.isStreaming:

@@ -88,9 +88,13 @@ def client_counts(visits: DataFrame, cfg: JobConfig) -> DataFrame:
     visits = visits.withWatermark("event_time", cfg.watermark_delay)
     if cfg.forum_pages_only:
         visits = visits.where((F.col("section_id") > 0) | (F.col("article_id") > 0))
-    counts = windows.tumbling_count(
-        visits, ["client_ip"], cfg.client_window, cfg.window_start_time
+    return client_report(
+        windows.tumbling_count(visits, ["client_ip"], cfg.client_window, cfg.window_start_time), cfg
     )
+
+
+def client_report(counts: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Counts per client with result column names and text bounds."""
     count = (F.col("pv") + F.lit(cfg.count_offset)).alias("client_access_cnt")
     return windows.with_bounds(counts.select(F.col("client_ip").alias("client"), count, "window"))
 

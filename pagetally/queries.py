@@ -18,7 +18,7 @@ from .plans.reports import ARTICLE, SECTION
 from .session import run_dir
 from .sinks import FileTable
 from .sources import derived, lines, tailing
-from .streaming import runner
+from .streaming import open_windows, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -300,6 +300,37 @@ def stream_client_access(spark, sf_dir):
     return table.read(spark)
 
 
+@query
+def stream_open_client_windows(spark, sf_dir):
+    """What the client report has counted in the windows that it has not closed."""
+    work = run_dir(spark, "stream_open_client_windows")
+    table = FileTable(f"{work}/out", schemas.CLIENT_IP_ACCESS)
+    source = _forum_stream(spark, sf_dir)
+    runner.start_client_access(source, table, f"{work}/checkpoint").awaitTermination()
+    return open_windows.open_client_access(spark, f"{work}/checkpoint")
+
+
+@query
+def stream_client_access_so_far(spark, sf_dir):
+    """Closed windows from the result table and open ones from the state: the whole report."""
+    work = run_dir(spark, "stream_client_access_so_far")
+    table = FileTable(f"{work}/out", schemas.CLIENT_IP_ACCESS)
+    source = _forum_stream(spark, sf_dir)
+    runner.start_client_access(source, table, f"{work}/checkpoint").awaitTermination()
+    return open_windows.client_access_so_far(spark, table, f"{work}/checkpoint")
+
+
+@query
+def stream_open_hot_article(spark, sf_dir):
+    """The top articles of the windows that are still open."""
+    work = run_dir(spark, "stream_open_hot_article")
+    table = FileTable(f"{work}/out", schemas.HOT_ARTICLE)
+    source, dim = _forum_stream(spark, sf_dir), _articles(spark, sf_dir)
+    cfg = JobConfig(top_n=3)
+    runner.start_hot_article(source, dim, table, f"{work}/checkpoint", cfg).awaitTermination()
+    return open_windows.open_pages(spark, f"{work}/checkpoint", dim, ARTICLE, cfg)
+
+
 @query
 def stream_client_access_two_runs(spark, sf_dir):
     """Two streams of their own checkpoints into one result table: both results are there."""

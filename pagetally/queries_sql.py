@@ -167,6 +167,11 @@ def _closed(rows: str, days: int) -> str:
     return f"where w + interval {days} day <= (select max(event_time) from ({rows}))"
 
 
+def _open(rows: str, days: int) -> str:
+    """The other windows."""
+    return _closed(rows, days).replace("where ", "where not (", 1) + ")"
+
+
 def _twice(table: str) -> str:
     return f"with t as ({table}) select * from t union all select * from t"
 
@@ -240,6 +245,11 @@ ORACLE: dict[str, str] = {
     "append_hot_article": _twice(_HOT_ARTICLE),
     "append_client_access": _twice(_clients(_VISITS)),
     "stream_client_access": _clients(_VISITS, closed_by=_closed(_VISITS, 1)),
+    "stream_open_client_windows": _clients(_VISITS, closed_by=_open(_VISITS, 1)),
+    "stream_client_access_so_far": _clients(_VISITS),
+    "stream_open_hot_article": _report(
+        _page_counts(_VISITS, "article"), "article", 3, _open(_page_visits(_VISITS, "article"), 3)
+    ),
     "stream_client_access_two_runs": _twice(_clients(_VISITS, closed_by=_closed(_VISITS, 1))),
     "stream_hot_section": _report(
         _page_counts(_VISITS, "section"), "section", 1, _closed(_page_visits(_VISITS, "section"), 3)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .session import delete, exists
+from .session import children, delete, exists
 from .sources.dimensions import driver_settings
 
 
@@ -85,12 +85,17 @@ class FileTable:
         finally:
             rows.unpersist()
 
-    def read(self, spark) -> DataFrame:
-        """All rows; none where nothing was ever written."""
-        if not exists(spark, self.path):
+    def read(self, spark, upto: Batch | None = None) -> DataFrame:
+        """All rows, or those that one query has written up to a micro-batch; none where nothing
+        was ever written."""
+        paths = [self.path] if exists(spark, self.path) else []
+        if upto is not None:
+            folders = children(spark, f"{self.path}/query={upto.query}")
+            paths = [f for f in folders if int(f.rsplit("batch_id=", 1)[1]) <= upto.id]
+        if not paths:
             return spark.createDataFrame([], self.schema)
         files = spark.read.schema(self.schema).option("recursiveFileLookup", "true")
-        return files.parquet(self.path)
+        return files.parquet(*paths)
 
 
 @dataclass(frozen=True)
