@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pagetally import schemas
 from pagetally.config import JobConfig
 from pagetally.operators.parsing import rejected_lines
-from pagetally.plans import reports
+from pagetally.plans import reports, tiles
 from pagetally.plans.reports import ARTICLE, SECTION
 from pagetally.session import build_session
-from pagetally.sinks import Console, FileTable, JdbcTable
+from pagetally.sinks import Console, FileTable, JdbcTable, SnapshotTable
 from pagetally.sources import dimensions, lines, tailing
 from pagetally.streaming import open_windows, runner
 
@@ -38,7 +38,7 @@ DIMENSIONS = {
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="Page-view reports over access logs")
-    p.add_argument("job", choices=[*RESULTS, *OPEN, "land_raw_logs"])
+    p.add_argument("job", choices=[*RESULTS, *OPEN, "land_raw_logs", "count_tiles", "compact"])
     p.add_argument("--settings", help="file of key=value lines")
 
     source = p.add_mutually_exclusive_group()
@@ -48,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--landed-stream", help="landed lines, as a stream")
     source.add_argument("--tail", help="mounted folder of files that are still written to")
     source.add_argument("--kafka", action="store_true", help="topic with log lines")
+    p.add_argument("--tiles", help="tiles: count_tiles adds to them, reports read them")
     p.add_argument("--tail-pattern", default="*", help="names of the files in that folder")
     p.add_argument("--topic", default=lines.DEFAULT_TOPIC)
     p.add_argument("--max-files", type=int, help="files per micro-batch")
@@ -58,8 +59,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dim-table", help="name of the database table")
     p.add_argument("--dim-parts", type=int, default=8, help="parallel reads of the table")
 
-    out = p.add_mutually_exclusive_group(required=True)
+    out = p.add_mutually_exclusive_group()
     out.add_argument("--out-files", help="folder of parquet files")
+    out.add_argument("--out-snapshots", help="folder of parquet files that count by version")
     out.add_argument("--out-jdbc", action="store_true", help="result table of the database")
     out.add_argument("--out-kafka", action="store_true", help="topic (land_raw_logs only)")
     out.add_argument("--out-console", action="store_true")
@@ -141,8 +143,12 @@ def sink(args, values: dict[str, str]):
     table, schema = RESULTS[args.job.removeprefix("open_")]
     if args.out_files:
         return FileTable(args.out_files, schema)
+    if args.out_snapshots:
+        return SnapshotTable(args.out_snapshots, schema)
     if args.out_console:
         return Console(schema)
+    if not args.out_jdbc:
+        raise SystemExit(f"{args.job} writes to --out-files, -snapshots, -jdbc or -console")
     return JdbcTable(
         values["mysql.url"], args.out_table or table, schema, _connection(values)
     )
@@ -171,8 +177,41 @@ def open_report(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
     return open_windows.open_pages(spark, args.checkpoint, dimension(spark, args, values), kind, cfg)
 
 
+def tile_report(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
+    store, cfg = tiles.TileStore(args.tiles, args.honor_offset), config(args)
+    if args.job == "client_access":
+        return tiles.client_access(spark, store, cfg)
+    kind = {"hot_section": SECTION, "hot_article": ARTICLE}[args.job]
+    return tiles.top_pages(store, dimension(spark, args, values), kind, cfg)
+
+
+def count_tiles(spark: SparkSession, args) -> None:
+    if not args.tiles or not (args.text or args.landed):
+        raise SystemExit("count_tiles counts --text or --landed files into --tiles")
+    store, form = tiles.TileStore(args.tiles, args.honor_offset), "text" if args.text else "parquet"
+    store.add(spark, args.text or args.landed, form)
+
+
+def compact(spark: SparkSession, args) -> None:
+    """Fewer folders of tiles or of a result; what readers of the version before use stays."""
+    if not args.tiles and not args.out_snapshots:
+        raise SystemExit("compact works on --tiles or --out-snapshots")
+    if args.tiles:
+        table = tiles.TileStore(args.tiles)
+    else:
+        table = SnapshotTable.of(spark, args.out_snapshots)
+    table.compact(spark)
+    table.manifest.clean(spark)
+
+
 def run(spark: SparkSession, args) -> None:
     values, cfg = settings(args.settings), config(args)
+    if args.job in ("count_tiles", "compact"):
+        {"count_tiles": count_tiles, "compact": compact}[args.job](spark, args)
+        return
+    if args.tiles and args.job in ("hot_section", "hot_article", "client_access"):
+        sink(args, values).write(tile_report(spark, args, values))
+        return
     if args.job in OPEN:
         if args.out_kafka:
             raise SystemExit("reports write to --out-files, --out-jdbc or --out-console")

@@ -13,10 +13,10 @@ from .config import JobConfig
 from .functions import columns as C
 from .operators import dimensions as D
 from .operators import parsing
-from .plans import reports, visits
+from .plans import reports, tiles, visits
 from .plans.reports import ARTICLE, SECTION
 from .session import run_dir
-from .sinks import FileTable
+from .sinks import FileTable, SnapshotTable
 from .sources import derived, lines, tailing
 from .streaming import open_windows, runner
 
@@ -288,6 +288,49 @@ def append_client_access(spark, sf_dir):
     return _append_twice(client_access_1d(spark, sf_dir), table)
 
 
+@query
+def append_client_access_compacted(spark, sf_dir):
+    """Two appends, brought together into one folder that readers of the first version do not see."""
+    table = SnapshotTable(run_dir(spark, "client_snapshots"), schemas.CLIENT_IP_ACCESS)
+    _append_twice(client_access_1d(spark, sf_dir), table)
+    table.compact(spark)
+    table.manifest.clean(spark)
+    return table.read(spark)
+
+
+# Tiles: increments over a folder of log files that has more of them each time
+
+
+def _tiles(spark: SparkSession, sf_dir: str) -> tiles.TileStore:
+    """Two increments; the second finds the files of the first beside its own."""
+    work = run_dir(spark, "tiles")
+    store, forum = tiles.TileStore(f"{work}/tiles"), _forum(spark, sf_dir)
+    late = F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    for part in (~late, late):
+        forum.where(part).write.mode("append").text(f"{work}/logs")
+        store.add(spark, f"{work}/logs/*.txt")
+    return store
+
+
+@query
+def section_pv_3d_from_tiles(spark, sf_dir):
+    return tiles.page_report(_tiles(spark, sf_dir), _sections(spark, sf_dir), SECTION)
+
+
+@query
+def hot_article_from_tiles(spark, sf_dir):
+    """From tiles that were brought together."""
+    store = _tiles(spark, sf_dir)
+    store.compact(spark)
+    store.manifest.clean(spark)
+    return tiles.top_pages(store, _articles(spark, sf_dir), ARTICLE)
+
+
+@query
+def client_access_from_tiles(spark, sf_dir):
+    return tiles.client_access(spark, _tiles(spark, sf_dir), JobConfig(forum_pages_only=True))
+
+
 # Streams: run over all that is there, then read the result table
 
 
@@ -342,6 +385,17 @@ def stream_client_access_two_runs(spark, sf_dir):
     return table.read(spark)
 
 
+@query
+def stream_client_access_snapshots(spark, sf_dir):
+    """The client report as a stream into a table of snapshots."""
+    work = run_dir(spark, "stream_snapshots")
+    table = SnapshotTable(f"{work}/out", schemas.CLIENT_IP_ACCESS)
+    source = _forum_stream(spark, sf_dir)
+    runner.start_client_access(source, table, f"{work}/checkpoint").awaitTermination()
+    table.compact(spark)
+    return table.read(spark)
+
+
 @query
 def stream_hot_section(spark, sf_dir):
     work = run_dir(spark, "stream_hot_section")

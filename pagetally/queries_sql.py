@@ -244,6 +244,11 @@ ORACLE: dict[str, str] = {
     "append_hot_section": _twice(_HOT_SECTION),
     "append_hot_article": _twice(_HOT_ARTICLE),
     "append_client_access": _twice(_clients(_VISITS)),
+    "append_client_access_compacted": _twice(_clients(_VISITS)),
+    "section_pv_3d_from_tiles": _report(_page_counts(_VISITS, "section"), "section"),
+    "hot_article_from_tiles": _HOT_ARTICLE,
+    "client_access_from_tiles": _clients(_VISITS, "where section_id > 0 or article_id > 0"),
+    "stream_client_access_snapshots": _clients(_VISITS, closed_by=_closed(_VISITS, 1)),
     "stream_client_access": _clients(_VISITS, closed_by=_closed(_VISITS, 1)),
     "stream_open_client_windows": _clients(_VISITS, closed_by=_open(_VISITS, 1)),
     "stream_client_access_so_far": _clients(_VISITS),

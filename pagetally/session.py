@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings every job wants unless it is told otherwise. Sizes are for a cluster.
@@ -71,6 +73,61 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [str(f.getPath()) for f in files.listStatus(hadoop)] if files.exists(hadoop) else []
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file that write_new has written."""
+    hadoop, files = _path(spark, path)
+    stream = files.open(hadoop)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that is not there yet, all of it at once; False if it is there.
+
+    The text goes to a name of its own first. In a mounted folder a link gives it the name, in
+    other file systems a rename that replaces nothing: both fail where another writer was first.
+    """
+    hadoop, files = _path(spark, path)
+    if files.exists(hadoop):
+        return False
+    folder, name = path.rsplit("/", 1)
+    own, _ = _path(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    files.mkdirs(own.getParent())
+    if files.getUri().getScheme() == "file":
+        return _write_linked(own.toUri().getPath(), hadoop.toUri().getPath(), text)
+    stream = files.create(own, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    fs = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    options[0] = fs.Options.Rename.NONE
+    try:
+        fs.FileContext.getFileContext(own.toUri(), conf).rename(own, hadoop, options)
+    except Py4JJavaError:
+        files.delete(own, False)
+        if files.exists(hadoop):
+            return False
+        raise
+    return True
+
+
+def _write_linked(own: str, path: str, text: str) -> bool:
+    with open(own, "w", encoding="utf-8") as file:
+        file.write(text)
+    try:
+        os.link(own, path)
+    except FileExistsError:
+        return False
+    finally:
+        os.remove(own)
+    return True
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder that this package has written."""
     hadoop, files = _path(spark, path)

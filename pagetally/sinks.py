@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .manifest import Entry, Manifest
 from .session import children, delete, exists
 from .sources.dimensions import driver_settings
 
@@ -98,6 +100,72 @@ class FileTable:
         return files.parquet(*paths)
 
 
+@dataclass(frozen=True)
+class SnapshotTable:
+    """Parquet files that count once a version of the table names them.
+
+    Readers follow the last version: they see a whole write or nothing of it, also while the table
+    is compacted, and no folders are listed. A replayed micro-batch takes the place of its first
+    try. Rename has to be atomic in the file system, as in HDFS or a mounted folder.
+    """
+
+    path: str
+    schema: StructType
+
+    @classmethod
+    def of(cls, spark: SparkSession, path: str) -> SnapshotTable:
+        """A table that is there, with the columns that its files have."""
+        folders = Manifest(path).folders(spark)
+        return cls(path, spark.read.parquet(folders[0]).schema if folders else StructType())
+
+    @property
+    def manifest(self) -> Manifest:
+        return Manifest(self.path)
+
+    def write(self, df: DataFrame, batch: Batch | None = None) -> None:
+        spark, folder = df.sparkSession, self.manifest.new_folder()
+        key = f"{batch.query}/{batch.id}" if batch else f"/{uuid.uuid4().hex}"
+        as_result(df, self.schema).write.parquet(f"{self.path}/{folder}")
+        if self._folders(spark, [folder]).isEmpty():
+            delete(spark, f"{self.path}/{folder}")
+            folder = None
+        if folder or key in {e.key for e in self.manifest.entries(spark)}:
+            self.manifest.add(spark, folder, key)
+
+    def _folders(self, spark: SparkSession, folders: list[str]) -> DataFrame:
+        if not folders:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def read(self, spark: SparkSession, upto: Batch | None = None) -> DataFrame:
+        """All rows, or those that one query has written up to a micro-batch."""
+        found = self.manifest.entries(spark)
+        if upto is not None:
+            own = [(e, *e.key.rsplit("/", 1)) for e in found]
+            found = [e for e, query, n in own if query == upto.query and int(n) <= upto.id]
+        return self._folders(spark, [e.folder for e in found])
+
+    def compact(self, spark: SparkSession) -> None:
+        """One folder for each query in place of those of its micro-batches, and one for all plain
+        writes. The last micro-batch of a query may still be replayed and stays as it is."""
+        groups: dict[str, list[Entry]] = {}
+        for entry in self.manifest.entries(spark):
+            groups.setdefault(entry.key.rsplit("/", 1)[0], []).append(entry)
+        for query, own in groups.items():
+            if query:
+                own = sorted(own, key=lambda e: int(e.key.rsplit("/", 1)[1]))[:-1]
+            if len(own) < 2:
+                continue
+            folder = self.manifest.new_folder()
+            rows = self._folders(spark, [e.folder for e in own])
+            rows.hint("rebalance").write.parquet(f"{self.path}/{folder}")
+            try:
+                self.manifest.replace(spark, own, folder, own[-1].key)
+            except Exception:
+                delete(spark, f"{self.path}/{folder}")
+                raise
+
+
 @dataclass(frozen=True)
 class Console:
     """Print every row, on the task that has it: nothing passes through the driver."""
