@@ -79,6 +79,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--watermark-delay", default=d.watermark_delay)
     p.add_argument("--window-start-time", default=d.window_start_time)
     p.add_argument("--lookup-salts", type=int, default=d.lookup_salts)
+    p.add_argument("--bitmap-bytes", type=int, default=d.bitmap_bytes)
     p.add_argument("--count-offset", type=int, default=d.count_offset)
     p.add_argument("--honor-offset", action="store_true")
     p.add_argument("--forum-pages-only", action="store_true")
@@ -160,6 +161,7 @@ def config(args) -> JobConfig:
         client_window=args.client_window,
         top_n=args.top_n,
         lookup_salts=args.lookup_salts,
+        bitmap_bytes=args.bitmap_bytes,
         watermark_delay=args.watermark_delay,
         count_offset=args.count_offset,
         honor_offset=args.honor_offset,

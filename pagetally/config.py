@@ -17,6 +17,7 @@ class JobConfig:
     forum_pages_only   client report: count only section and article pages
     window_start_time  shift of the window grid, e.g. "16 hours" for UTC+8 local days
     lookup_salts       tasks that share a hot page where the dimension is too large to broadcast
+    bitmap_bytes       most bytes of a bitmap of page ids that is broadcast in front of such a lookup
     watermark_delay    how late a row may be before its closed window ignores it (streams)
     """
 
@@ -24,6 +25,7 @@ class JobConfig:
     client_window: str = "1 day"
     top_n: int = 1
     lookup_salts: int = 8
+    bitmap_bytes: int = 64 << 20
     watermark_delay: str = "0 seconds"
     count_offset: int = 0
     honor_offset: bool = False

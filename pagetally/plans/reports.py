@@ -36,7 +36,7 @@ def page_visits(
     visits: DataFrame, dim: DataFrame, kind: PageKind, cfg: JobConfig = JobConfig()
 ) -> DataFrame:
     """Every visit of a known page: id, name, event_time. `dim` is prepared by its kind."""
-    found = D.lookup(visits, dim, kind.visit_key, kind.dim_key, cfg.lookup_salts)
+    found = D.lookup(visits, dim, kind.visit_key, kind.dim_key, cfg.lookup_salts, cfg.bitmap_bytes)
     return found.select(kind.visit_key, kind.name, "event_time")
 
 
@@ -52,7 +52,7 @@ def page_counts(
     width, start = cfg.hot_window, cfg.window_start_time
     if visits.isStreaming:
         ids = dim.select(kind.dim_key)
-        known = D.lookup(visits, ids, kind.visit_key, kind.dim_key, cfg.lookup_salts)
+        known = D.lookup(visits, ids, kind.visit_key, kind.dim_key, cfg.lookup_salts, cfg.bitmap_bytes)
         known = known.select(kind.visit_key, "event_time")
         known = known.withWatermark("event_time", cfg.watermark_delay)
         return windows.tumbling_count(known, [kind.visit_key], width, start)

@@ -168,6 +168,20 @@ def article_visits(spark, sf_dir):
     return _timed(reports.page_visits(found, D.articles(_articles(spark, sf_dir)), ARTICLE))
 
 
+@query
+def article_visits_bitmap(spark, sf_dir):
+    """The lookup in a dimension that is not broadcast: a bitmap of its ids, then the salted join."""
+    found = parsing.visit_facts(_forum(spark, sf_dir))
+    dim = D.articles(_articles(spark, sf_dir))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        visited = reports.page_visits(found, dim, ARTICLE)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    return _timed(visited)
+
+
 # Window counts
 
 

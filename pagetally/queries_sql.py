@@ -228,6 +228,8 @@ ORACLE: dict[str, str] = {
     f"from ({_page_visits(_VISITS, 'section')})",
     "article_visits": f"select article_id, subject, {_TIMED} "
     f"from ({_page_visits(_VISITS, 'article')})",
+    "article_visits_bitmap": f"select article_id, subject, {_TIMED} "
+    f"from ({_page_visits(_VISITS, 'article')})",
     "section_pv_3d": _report(_page_counts(_VISITS, "section"), "section"),
     "article_pv_3d": _report(_page_counts(_VISITS, "article"), "article"),
     "client_access_1d": _clients(_VISITS),

@@ -112,8 +112,8 @@ def test_lookup_with_and_without_broadcast(spark, folder, visit_rows, dim_rows,
     for (article, name, _), n in expected_counts(visit_rows, dim_rows).items():
         want[article, name] += n
     assert got == want
-    assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
-    assert ("_salt" in plan) == (threshold == "-1")
+    assert ("_salt" in plan) == ("SortMergeJoin" in plan) == (threshold == "-1")
+    assert ("_bits" in plan) == (threshold == "-1")  # the bitmap of ids, in front of the join
 
 
 def test_large_lookup_spreads_hot_pages_evenly(spark, folder):
@@ -142,6 +142,99 @@ def test_large_lookup_spreads_hot_pages_evenly(spark, folder):
     assert max(sizes) <= 2 * sum(sizes) / len(sizes)
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_reads_the_lines_twice_at_most(spark, folder, no_broadcast):
+    """Once for the sketch of hot pages and once for the join; the plan itself reads nothing."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [("c", datetime(2024, 1, 1) + timedelta(seconds=i), 0, i % 5) for i in range(1000)]
+    visits = spark.createDataFrame(rows, VISIT).mapInArrow(counted, VISIT)
+    spark.createDataFrame([(i, f"s{i}") for i in range(1, 4)], ARTICLE_DIM).write.parquet(f"{folder}/d")
+    dim = spark.read.parquet(f"{folder}/d")
+    found = D.lookup(visits, dim, "article_id", "tid")
+    assert read.value == 1000
+    assert found.count() == 600
+    assert read.value == 2000
+
+
+def test_bitmap_leaves_out_unknown_ids_where_they_are(spark, folder, no_broadcast):
+    """Only visits of known pages reach an exchange, and none where ids are all that is asked."""
+    ids = [1, 7, 8, 32_767, 32_768, 32_769, 65_536, 1 << 31, (1 << 40) + 3, (1 << 62) + 1]
+    rows = [("c", datetime(2024, 1, 1), 0, i + d) for i in ids for d in (-1, 0, 1)] + [("c", datetime(2024, 1, 1), 0, i) for i in (-5, 0)]
+    visits = spark.createDataFrame(rows, VISIT)
+    dim = spark.createDataFrame([(i,) for i in ids] + [(0,), (-5,)], "tid long")
+    found = D.with_known_id(visits, dim, "article_id", "tid", 1 << 20)
+    want = sorted(r[3] for r in rows if r[3] in ids)
+    assert sorted(r.article_id for r in found.collect()) == want
+    assert D.with_known_id(visits, dim, "article_id", "tid", 4096) is None  # the bitmap is larger
+    dim.where("tid > 0").selectExpr("tid", "'s' subject").write.parquet(f"{folder}/d")
+    named = spark.read.parquet(f"{folder}/d")
+    alone = D.lookup(visits, named.select("tid"), "article_id", "tid")
+    assert sorted(r.article_id for r in alone.collect()) == want
+    visits.write.parquet(f"{folder}/v")
+    alone = plan_of(D.lookup(spark.read.parquet(f"{folder}/v"), named.select("tid"), "article_id", "tid"))
+    assert "SortMergeJoin" not in alone and "Exchange hashpartitioning(article_id" not in alone
+    joined = D.lookup(visits, named, "article_id", "tid")
+    assert sorted(r.article_id for r in joined.collect()) == want
+    # In the plan the test of the bit is below the exchange of the visits.
+    lines = plan_of(joined).splitlines()
+    moved = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(article_id" in x and "_salt" in x)
+    assert any("getbit" in x or "_bits" in x for x in lines[moved:])
+
+
+def test_lookup_of_a_stream_by_bitmap(spark, folder, no_broadcast):
+    spark.createDataFrame([("c", datetime(2024, 1, 1), 0, i) for i in range(10)], VISIT).write.parquet(f"{folder}/v")
+    stream = spark.readStream.schema(VISIT).parquet(f"{folder}/v")
+    spark.createDataFrame([(3,), (4,)], "tid int").write.parquet(f"{folder}/d")
+    known = D.lookup(stream, spark.read.parquet(f"{folder}/d"), "article_id", "tid")
+    query = known.writeStream.format("parquet").option("checkpointLocation", f"{folder}/cp")
+    query.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    assert sorted(r.article_id for r in spark.read.parquet(f"{folder}/out").collect()) == [3, 4]
+
+
+def test_lookup_beyond_the_bitmap(spark, folder, no_broadcast, visit_rows, dim_rows):
+    """Ids too far apart for a bitmap: the same rows, by the join alone."""
+    spark.createDataFrame(visit_rows, VISIT).write.parquet(f"{folder}/v")
+    spark.createDataFrame(dim_rows, ARTICLE_DIM).write.parquet(f"{folder}/d")
+    visits, dim = spark.read.parquet(f"{folder}/v"), D.articles(spark.read.parquet(f"{folder}/d"))
+    some = D.lookup(visits, dim, "article_id", "tid", bitmap_bytes=0)
+    assert "_bits" not in plan_of(some)
+    assert sorted(some.collect()) == sorted(D.lookup(visits, dim, "article_id", "tid").collect())
+
+
+def test_salts_follow_the_partitions_of_the_exchange(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert D.exchange_partitions(spark) == 8
+    spark.conf.set(key, "4000")
+    try:
+        assert D.exchange_partitions(spark) == 4000
+    finally:
+        spark.conf.unset(key)
+
+
+def test_no_visits_have_no_hot_keys(spark):
+    assert D.hot_keys(spark.createDataFrame([], VISIT), "article_id", 0.01) == {}
+
+
 def test_hot_keys_are_those_above_the_share(spark, visit_rows):
     hot = D.hot_keys(spark.createDataFrame(visit_rows, VISIT), "article_id", 0.2)
     assert list(hot) == [1] and hot[1] > 0.3
