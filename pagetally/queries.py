@@ -255,16 +255,33 @@ def client_access_shop(spark, sf_dir):
     return reports.client_access(_shop(spark, sf_dir))
 
 
-@query
-def top_parts_3d(spark, sf_dir):
-    """Counting and ranking alone, on typed columns without any text."""
+def _part_counts(spark: SparkSession, sf_dir: str, cfg: JobConfig) -> DataFrame:
     items = _table(spark, sf_dir, "lineitem").select(
         (F.col("l_partkey") + 1).cast("bigint").alias("article_id"),
         F.col("l_shipdate").cast("timestamp").alias("event_time"),
     )
+    return reports.page_counts(items, D.articles(_articles(spark, sf_dir)), ARTICLE, cfg)
+
+
+@query
+def top_parts_3d(spark, sf_dir):
+    """Counting and ranking alone, on typed columns without any text."""
     cfg = JobConfig(top_n=3)
-    counts = reports.page_counts(items, D.articles(_articles(spark, sf_dir)), ARTICLE, cfg)
-    return reports.top_pages(counts, ARTICLE, cfg)
+    return reports.top_pages(_part_counts(spark, sf_dir, cfg), ARTICLE, cfg)
+
+
+@query
+def top_parts_3d_large(spark, sf_dir):
+    """So many rows of each window that they are selected by histograms."""
+    cfg = JobConfig(top_n=5_000)
+    return reports.top_pages(_part_counts(spark, sf_dir, cfg), ARTICLE, cfg)
+
+
+@query
+def top_parts_year_large(spark, sf_dir):
+    """The same over windows of a year, which have more parts than that from a scale of 0.1 on."""
+    cfg = JobConfig(top_n=1_500, hot_window="360 days")
+    return reports.top_pages(_part_counts(spark, sf_dir, cfg), ARTICLE, cfg)
 
 
 @query

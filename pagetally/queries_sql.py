@@ -134,20 +134,22 @@ def _page_visits(visits: str, kind: str) -> str:
     )
 
 
-def _page_counts(visits: str, kind: str, shift: int = 0) -> str:
+def _page_counts(visits: str, kind: str, shift: int = 0, days: int = 3) -> str:
     key, name = ("section_id", "name") if kind == "section" else ("article_id", "subject")
     return (
-        f"select {key}, {name}, {_bucket(3, shift)} as w, count(*) as pv "
+        f"select {key}, {name}, {_bucket(days, shift)} as w, count(*) as pv "
         f"from ({_page_visits(visits, kind)}) group by all"
     )
 
 
-def _report(counts: str, kind: str, n: int | None = None, closed_by: str = "") -> str:
+def _report(
+    counts: str, kind: str, n: int | None = None, closed_by: str = "", days: int = 3
+) -> str:
     key, name = ("section_id", "name") if kind == "section" else ("article_id", "subject")
     rank = f"row_number() over (partition by w order by pv desc, {key})"
     top = f"qualify {rank} <= {n}" if n else ""
     return (
-        f"select {key}, {name}, pv as {kind}_pv, {_bounds(3)} from ({counts}) {closed_by} {top}"
+        f"select {key}, {name}, pv as {kind}_pv, {_bounds(days)} from ({counts}) {closed_by} {top}"
     )
 
 
@@ -242,6 +244,8 @@ ORACLE: dict[str, str] = {
     "hot_article_shop": _report(_page_counts(_SHOP_VISITS, "article"), "article", 3),
     "client_access_shop": _clients(_SHOP_VISITS),
     "top_parts_3d": _report(_page_counts(_ITEMS, "article"), "article", 3),
+    "top_parts_3d_large": _report(_page_counts(_ITEMS, "article"), "article", 5_000),
+    "top_parts_year_large": _report(_page_counts(_ITEMS, "article", days=360), "article", 1_500, days=360),
     "client_access_from_table": _clients(_VISITS),
     "append_hot_section": _twice(_HOT_SECTION),
     "append_hot_article": _twice(_HOT_ARTICLE),

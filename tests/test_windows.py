@@ -308,3 +308,31 @@ def test_partitioning_does_not_change_results(spark, visit_rows, dim_rows, parti
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
     assert set(got) == expected_top(expected_counts(visit_rows, dim_rows), 4)
+
+
+@pytest.mark.parametrize("kind", ["even", "ties", "one", "wide"])
+def test_large_selections_equal_a_ranking(spark, monkeypatch, kind):
+    """Windows of many sizes, counts with long ties, ids far apart; few rows are ranked."""
+    monkeypatch.setattr(windows, "_RANKED", 40)
+    monkeypatch.setattr(windows, "_SLOTS", 16)
+    rnd = random.Random(kind)
+    counted = {
+        "even": lambda: rnd.randrange(1, 10_000),
+        "ties": lambda: rnd.choice([1, 1, 1, 1, 2, 7]),
+        "one": lambda: 5,
+        "wide": lambda: int(10 ** rnd.uniform(0, 17)),
+    }[kind]
+    far = 1 if kind != "wide" else (1 << 62) // 4000
+    rows = []
+    for w, size in enumerate((1, 30, 500, 501, 4000)):
+        start = datetime(2024, 3, 30) + timedelta(days=w)
+        ids = rnd.sample(range(1, 4001), size)
+        rows += [(i * far, "name", (start, start + timedelta(days=1)), counted()) for i in ids]
+    counts = spark.createDataFrame(rows, "id long, name string, window struct<start:timestamp,end:timestamp>, pv long")
+    for n in (1, 499, 500, 2500):
+        want = []
+        for w in {r[2] for r in rows}:
+            want += sorted((r for r in rows if r[2] == w), key=lambda r: (-r[3], r[0]))[:n]
+        got = [(r.id, r.name, (r.window.start, r.window.end), r.pv) for r in windows.select_top(counts, n, "id").collect()]
+        assert sorted(got) == sorted(want)
+    assert windows.select_top(counts.limit(0), 5, "id").count() == 0
