@@ -16,13 +16,14 @@ _RANKED = 10_000
 def tumbling_count(
     df: DataFrame, keys: list[str], width: str, start_time: str | None = None
 ) -> DataFrame:
-    """Rows per key and event-time window, as `pv`.
+    """Rows per key and event-time window, as `pv`; a row counts `n` times where it has that column.
 
     Counts combine before the shuffle, so a key that holds a third of all rows still sends
     one row per task. In a stream the state is one counter per key and open window.
     """
     window = F.window("event_time", width, startTime=start_time)
-    return df.groupBy(*keys, window.alias("window")).agg(F.count("*").alias("pv"))
+    counted = F.sum("n") if "n" in df.columns else F.count("*")
+    return df.groupBy(*keys, window.alias("window")).agg(counted.alias("pv"))
 
 
 def top_n(counts: DataFrame, n: int, tie: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
+from ..functions.columns import once
 from ..operators import dimensions as D
 from ..operators import parsing, windows
 
@@ -41,19 +42,22 @@ def page_visits(
 
 
 def page_counts(
-    visits: DataFrame, dim: DataFrame, kind: PageKind, cfg: JobConfig
+    visits: DataFrame, dim: DataFrame, kind: PageKind, cfg: JobConfig, taken=None
 ) -> DataFrame:
     """Visits of known pages per page and window: id, window, pv, and in a batch the name.
 
     A batch counts first and names the few counted rows, so that no visit is shuffled for
     the join. A stream looks ids up first: only visits of known pages may move its watermark.
-    Its counts have no name; the closed ones are named where they are written.
+    Its counts have no name; the closed ones are named where they are written. A stream can go on
+    from what an earlier one has `taken` (streaming.rebase).
     """
     width, start = cfg.hot_window, cfg.window_start_time
     if visits.isStreaming:
         ids = dim.select(kind.dim_key)
         known = D.lookup(visits, ids, kind.visit_key, kind.dim_key, cfg.lookup_salts, cfg.bitmap_bytes)
         known = known.select(kind.visit_key, "event_time")
+        if taken is not None:
+            known = taken.going_on(known, width, start)
         known = known.withWatermark("event_time", cfg.watermark_delay)
         return windows.tumbling_count(known, [kind.visit_key], width, start)
     counts = windows.tumbling_count(visits, [kind.visit_key], width, start)
@@ -83,14 +87,20 @@ def hot_article(lines: DataFrame, dim: DataFrame, cfg: JobConfig = JobConfig())
     return _hot_pages(lines, dim, ARTICLE, cfg)
 
 
-def client_counts(visits: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Accesses per client and window, batch or stream; all pages unless told otherwise."""
-    visits = visits.withWatermark("event_time", cfg.watermark_delay)
+def client_counts(visits: DataFrame, cfg: JobConfig, taken=None) -> DataFrame:
+    """Accesses per client and window, batch or stream; all pages unless told otherwise. The
+    watermark of a stream follows all visits, those of other pages too."""
+    width, start = cfg.client_window, cfg.window_start_time
+    page = (F.col("section_id") > 0) | (F.col("article_id") > 0)
+    counted = page if cfg.forum_pages_only else F.lit(True)
+    rows = visits.select("client_ip", "event_time", counted.alias("_page"))
+    if taken is not None:
+        rows = taken.going_on(rows, width, start, _page=F.lit(True))
+    rows = rows.withWatermark("event_time", cfg.watermark_delay)
     if cfg.forum_pages_only:
-        visits = visits.where((F.col("section_id") > 0) | (F.col("article_id") > 0))
-    return client_report(
-        windows.tumbling_count(visits, ["client_ip"], cfg.client_window, cfg.window_start_time), cfg
-    )
+        # A filter on the plain column would be pushed below the watermark.
+        rows = once(rows, "_counted", F.col("_page")).where("_counted")
+    return client_report(windows.tumbling_count(rows, ["client_ip"], width, start), cfg)
 
 
 def client_report(counts: DataFrame, cfg: JobConfig) -> DataFrame:
@@ -99,5 +109,5 @@ def client_report(counts: DataFrame, cfg: JobConfig) -> DataFrame:
     return windows.with_bounds(counts.select(F.col("client_ip").alias("client"), count, "window"))
 
 
-def client_access(lines: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
-    return client_counts(parsing.visit_facts(lines, cfg.honor_offset), cfg)
+def client_access(lines: DataFrame, cfg: JobConfig = JobConfig(), taken=None) -> DataFrame:
+    return client_counts(parsing.visit_facts(lines, cfg.honor_offset), cfg, taken)

@@ -18,7 +18,7 @@ from .plans.reports import ARTICLE, SECTION
 from .session import run_dir
 from .sinks import FileTable, SnapshotTable
 from .sources import derived, lines, tailing
-from .streaming import open_windows, runner
+from .streaming import open_windows, rebase, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -451,20 +451,48 @@ def stream_hot_article_renamed(spark, sf_dir):
     """A stream that is stopped halfway and goes on after all subjects were edited."""
     work = run_dir(spark, "stream_renamed")
     table = FileTable(f"{work}/out", schemas.HOT_ARTICLE)
-    events, dim = _table(spark, sf_dir, "events"), _articles(spark, sf_dir)
-    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
-    middle = ends.select((F.col("low") + (F.col("high") - F.col("low")) / 2).alias("at")).first().at
+    dim = _articles(spark, sf_dir)
     edited = F.when(F.col("subject") != "", F.concat("subject", F.lit(" (new)"))).otherwise("")
-    runs = [(F.col("ts") < middle, dim), (F.col("ts") >= middle, dim.withColumn("subject", edited))]
-    for part, names in runs:
-        events.where(part).write.mode("append").parquet(f"{work}/events")
-        source = spark.readStream.schema(events.schema).parquet(f"{work}/events")
+    names = (dim, dim.withColumn("subject", edited))
+    for source, known in zip(_halves(spark, sf_dir, f"{work}/events"), names, strict=True):
         runner.start_hot_article(
-            derived.forum_lines(source), names, table, f"{work}/checkpoint", JobConfig(top_n=3)
+            derived.forum_lines(source), known, table, f"{work}/checkpoint", JobConfig(top_n=3)
         ).awaitTermination()
     return table.read(spark)
 
 
+def _halves(spark: SparkSession, sf_dir: str, folder: str):
+    """Twice: the events of one half of the time, added to a folder of files."""
+    events = _table(spark, sf_dir, "events")
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    middle = ends.select((F.col("low") + (F.col("high") - F.col("low")) / 2).alias("at")).first().at
+    for part in (F.col("ts") < middle, F.col("ts") >= middle):
+        events.where(part).write.mode("append").parquet(folder)
+        yield spark.readStream.schema(events.schema).parquet(folder)
+
+
+@query
+def stream_client_access_rebased(spark, sf_dir):
+    """A query of 8 state partitions ends halfway, and one of 32 goes on from its open windows;
+    what both have reported, and what is open in the end."""
+    work = run_dir(spark, "stream_rebased")
+    table = FileTable(f"{work}/out", schemas.CLIENT_IP_ACCESS)
+    key, before = "spark.sql.shuffle.partitions", None
+    kept = spark.conf.get(key)
+    try:
+        for partitions, source in zip((8, 32), _halves(spark, sf_dir, f"{work}/lines"), strict=True):
+            spark.conf.set(key, str(partitions))
+            checkpoint = f"{work}/checkpoint-{partitions}"
+            if before:
+                source = lines.without_files(source, rebase.processed_files(spark, before))
+            raw = derived.forum_lines(source)
+            runner.start_client_access(raw, table, checkpoint, earlier=before).awaitTermination()
+            before = checkpoint
+    finally:
+        spark.conf.set(key, kept)
+    return table.read(spark).unionByName(open_windows.open_client_access(spark, before))
+
+
 @query
 def land_raw_logs(spark, sf_dir):
     work = run_dir(spark, "land_raw_logs")

@@ -269,6 +269,7 @@ ORACLE: dict[str, str] = {
         _page_counts(_VISITS, "article"), "article", 3, _closed(_page_visits(_VISITS, "article"), 3)
     ),
     "stream_hot_article_renamed": _RENAMED,
+    "stream_client_access_rebased": _clients(_VISITS),
     "land_raw_logs": _FORUM,
     "land_tailed_logs": _FORUM,
     "client_access_from_text": _clients(_VISITS),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import RAW_LINE
 
@@ -41,6 +42,15 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spread(spark.read.schema(RAW_LINE).text(path))
 
 
+def without_files(stream: DataFrame, processed: DataFrame) -> DataFrame:
+    """The rows of a folder's stream but those of files that an earlier query has processed
+    (`path`), when a new query goes on in its place."""
+    # Spark writes the same file with one slash after the scheme, or with three.
+    same = lambda path: F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/").alias("_path")
+    named = stream.select("*", same(F.col("_metadata.file_path")))
+    return named.join(processed.select(same(F.col("path"))), "_path", "left_anti").drop("_path")
+
+
 def text_line_stream(
     spark: SparkSession, folder: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -18,8 +18,7 @@ from ..operators import dimensions as D
 from ..plans import reports
 from ..plans.reports import PageKind
 from ..session import children
-from ..sinks import Batch, FileTable
-from .runner import query_id
+from ..sinks import Batch, FileTable, query_id
 
 _WINDOW = T.StructType([T.StructField(c, T.TimestampType()) for c in ("start", "end")])
 

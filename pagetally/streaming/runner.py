@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import json
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StringType
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..config import JobConfig
@@ -14,9 +14,10 @@ from ..operators import dimensions as D
 from ..operators.parsing import rejected_lines, visit_facts
 from ..plans import reports
 from ..plans.reports import ARTICLE, SECTION, PageKind
-from ..sinks import Batch
+from ..sinks import Batch, query_id
 from ..sources.dimensions import snapshot
 from ..sources.lines import CONSUMER_ONLY
+from .rebase import take_over
 
 log = logging.getLogger(__name__)
 
@@ -44,11 +45,6 @@ class LateRows(StreamingQueryListener):
         pass
 
 
-def query_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id of the query that owns a checkpoint; it stays the same over restarts."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
-
-
 def _start(
     df: DataFrame,
     sink_write: Callable[[DataFrame, Batch], None],
@@ -76,6 +72,7 @@ def _start_hot_pages(
     checkpoint: str,
     cfg: JobConfig,
     trigger: dict,
+    earlier: str | None,
 ) -> StreamingQuery:
     """Count by id and window in the stream, and rank and name the closed windows of each
     micro-batch.
@@ -85,7 +82,8 @@ def _start_hot_pages(
     are no part of the state: a page that is renamed between two starts keeps one counter.
     """
     fixed = snapshot(kind.prepare(dim), kind.visit_key, owner=checkpoint)
-    counts = reports.page_counts(visit_facts(lines, cfg.honor_offset), fixed, kind, cfg)
+    taken = take_over(lines.sparkSession, earlier, checkpoint, kind.visit_key, LongType())
+    counts = reports.page_counts(visit_facts(lines, cfg.honor_offset), fixed, kind, cfg, taken)
 
     def write(counted: DataFrame, batch: Batch) -> None:
         named = D.name_counts(counted, fixed, kind.visit_key, kind.dim_key, how="left")
@@ -101,8 +99,9 @@ def start_hot_section(
     checkpoint: str,
     cfg: JobConfig = JobConfig(),
     trigger: dict = AVAILABLE_NOW,
+    earlier: str | None = None,
 ) -> StreamingQuery:
-    return _start_hot_pages(lines, dim, SECTION, sink, checkpoint, cfg, trigger)
+    return _start_hot_pages(lines, dim, SECTION, sink, checkpoint, cfg, trigger, earlier)
 
 
 def start_hot_article(
@@ -112,8 +111,9 @@ def start_hot_article(
     checkpoint: str,
     cfg: JobConfig = JobConfig(),
     trigger: dict = AVAILABLE_NOW,
+    earlier: str | None = None,
 ) -> StreamingQuery:
-    return _start_hot_pages(lines, dim, ARTICLE, sink, checkpoint, cfg, trigger)
+    return _start_hot_pages(lines, dim, ARTICLE, sink, checkpoint, cfg, trigger, earlier)
 
 
 def start_client_access(
@@ -122,10 +122,12 @@ def start_client_access(
     checkpoint: str,
     cfg: JobConfig = JobConfig(),
     trigger: dict = AVAILABLE_NOW,
+    earlier: str | None = None,
 ) -> StreamingQuery:
-    return _start(
-        reports.client_access(lines, cfg), sink.write, checkpoint, "client_access", trigger
-    )
+    """With `earlier`, the checkpoint of a query that has ended, the report goes on from there."""
+    taken = take_over(lines.sparkSession, earlier, checkpoint, "client_ip", StringType())
+    counts = reports.client_access(lines, cfg, taken)
+    return _start(counts, sink.write, checkpoint, "client_access", trigger)
 
 
 def start_rejected_lines(

@@ -253,3 +253,12 @@ def test_late_rows_are_logged(spark, folder, logs, caplog):
     finally:
         spark.streams.removeListener(listener)
     assert "1 late rows" in caplog.text
+
+
+def test_watermark_of_pages_only_follows_all_visits(spark, folder, logs):
+    """A visit of another page closes windows, though it is not counted."""
+    logs.add([visit(at(1)), visit(at(3), page="mod=other")])
+    table = FileTable(f"{folder}/out", schemas.CLIENT_IP_ACCESS)
+    stream = lines.text_line_stream(spark, str(logs.path))
+    runner.start_client_access(stream, table, f"{folder}/cp", JobConfig(forum_pages_only=True)).awaitTermination()
+    assert [r[:2] for r in rows(table.read(spark))] == [("10.0.0.1", 1)]
