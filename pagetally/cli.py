@@ -20,7 +20,7 @@ from pagetally.plans.reports import ARTICLE, SECTION
 from pagetally.session import build_session
 from pagetally.sinks import Console, FileTable, JdbcTable, SnapshotTable
 from pagetally.sources import dimensions, lines, tailing
-from pagetally.streaming import open_windows, runner
+from pagetally.streaming import open_windows, rebase, runner
 
 RESULTS = {
     "hot_section": ("hot_section", schemas.HOT_SECTION),
@@ -68,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out-table", help="name of the result table")
 
     p.add_argument("--checkpoint", help="checkpoint folder of a stream")
+    p.add_argument("--earlier", help="checkpoint of a query that has ended, to go on from")
     p.add_argument("--available-now", action="store_true", help="stop when all is read")
     p.add_argument("--state-partitions", type=int, help="of a stream, fixed by its first start")
     p.add_argument("--interval", default="1 minute", help="time between micro-batches")
@@ -113,16 +114,20 @@ def source(spark: SparkSession, args, values: dict[str, str]) -> DataFrame:
         return lines.text_lines(spark, args.text)
     if args.landed:
         return lines.landed_lines(spark, args.landed)
-    if args.text_stream:
-        return lines.text_line_stream(spark, args.text_stream, args.max_files)
-    if args.landed_stream:
-        return lines.landed_line_stream(spark, args.landed_stream, args.max_files)
+    if args.text_stream or args.landed_stream:
+        read = lines.text_line_stream if args.text_stream else lines.landed_line_stream
+        found = read(spark, args.text_stream or args.landed_stream, args.max_files)
+        if args.earlier:
+            found = lines.without_files(found, rebase.processed_files(spark, args.earlier))
+        return found
+    ended = rebase.source_position(spark, args.earlier) if args.earlier else None
     if args.tail:
-        return tailing.tailed_lines(spark, args.tail, args.tail_pattern)
+        return tailing.tailed_lines(spark, args.tail, args.tail_pattern, starting_offsets=ended)
     servers = values["kafka.bootstrap.servers"]
     options = lines.kafka_options(
         servers,
         args.topic,
+        ended=ended,
         max_offsets_per_trigger=args.max_offsets,
         min_partitions=args.min_partitions,
         consumer=_kafka(values),
@@ -247,7 +252,7 @@ def run(spark: SparkSession, args) -> None:
     if args.job == "client_access":
         if rows.isStreaming:
             runner.start_client_access(
-                rows, target, args.checkpoint, cfg, trigger
+                rows, target, args.checkpoint, cfg, trigger, args.earlier
             ).awaitTermination()
         else:
             target.write(reports.client_access(rows, cfg))
@@ -266,7 +271,7 @@ def run(spark: SparkSession, args) -> None:
         "hot_article": (runner.start_hot_article, reports.hot_article),
     }[args.job]
     if rows.isStreaming:
-        start(rows, dim, target, args.checkpoint, cfg, trigger).awaitTermination()
+        start(rows, dim, target, args.checkpoint, cfg, trigger, args.earlier).awaitTermination()
     else:
         target.write(report(rows, dim, cfg))
 

@@ -82,17 +82,18 @@ def kafka_options(
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
     consumer: dict[str, str] | None = None,
+    ended: str | None = None,
 ) -> dict[str, str]:
     """Reader options. Offsets live in the checkpoint; `starting_offsets` counts only for
     the first start, and an offset reset among the consumer settings is one. `min_partitions`
     lets more tasks than topic partitions read and parse. Deserializers, groups and commits are
-    Spark's own and are left out.
+    Spark's own and are left out. `ended` are the offsets at which an earlier query has ended.
     """
     consumer = consumer or {}
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": consumer.get("auto.offset.reset", starting_offsets),
+        "startingOffsets": ended or consumer.get("auto.offset.reset", starting_offsets),
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)

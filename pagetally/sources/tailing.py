@@ -14,6 +14,7 @@ of a log server is. Rotated files have to stay for one micro-batch before they a
 from __future__ import annotations
 
 import fnmatch
+import json
 import os
 import sys
 import zlib
@@ -97,6 +98,7 @@ class TailReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         self.folder = local_path(options["path"])
         self.pattern = options.get("pattern", "*")
+        self.first: dict[str, dict] = json.loads(options.get("startingoffsets", "{}"))
         self.range = int(options.get("bytespertask", 64 << 20))
         self.done: dict[str, dict] = {}  # by file: path, at
         self.sizes: dict[str, int] = {}  # by file: bytes that were searched for newlines
@@ -121,7 +123,7 @@ class TailReader(DataSourceStreamReader):
         raise FileNotFoundError(f"{name} has lines that were not read, but it is gone")
 
     def initialOffset(self) -> dict:
-        return {}
+        return self.first
 
     def latestOffset(self) -> dict:
         seen = set()
@@ -140,7 +142,7 @@ class TailReader(DataSourceStreamReader):
                 before = self.sizes.get(key, 0)
                 at = whole_lines(file, before, size) if size > before else None
                 self.sizes[key] = size
-                known = self.done.get(key, {"at": 0})["at"]
+                known = self.done.get(key, self.first.get(key, {"at": 0}))["at"]
                 self.done[key] = {"path": path, "at": known if at is None else at}
         for key in list(self.done):
             self.missing[key] = 0 if key in seen else self.missing.get(key, 0) + 1
@@ -169,7 +171,7 @@ class TailReader(DataSourceStreamReader):
 
 
 class TailedLines(DataSource):
-    """Options: path (the folder), pattern (of file names), bytesPerTask."""
+    """Options: path (the folder), pattern (of file names), bytesPerTask, startingOffsets (JSON)."""
 
     @classmethod
     def name(cls) -> str:
@@ -183,12 +185,18 @@ class TailedLines(DataSource):
 
 
 def tailed_lines(
-    spark: SparkSession, folder: str, pattern: str = "*", bytes_per_task: int = 64 << 20
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*",
+    bytes_per_task: int = 64 << 20,
+    starting_offsets: str | None = None,
 ) -> DataFrame:
     """Every finished line of the files in a folder once, also over restarts; what follows the
     last newline of a file waits. Names that begin with `.` or `_` and compressed files are left
     out. Bytes that are no UTF-8 become replacement characters; a carriage return before a line
-    end goes."""
+    end goes. `starting_offsets` are those at which an earlier query has ended; they count for the
+    first start only."""
     spark.dataSource.register(TailedLines)
     reader = spark.readStream.format("tailed_lines").option("pattern", pattern)
+    reader = reader.option("startingOffsets", starting_offsets or "{}")
     return reader.option("bytesPerTask", bytes_per_task).load(local_path(folder))

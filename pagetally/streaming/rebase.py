@@ -53,6 +53,13 @@ def processed_files(spark: SparkSession, checkpoint: str, source: int = 0) -> Da
     return parsed.where(F.col("batchId") <= upto).select("path").distinct()
 
 
+def source_position(spark: SparkSession, checkpoint: str, source: int = 0) -> str | None:
+    """Where a query over a topic or over tailed files has ended, as starting offsets of another;
+    None for one that has read nothing."""
+    batch = last_batch(spark, checkpoint)
+    return json.dumps(_offsets(spark, checkpoint, batch)[1 + source]) if batch else None
+
+
 def take_over(
     spark: SparkSession, earlier: str | None, checkpoint: str, key: str, kind: T.DataType
 ) -> Taken | None:

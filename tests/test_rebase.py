@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_streaming import LogFolder, at, rows, visit
 
-from pagetally import schemas
+from pagetally import cli, schemas
 from pagetally.config import JobConfig
 from pagetally.plans import reports
 from pagetally.session import children
@@ -85,3 +85,26 @@ def test_pages_only_and_a_query_that_never_ran(spark, folder, logs):
     logs.add([visit(at(3), page="mod=other")])
     runner.start_client_access(stream(spark, logs, f"{folder}/cp1"), table, f"{folder}/cp2", cfg).awaitTermination()
     assert [r[:2] for r in rows(table.read(spark))] == [("10.0.0.1", 1)]
+
+
+def test_jobs_go_on_over_files_and_tailed_logs(spark, folder, logs):
+    run = lambda *a: cli.run(spark, cli.parser().parse_args([*a]))
+    for name, flag in (("files", "--text-stream"), ("tail", "--tail")):
+        out, cps = f"{folder}/{name}", [f"{folder}/{name}{i}" for i in (1, 2)]
+        args = ["client_access", flag, str(logs.path), "--available-now", "--out-files", out, "--checkpoint"]
+        logs.add([visit(at(1)), visit(at(2))])
+        run(*args, cps[0])
+        had = logs.count
+        logs.add([visit(at(2, 3)), visit(at(4))])
+        run(*args, cps[1], "--earlier", cps[0])
+        run(*args, cps[1], "--earlier", cps[0])
+        table = FileTable(out, schemas.CLIENT_IP_ACCESS)
+        whole = rows(reports.client_access(lines.text_lines(spark, str(logs.path))))
+        still = rows(open_windows.open_client_access(spark, cps[1]))
+        assert sorted(rows(table.read(spark)) + still) == whole, (name, had)
+
+
+def test_topics_go_on(spark, folder):
+    options = lines.kafka_options("b:1", ended='{"t": {"0": 5}}', consumer={"auto.offset.reset": "latest"})
+    assert options["startingOffsets"] == '{"t": {"0": 5}}'
+    assert rebase.source_position(spark, f"{folder}/none") is None
