@@ -19,6 +19,7 @@ from .session import run_dir
 from .sinks import FileTable, SnapshotTable
 from .sources import derived, lines, tailing
 from .streaming import open_windows, rebase, runner
+from .streaming import visits as visit_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -461,6 +462,40 @@ def stream_hot_article_renamed(spark, sf_dir):
     return table.read(spark)
 
 
+def _late(spark: SparkSession, sf_dir: str, work: str) -> None:
+    """Two runs: nine tenths of the events, and then the others, mostly late."""
+    events = _table(spark, sf_dir, "events")
+    table = FileTable(f"{work}/out", schemas.CLIENT_IP_ACCESS)
+    for part in (F.col("event_id") % 10 != 0, F.col("event_id") % 10 == 0):
+        events.where(part).write.mode("append").parquet(f"{work}/events")
+        source = derived.forum_lines(spark.readStream.schema(events.schema).parquet(f"{work}/events"))
+        visit_streams.start_visits(source, work, f"{work}/cp-visits").awaitTermination()
+        found = visit_streams.visit_stream(spark, work)
+        visit_streams.start_client_access(found, table, f"{work}/cp-report").awaitTermination()
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Visits that came when their window was closed."""
+    work = run_dir(spark, "stream_late_rows")
+    _late(spark, sf_dir, work)
+    return _timed(visit_streams.late_visits(spark, work).drop("batch_id"))
+
+
+@query
+def stream_client_access_corrected(spark, sf_dir):
+    """Closed, open and late counts of the client report: all visits."""
+    work = run_dir(spark, "stream_corrected")
+    _late(spark, sf_dir, work)
+    closed = FileTable(f"{work}/out", schemas.CLIENT_IP_ACCESS).read(spark)
+    still = open_windows.open_client_access(spark, f"{work}/cp-report")
+    late = visit_streams.corrections(spark, work)
+    every = closed.unionByName(still).unionByName(late)
+    return every.groupBy("client", "time_beg", "time_end").agg(
+        F.sum("client_access_cnt").alias("client_access_cnt")
+    )
+
+
 def _halves(spark: SparkSession, sf_dir: str, folder: str):
     """Twice: the events of one half of the time, added to a folder of files."""
     events = _table(spark, sf_dir, "events")

@@ -200,6 +200,12 @@ from (select r.*, strptime(time_end, {_TEXT}) <= (select max(event_time) from {_
           _page_counts(_VISITS, "article"), "article", 3, _closed(_page_visits(_VISITS, "article"), 3)
       )}) as r)"""
 
+# Every tenth event comes when all others have been read.
+_FIRST, _THEN = (_visits(f"{_FORUM} where event_id % 10 {sign} 0") for sign in ("<>", "="))
+_LATE = f"""
+select * replace ({_TIMED[: -len(' as event_time')]} as event_time) from ({_THEN})
+where {_bucket(1)} + interval 1 day <= (select max(event_time) from ({_FIRST}))"""
+
 ORACLE: dict[str, str] = {
     "parse_lines": _records(_MIXED),
     "rejected_lines": f"""
@@ -269,6 +275,8 @@ ORACLE: dict[str, str] = {
         _page_counts(_VISITS, "article"), "article", 3, _closed(_page_visits(_VISITS, "article"), 3)
     ),
     "stream_hot_article_renamed": _RENAMED,
+    "stream_late_rows": _LATE,
+    "stream_client_access_corrected": _clients(_VISITS),
     "stream_client_access_rebased": _clients(_VISITS),
     "land_raw_logs": _FORUM,
     "land_tailed_logs": _FORUM,

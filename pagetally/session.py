@@ -73,6 +73,15 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [str(f.getPath()) for f in files.listStatus(hadoop)] if files.exists(hadoop) else []
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Give a folder another name in the same file system, all of it at once."""
+    source, files = _path(spark, old)
+    target, _ = _path(spark, new)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file that write_new has written."""
     hadoop, files = _path(spark, path)

@@ -45,13 +45,14 @@ class LateRows(StreamingQueryListener):
         pass
 
 
-def _start(
+def start_writing(
     df: DataFrame,
     sink_write: Callable[[DataFrame, Batch], None],
     checkpoint: str,
     name: str,
     trigger: dict,
 ) -> StreamingQuery:
+    """Hand every micro-batch to a sink, with its number and the id of the query."""
     owner: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -89,7 +90,7 @@ def _start_hot_pages(
         named = D.name_counts(counted, fixed, kind.visit_key, kind.dim_key, how="left")
         sink.write(reports.top_pages(named, kind, cfg), batch)
 
-    return _start(counts, write, checkpoint, f"hot_{kind.visit_key}", trigger)
+    return start_writing(counts, write, checkpoint, f"hot_{kind.visit_key}", trigger)
 
 
 def start_hot_section(
@@ -127,7 +128,7 @@ def start_client_access(
     """With `earlier`, the checkpoint of a query that has ended, the report goes on from there."""
     taken = take_over(lines.sparkSession, earlier, checkpoint, "client_ip", StringType())
     counts = reports.client_access(lines, cfg, taken)
-    return _start(counts, sink.write, checkpoint, "client_access", trigger)
+    return start_writing(counts, sink.write, checkpoint, "client_access", trigger)
 
 
 def start_rejected_lines(
@@ -139,7 +140,7 @@ def start_rejected_lines(
 ) -> StreamingQuery:
     """The lines that yield no visit, with the reason, as a result table of their own."""
     rejected = rejected_lines(lines, cfg.honor_offset)
-    return _start(rejected, sink.write, checkpoint, "rejected_lines", trigger)
+    return start_writing(rejected, sink.write, checkpoint, "rejected_lines", trigger)
 
 
 def _landing(lines: DataFrame, checkpoint: str, trigger: dict) -> DataStreamWriter:
