@@ -42,19 +42,21 @@ def page_visits(
 
 
 def page_counts(
-    visits: DataFrame, dim: DataFrame, kind: PageKind, cfg: JobConfig, taken=None
+    visits: DataFrame, dim: DataFrame | None, kind: PageKind, cfg: JobConfig, taken=None
 ) -> DataFrame:
     """Visits of known pages per page and window: id, window, pv, and in a batch the name.
 
     A batch counts first and names the few counted rows, so that no visit is shuffled for
     the join. A stream looks ids up first: only visits of known pages may move its watermark.
     Its counts have no name; the closed ones are named where they are written. A stream can go on
-    from what an earlier one has `taken` (streaming.rebase).
+    from what an earlier one has `taken` (streaming.rebase). Without `dim` it counts all pages.
     """
     width, start = cfg.hot_window, cfg.window_start_time
     if visits.isStreaming:
-        ids = dim.select(kind.dim_key)
-        known = D.lookup(visits, ids, kind.visit_key, kind.dim_key, cfg.lookup_salts, cfg.bitmap_bytes)
+        known = visits.where(F.col(kind.visit_key) > 0)
+        if dim is not None:
+            ids = dim.select(kind.dim_key)
+            known = D.lookup(visits, ids, kind.visit_key, kind.dim_key, cfg.lookup_salts, cfg.bitmap_bytes)
         known = known.select(kind.visit_key, "event_time")
         if taken is not None:
             known = taken.going_on(known, width, start)

@@ -18,7 +18,7 @@ from .plans.reports import ARTICLE, SECTION
 from .session import run_dir
 from .sinks import FileTable, SnapshotTable
 from .sources import derived, lines, tailing
-from .streaming import open_windows, rebase, runner
+from .streaming import changes, open_windows, rebase, runner
 from .streaming import visits as visit_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -506,6 +506,30 @@ def _halves(spark: SparkSession, sf_dir: str, folder: str):
         yield spark.readStream.schema(events.schema).parquet(folder)
 
 
+@query
+def stream_hot_article_changed(spark, sf_dir):
+    """A report that runs on while every second subject is edited and one of ten articles goes."""
+    work = run_dir(spark, "stream_changed")
+    table = FileTable(f"{work}/out", schemas.HOT_ARTICLE)
+    pages = SnapshotTable(f"{work}/pages", changes.change_schema(ARTICLE))
+    first = D.articles(_articles(spark, sf_dir)).select("tid", "subject", F.lit(1).alias("version"))
+    edited = F.when(F.col("tid") % 10 == 3, "").otherwise(F.concat("subject", F.lit(" (new)")))
+    then = first.where("tid % 2 = 1").select("tid", edited.alias("subject"), F.lit(2).alias("version"))
+    report = None
+    for source, change in zip(_halves(spark, sf_dir, f"{work}/events"), (first, then), strict=True):
+        change.write.mode("append").parquet(f"{work}/changes")
+        stream = spark.readStream.schema(first.schema).parquet(f"{work}/changes")
+        changes.start_dimension(stream, ARTICLE, pages, f"{work}/cp-pages").awaitTermination()
+        if report is None:
+            report = changes.start_hot_pages(
+                derived.forum_lines(source), ARTICLE, pages, table, f"{work}/cp-report",
+                JobConfig(top_n=3), {"processingTime": "0 seconds"},
+            )
+        report.processAllAvailable()
+    report.stop()
+    return table.read(spark)
+
+
 @query
 def stream_client_access_rebased(spark, sf_dir):
     """A query of 8 state partitions ends halfway, and one of 32 goes on from its open windows;

@@ -206,6 +206,21 @@ _LATE = f"""
 select * replace ({_TIMED[: -len(' as event_time')]} as event_time) from ({_THEN})
 where {_bucket(1)} + interval 1 day <= (select max(event_time) from ({_FIRST}))"""
 
+# Windows that the first half has closed are reported with the subjects of that time; later ones
+# with the edited ones, and without the articles that have gone.
+_PAGE_TIMES = f"select event_time from ({_VISITS}) where article_id > 0"
+_CHANGED = f"""
+with counts as ({_page_counts(_VISITS, "article")}),
+marked as (
+  select article_id, subject, w, pv, w + interval 3 day <= (
+      select max(event_time) from ({_PAGE_TIMES}) where event_time < (select {MIDDLE} from events)) as early
+  from counts),
+named as (
+  select article_id, w, pv, case when early or article_id % 2 = 0 then subject
+                            else concat(subject, ' (new)') end as subject
+  from marked where early or article_id % 10 <> 3)
+{_report("select * from named", "article", 3, _closed(_PAGE_TIMES, 3))}"""
+
 ORACLE: dict[str, str] = {
     "parse_lines": _records(_MIXED),
     "rejected_lines": f"""
@@ -275,6 +290,7 @@ ORACLE: dict[str, str] = {
         _page_counts(_VISITS, "article"), "article", 3, _closed(_page_visits(_VISITS, "article"), 3)
     ),
     "stream_hot_article_renamed": _RENAMED,
+    "stream_hot_article_changed": _CHANGED,
     "stream_late_rows": _LATE,
     "stream_client_access_corrected": _clients(_VISITS),
     "stream_client_access_rebased": _clients(_VISITS),

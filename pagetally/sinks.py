@@ -151,9 +151,12 @@ class SnapshotTable:
             found = [e for e, query, n in own if query == upto.query and int(n) <= upto.id]
         return self._folders(spark, [e.folder for e in found])
 
-    def compact(self, spark: SparkSession) -> None:
+    def compact(
+        self, spark: SparkSession, merged: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    ) -> None:
         """One folder for each query in place of those of its micro-batches, and one for all plain
-        writes. The last micro-batch of a query may still be replayed and stays as it is."""
+        writes, with what `merged` makes of their rows. The last micro-batch of a query may still be
+        replayed and stays as it is."""
         groups: dict[str, list[Entry]] = {}
         for entry in self.manifest.entries(spark):
             groups.setdefault(entry.key.rsplit("/", 1)[0], []).append(entry)
@@ -164,7 +167,7 @@ class SnapshotTable:
                 continue
             folder = self.manifest.new_folder()
             rows = self._folders(spark, [e.folder for e in own])
-            rows.hint("rebalance").write.parquet(f"{self.path}/{folder}")
+            merged(rows).hint("rebalance").write.parquet(f"{self.path}/{folder}")
             try:
                 self.manifest.replace(spark, own, folder, own[-1].key)
             except Exception:

@@ -51,6 +51,7 @@ def start_writing(
     checkpoint: str,
     name: str,
     trigger: dict,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Hand every micro-batch to a sink, with its number and the id of the query."""
     owner: list[str] = []
@@ -60,7 +61,7 @@ def start_writing(
             owner.append(query_id(batch.sparkSession, checkpoint))
         sink_write(batch, Batch(owner[0], batch_id))
 
-    writer = df.writeStream.outputMode("append").queryName(name)
+    writer = df.writeStream.outputMode(mode).queryName(name)
     writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
     return writer.foreachBatch(write).start()
 
