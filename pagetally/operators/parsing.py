@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -20,11 +20,35 @@ _COMMON = {
 _COMBINED = {**_COMMON, "referer": 10, "user_agent": 12}
 
 
+# The same matches as those of the patterns for lines, in time that grows with the line only.
+#
+# What stands before a date is settled by the place where it begins. The date ends at the first
+# `] "` after its bracket, the request at the first quote after that which a status and a size
+# follow, and the referer at the first quote, blank, quote. If one of these is missing for the
+# first place where a record could begin, it is missing for all later ones, which look for it in
+# less of the line. So every part is atomic, and no other place is tried. Line ends, which `.` does
+# not match, would break that: text with one of them goes through the plain patterns.
+_BEFORE = r"^(?>(?s:.*?)(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}) (\S+) (\S+) (?=\[))"
+_DATED = _BEFORE + r"(?>(\[.+?\]) (?=\"))"
+_LINEAR_LINE = _DATED + r"(?>(\"(.*?)\") (?=\d{3} \S))(\d{3}) (\S+)"
+_LINEAR_COMBINED = (
+    _DATED
+    + r"(?>(\"(.*?)\") (?=\d{3} \S+ \"))(\d{3}) (\S+)"
+    + r" (?>(\"(.*?)\") (?=\"))(\"(.*?)\")"
+)
+_LINEAR = {P.LOG_LINE: _LINEAR_LINE, P.COMBINED_LINE: _LINEAR_COMBINED}
+_LINE_ENDS = "[\n\r\u0085\u2028\u2029]"
+
+
+def _by_line_ends(plain: Column, linear: Column) -> Column:
+    return F.when(F.col("value").rlike(_LINE_ENDS), plain).otherwise(linear)
+
+
 def _matched(lines: DataFrame, pattern: str, groups: dict[str, int]) -> DataFrame:
     """Columns for the wanted groups of the first match in each line; other lines drop out.
 
-    One replace packs the groups of the first match, each ended by a newline, so that the
-    pattern runs once per line however many fields are read. This is exact:
+    One replace packs the groups of the first match, each ended by a newline, so that a pattern
+    runs once per line however many fields are read. This is exact:
 
     * no group can hold a newline, because neither `.` nor `\\S` matches one;
     * the lazy prefix is anchored at the start, so only the first match is replaced;
@@ -32,10 +56,11 @@ def _matched(lines: DataFrame, pattern: str, groups: dict[str, int]) -> DataFram
       seven characters free of newlines, where packed text ends its first field.
     """
     replacement = "".join(f"${g}\n" for g in groups.values())
+    pack = lambda pattern: F.regexp_replace("value", pattern, replacement)
     packed = C.once(
         lines.select("value"),
         "_packed",
-        F.regexp_replace("value", r"(?s:^.*?)" + pattern, replacement),
+        _by_line_ends(pack(r"(?s:^.*?)" + pattern), pack(_LINEAR[pattern])),
     ).where(F.col("_packed") != F.col("value"))
     fields = C.once(
         packed.select("_packed"), "_fields", F.split("_packed", "\n", len(groups) + 1)
@@ -56,7 +81,8 @@ def rejected_lines(lines: DataFrame, honor_offset: bool = False) -> DataFrame:
     `no_record`: not a log line. `bad_date`: a log line without a valid date. Log lines
     with another status than 200 are valid records and not listed.
     """
-    found = F.coalesce(F.regexp_extract("value", P.LOG_LINE, 4), F.lit(""))
+    date = lambda pattern: F.regexp_extract("value", pattern, 4)
+    found = F.coalesce(_by_line_ends(date(P.LOG_LINE), date(_LINEAR_LINE)), F.lit(""))
     dated = C.once(lines.select("value"), "_date_time", found)
     no_date = C.event_time(F.col("_date_time"), honor_offset).isNull()
     reason = F.when(F.col("_date_time") == "", "no_record").when(no_date, "bad_date")

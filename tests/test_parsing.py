@@ -150,7 +150,8 @@ def test_rejects_name_their_reason(spark):
 def test_pattern_runs_once_per_line(spark):
     plan = parsing.visit_facts(frame(spark, SECTION))._jdf.queryExecution().optimizedPlan()
     text = plan.toString()
-    assert text.count("regexp_replace") == 1
+    # Two branches: a line takes the one for text with line ends inside, or the other.
+    assert text.count("regexp_replace") == 2 and text.count("CASE WHEN RLIKE") == 1
     assert text.count("gettimestamp") == 1
 
 
@@ -170,3 +171,53 @@ def test_first_match_of_any_text(spark, texts):
     got = [tuple(r) for r in parsing.parse_lines(frame(spark, *texts)).collect()]
     found = filter(None, map(RECORD.search, texts))
     assert got == [m.group(1, 2, 3, 4, 5, 7, 8) for m in found]
+
+
+QUOTED = [*PIECES.elements, '"a" "b"', '"', '" "', '" 200 5 "', '] "', "[a] \"b\" 200 5", "1.2.3.4 - - [", "1.1.1.1.1.1.1.1", "\t", "é"]
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.lists(st.sampled_from(QUOTED), max_size=30), min_size=100, max_size=300), st.sampled_from(["", " "]))
+def test_patterns_for_lines_match_the_same(spark, lists, between):
+    """All groups, common and combined, in texts that nearly match at many places."""
+    texts = [between.join(x for x in one if x != "\n") for one in lists]
+    texts += [line() + between + t for t in texts[:30]] + [t + between + line() for t in texts[:30]]
+    for combined, pattern in ((False, P.LOG_LINE), (True, P.COMBINED_LINE)):
+        got = [tuple(r) for r in parsing.parse_lines(frame(spark, *texts), combined).collect()]
+        groups = (1, 2, 3, 4, 5, 7, 8, 10, 12) if combined else (1, 2, 3, 4, 5, 7, 8)
+        found = filter(None, map(re.compile(pattern).search, texts))
+        assert got == [m.group(*groups) for m in found]
+    rejected = {r.value: r.reason for r in parsing.rejected_lines(frame(spark, *texts)).collect()}
+    assert {t for t, reason in rejected.items() if reason == "no_record"} == {t for t in texts if not RECORD.search(t)}
+
+
+def test_java_line_ends_end_a_date(spark):
+    """Next line and its like end `.`, and are part of words."""
+    texts = [line(date=f"[05/Jul/2022:08:09:10{x}+0200]") for x in "\r\u0085\u2028"]
+    assert parsing.parse_lines(frame(spark, *texts)).count() == 0
+    spared = [t + " " + line() for t in texts]
+    assert parsing.parse_lines(frame(spark, *spared)).count() == 3
+
+
+HOSTILE = [
+    "1.1.1.1 a b [", "1.1.1.1 a b [c] \"", "1.1.1.1 a b [c] \"d\" ", "1.", "1.1.1.1 ", "[c] \" ", '" 200 ', "] ",
+    "1.1.1.1 a b [c] \"d\" 20 ", "[", "1.1.1.1 a b [c] \"d\" 200 5 \"e",
+]
+
+
+def test_time_grows_with_the_line(spark):
+    """A megabyte of text that nearly matches everywhere, where backtracking takes minutes."""
+    import time
+
+    texts = [(x * (1_000_000 // len(x) + 1))[:1_000_000] for x in HOSTILE]
+    texts += ["1.1.1.1 a b [c] \"" + t for t in texts]
+    lines = frame(spark, *texts).repartition(8).persist()
+    lines.count()
+    start = time.perf_counter()
+    assert parsing.rejected_lines(lines).count() >= len(HOSTILE)
+    parsing.parse_lines(lines, combined=True).count()
+    parsing.visit_facts(lines).count()
+    lines.unpersist()
+    assert time.perf_counter() - start < 60
