@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,3 +63,36 @@ def components(links: DataFrame) -> DataFrame:
             delete(spark, trail[0])
             alone = own.join(found, "id", "left_anti")
             return found.unionByName(alone)
+
+
+#: Links that one task takes at most (16 bytes each).
+SMALL = 1 << 17
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of links, and the smallest id that each can reach."""
+    ids, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = place[: len(a)], place[len(a) :]
+    low = np.arange(len(ids))
+    while True:
+        least = np.minimum(low[x], low[y])
+        after = low.copy()
+        np.minimum.at(after, low[x], least)
+        np.minimum.at(after, low[y], least)
+        after = after[after]
+        if (after == low).all():
+            return ids, ids[low]
+        low = after
+
+
+def small_components(links: DataFrame) -> DataFrame:
+    """The same as components. Links that are stored and few are joined by one task in one job."""
+    if links.count() > SMALL:
+        return components(links)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.stack([c.to_numpy() for c in b.columns]) for b in batches]
+        a, b = np.concatenate([*held, np.zeros((2, 0), np.int64)], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _joined(a, b)], ["id", "component"])
+
+    return links.select("a", "b").repartition(1).mapInArrow(run, "id long, component long")

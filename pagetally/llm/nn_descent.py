@@ -9,31 +9,41 @@ component; whatever comes near the threshold is compared again exactly, in doubl
 The links found join the vectors into components. Lists have an end, groups of near copies need
 not: so components with a list that was ever full of links are compared with one another as far
 as their extents allow a link, and all vectors of a component are compared in blocks, which counts
-the links of each exactly without a row per pair. An audit compares some vectors with all others
-and asks for more rounds while too many of their links are missing; if the last round leaves it
-short, all vectors of a kind are compared.
+the links of each exactly without a row per pair. An audit compares some vectors with all others,
+both any ones and those that have something near the threshold, until it has seen enough links. It
+asks for more rounds while too many of them are missing; if the last round leaves it short, all
+vectors of a kind are compared. What it has found is logged and returned.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import only_last, slices, stored
-from pagetally.llm.components import components
+from pagetally.llm.common import only_last, slices, stored, with_fields
+from pagetally.llm.components import small_components
+
+log = logging.getLogger(__name__)
+
+
+#: A vector with more than one in HOT of all rows is dealt to SPREAD tasks; there are fewer than HOT.
+HOT, SPREAD = 1024, 64
 
 
 @dataclass(frozen=True)
 class Settings:
     """`lists` and `longest` are the first and the greatest length of a list, `orders` the random
-    projections, each linking a vector to the `ahead` next ones; `audited` vectors are compared
-    with all others. Components are compared in blocks of `block` vectors."""
+    projections, each linking a vector to the `ahead` next ones. The audit takes `audited` vectors
+    at random and as many with near ones, and more at random, up to `most_audited`, while it has
+    seen less than `enough` links. Components are compared in blocks of `block` vectors."""
 
     threshold: float = 0.98
     lists: int = 8
@@ -47,6 +57,8 @@ class Settings:
     most_rounds: int = 9
     recall: float = 0.98
     audited: int = 512
+    most_audited: int = 4096
+    enough: int = 200
     block: int = 256
     slack: float = 0.01
     seed: int = 1
@@ -80,8 +92,8 @@ def distinct(rows: DataFrame) -> DataFrame:
 
 
 def nodes(vectors: DataFrame) -> DataFrame:
-    """kind, id and copies of the different vectors, with unit (the vector at length 1, in double
-    precision) and small (in eight bits)."""
+    """The different vectors (kind, embedding, id, copies) with unit (the vector at length 1, in
+    double precision) and small (in eight bits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
@@ -90,11 +102,10 @@ def nodes(vectors: DataFrame) -> DataFrame:
                 unit = _unit([vector])[0]
                 units.append(unit.tobytes())
                 smalls.append(np.round(unit * (127 / np.abs(unit).max())).astype(np.int8).tobytes())
-            own = [batch.column(c) for c in ("kind", "id", "copies")]
             new = [pa.array(units, pa.binary()), pa.array(smalls, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*own, *new], ["kind", "id", "copies", "unit", "small"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "unit", "small"])
 
-    return vectors.mapInArrow(run, "kind string, id long, copies long, unit binary, small binary")
+    return vectors.mapInArrow(run, with_fields(vectors, "unit binary, small binary"))
 
 
 def _smalls(blobs: list[bytes]) -> np.ndarray:
@@ -156,28 +167,41 @@ def first_lists(points: DataFrame, settings: Settings) -> DataFrame:
     return coded.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(close, PAIRS)
 
 
-def best(pairs: DataFrame, sizes: DataFrame, settings: Settings) -> DataFrame:
-    """The lists (a, b, sim, size): of each a the nearest ones, as many as its size says."""
-    once = pairs.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    ranked = once.withColumn("rank", rank).where(F.col("rank") <= settings.longest)
-    sized = ranked.join(sizes.select(F.col("id").alias("a"), "size"), "a")
-    return sized.where("rank <= size").select("a", "b", "sim", "size")
+def best(pairs: DataFrame, settings: Settings) -> DataFrame:
+    """The lists (a, b, sim, size, next, full, first) of pairs (a, b, sim): of each a the nearest ones, as many as
+    the size that its pairs bring, the first length if they bring none. `next` is that size,
+    doubled where the list is full of links, as `full` says; `first` marks the nearest."""
+    s = settings
+    if "size" not in pairs.columns:
+        pairs = pairs.withColumn("size", F.lit(None).cast("int"))
+    own = Window.partitionBy("a")
+    once = pairs.repartition("a").groupBy("a", "b").agg(F.max("sim").alias("sim"), F.max("size").alias("size"))
+    rank = F.row_number().over(own.orderBy(F.desc("sim"), "b"))
+    sized = once.withColumn("size", F.coalesce(F.max("size").over(own), F.lit(s.lists)))
+    kept = sized.withColumn("rank", rank).where("rank <= size")
+    full = F.count_if(F.col("sim") >= s.threshold - s.slack).over(own) >= F.col("size")
+    grown = F.when(full, F.least(2 * F.col("size"), F.lit(s.longest))).otherwise(F.col("size"))
+    first = (F.col("rank") == 1).alias("first")
+    return kept.select("a", "b", "sim", "size", grown.alias("next"), full.alias("full"), first)
 
 
 def full_lists(lists: DataFrame, settings: Settings) -> DataFrame:
-    """The ids whose lists are full of links."""
-    s = settings
-    near = lists.where(F.col("sim") >= s.threshold - s.slack).groupBy("a", "size").count()
-    return near.where("count >= size").select(F.col("a").alias("id"))
+    """The ids whose lists are full of links, or once were and then became longer."""
+    grown = F.col("full") | (F.col("size") > settings.lists)
+    return lists.where(F.col("first") & grown).select(F.col("a").alias("id"))
 
 
-def enlarged(lists: DataFrame, sizes: DataFrame, settings: Settings) -> DataFrame:
-    """Sizes, doubled where a list is full of links."""
+def next_lists(points: DataFrame, lists: DataFrame, settings: Settings) -> DataFrame:
+    """The lists of the next round."""
     s = settings
-    full = full_lists(lists, s).withColumn("full", F.lit(True))
-    size = F.when(F.col("full"), F.least(2 * F.col("size"), F.lit(s.longest))).otherwise(F.col("size"))
-    return sizes.join(full, "id", "left").select("id", size.alias("size"))
+    more = refine(points, lists, s)
+    # A link that one end is offered is offered to the other one as well, so that it stays in a
+    # list or both of its ends have full ones.
+    ends = [F.struct("a", "b", "sim"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "sim")]
+    linked = F.col("sim") >= s.threshold - s.slack
+    offers = more.select(F.inline(F.when(linked, F.array(*ends)).otherwise(F.array(ends[0]))))
+    kept = lists.select("a", "b", "sim", F.col("next").alias("size"))
+    return best(kept.unionByName(offers, allowMissingColumns=True), s)
 
 
 def refine(points: DataFrame, lists: DataFrame, settings: Settings) -> DataFrame:
@@ -293,9 +317,9 @@ def _within(rows: DataFrame, others: tuple[str, ...], out: str) -> DataFrame:
     return rows.select(*columns).mapInArrow(run, f"{out}, angle double")
 
 
-def bridges(points: DataFrame, found: DataFrame, full: DataFrame, settings: Settings) -> DataFrame:
+def bridges(points: DataFrame, found: DataFrame, full: DataFrame, settings: Settings) -> DataFrame | None:
     """Links (a, b) between different components of found (id, component) that have one of the ids
-    in full, without a miss.
+    in full, without a miss; None where no two of them are near enough.
 
     A full list shows its own group alone, so another group within the threshold stays out of
     sight. A component lies within an angle of its smallest id; two of them can have a link only
@@ -323,6 +347,8 @@ def bridges(points: DataFrame, found: DataFrame, full: DataFrame, settings: Sett
 
     pairs = _dealt(balls, ("kind",), s).groupBy("kind", "i", "j").applyInArrow(run, "low long, high long")
     pairs = stored(pairs, "near_balls")
+    if pairs.isEmpty():
+        return None
     sides = [
         pairs.select("low", "high", F.col(own).alias("component"), F.col(other).alias("other"))
         for own, other in (("low", "high"), ("high", "low"))
@@ -337,8 +363,14 @@ def bridges(points: DataFrame, found: DataFrame, full: DataFrame, settings: Sett
 
 def joined_by(found: DataFrame, more: DataFrame) -> DataFrame:
     """The components found, joined by more links (a, b)."""
-    stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    return components(stars.unionByName(more))
+    ends = [found.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"]
+    between = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    pair = (F.coalesce(f"of_{c}", c).alias(c) for c in "ab")
+    moved = stored(small_components(between.select(*pair).distinct()), "joined")
+    alone = more.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(found, "id", "left_anti")
+    every = found.unionByName(alone.select("id", F.col("id").alias("component")))
+    to = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    return every.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
 
 
 def counted(points: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
@@ -348,6 +380,8 @@ def counted(points: DataFrame, found: DataFrame, settings: Settings) -> DataFram
     returned is a count per vector; copies of a vector count by their number.
     """
     s = settings
+    if found.isEmpty():
+        return points.sparkSession.createDataFrame([], "id long, n_links long")
     rows = points.select("id", "copies", "unit").join(found, "id")
     rows = _dealt(rows, ("component",), s)
 
@@ -368,13 +402,45 @@ def counted(points: DataFrame, found: DataFrame, settings: Settings) -> DataFram
     return parts.groupBy("id").agg(F.sum("n").alias("n_links"))
 
 
-def audit(points: DataFrame, n_links: DataFrame, settings: Settings) -> float:
-    """The share of all links of some vectors that was found: `audited` vectors, those of the
-    smallest hashes of their ids, are compared with every other one."""
+class Audit(NamedTuple):
+    """Vectors that were compared with all others, their links, and those of them that were found."""
+
+    asked: int
+    links: int
+    found: int
+
+    @property
+    def recall(self) -> float:
+        """The share found; not a number where none of the vectors has a link. Then less than 3 in
+        `asked` vectors have one, with a probability of 95 per cent."""
+        return self.found / self.links if self.links else math.nan
+
+
+def _asked(points: DataFrame, near: DataFrame, n_links: DataFrame, some: int, settings: Settings) -> list:
+    """kind, id, unit and n of `some` vectors at random, and of some that have near ones."""
+    order = F.xxhash64(F.col("id"), F.lit(settings.seed))
+    chosen = points.select("id").orderBy(order, "id").limit(some)
+    chosen = chosen.unionByName(near.orderBy(order, "id").limit(settings.audited)).distinct()
+    asked = points.select("kind", "id", "unit").join(F.broadcast(chosen), "id").join(n_links, "id", "left")
+    return asked.select("kind", "id", "unit", F.coalesce("n_links", F.lit(0)).alias("n")).collect()
+
+
+def audit(points: DataFrame, near: DataFrame, n_links: DataFrame, settings: Settings) -> Audit:
+    """How many links of some vectors were found: any ones, and some of the ids in `near`."""
+    s, some = settings, settings.audited
+    while True:
+        asked = _asked(points, near, n_links, some, s)  # some thousand rows at most
+        true = _true_links(points, asked, s)
+        links = sum(true.values())
+        if links >= s.enough or some >= s.most_audited or len(asked) < some:
+            found = sum(min(r["n"], true.get(r["id"], 0)) for r in asked)
+            return Audit(len(asked), links, found)
+        some = min(4 * some, s.most_audited)
+
+
+def _true_links(points: DataFrame, asked: list, settings: Settings) -> dict[int, int]:
+    """The links of each of the vectors asked for, from a comparison with all others."""
     s = settings
-    chosen = points.orderBy(F.xxhash64("id"), "id").limit(s.audited)
-    asked = chosen.join(n_links, "id", "left").select("kind", "id", "unit", F.coalesce("n_links", F.lit(0)).alias("n"))
-    asked = asked.collect()  # `audited` rows at most
     by_kind: dict[str, list] = {}
     for row in asked:
         by_kind.setdefault(row["kind"], []).append(row)
@@ -399,9 +465,34 @@ def audit(points: DataFrame, n_links: DataFrame, settings: Settings) -> float:
         yield pa.RecordBatch.from_arrays(arrays, ["id", "n"])
 
     every = points.select("kind", "id", "copies", "unit").mapInArrow(run, "id long, n long")
-    true = {r["id"]: r["n"] for r in every.groupBy("id").agg(F.sum("n").alias("n")).collect()}
-    total = sum(true.values())
-    return sum(min(r["n"], true.get(r["id"], 0)) for r in asked) / total if total else 1.0
+    return {r["id"]: r["n"] for r in every.groupBy("id").agg(F.sum("n").alias("n")).collect()}
+
+
+def _components(points: DataFrame, lists: DataFrame, settings: Settings) -> DataFrame:
+    """id and component of the ids that have links, from lists and from bridges between them."""
+    linked = stored(links(points, lists, settings), "links")
+    found = stored(small_components(linked), "found")
+    full = full_lists(lists, settings)
+    if full.isEmpty():
+        return found
+    more = bridges(points, found, full, settings)
+    return found if more is None else stored(joined_by(found, stored(more, "bridges")), "found")
+
+
+def _with_links(rows: DataFrame, points: DataFrame, found: DataFrame, n_links: DataFrame) -> DataFrame:
+    """The usable rows with the links and the component of their vector. Rows with a vector that
+    very many others have are dealt to several tasks."""
+    of_node = points.select("kind", "embedding", "id", "copies").join(found, "id", "left").join(n_links, "id", "left")
+    all_copies = points.agg(F.sum("copies")).first()[0] or 0
+    hot = points.where(F.col("copies") * HOT > all_copies).select("kind", "embedding")
+    hot = F.broadcast(hot.withColumn("spread", F.lit(SPREAD)))  # less than HOT rows
+    key, spread = ["kind", "embedding"], F.coalesce("spread", F.lit(1)).cast("long")
+    deal = F.pmod(F.xxhash64("vec_id"), spread).alias("deal")
+    mine = rows.join(hot, key, "left").select("vec_id", *key, deal)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), spread - 1)).alias("deal")
+    n = (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    theirs = of_node.join(hot, key, "left").select(*key, n, F.coalesce("component", "id").alias("component"), every)
+    return mine.join(theirs, [*key, "deal"]).select("vec_id", "n_links", "component")
 
 
 def near_duplicates(embeddings: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -414,53 +505,38 @@ def near_duplicates(embeddings: DataFrame, settings: Settings = Settings()) -> D
     Rows that repeat a vec_id with the same vector count once; with another vector, each has the
     links of its own. Other columns are not read.
     """
+    return audited(embeddings, settings)[0]
+
+
+def audited(embeddings: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, Audit]:
+    """The rows of near_duplicates, and the audit of their links before an exact end, if any."""
     s = settings
     rows = usable(embeddings.select(F.col("vec_id").cast("long"), "embedding", "label"))
-    vectors = stored(distinct(rows), "vectors")
-    points = stored(nodes(vectors), "nodes")
-    sizes = points.select("id", F.lit(s.lists).alias("size"))
-    trails: list[list[str]] = [[], [], []]
-    lists = stored(best(first_lists(points, s), sizes, s), "lists", trails[0])
-    rounds, wanted = 0, s.rounds
+    points = stored(nodes(distinct(rows)), "nodes")
+    trail: list[str] = []
+    lists, wanted = best(first_lists(points, s), s), s.rounds
+    lists, rounds = stored(lists, "lists", trail), 0
     while True:
         while rounds < wanted:
-            sizes = stored(enlarged(lists, sizes, s), "sizes", trails[1])
-            more = stored(refine(points, lists, s), "offers", trails[2])
-            # A link that one end is offered is offered to the other one as well, so that it stays
-            # in a list or both of its ends have full ones.
-            back = more.where(F.col("sim") >= s.threshold - s.slack)
-            more = more.unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-            more = more.unionByName(lists.select("a", "b", "sim"))
-            lists = stored(best(more, sizes, s), "lists", trails[0])
-            for trail in trails:
-                only_last(points.sparkSession, trail)
+            lists = stored(next_lists(points, lists, s), "lists", trail)
+            only_last(points.sparkSession, trail)
             rounds += 1
-        found = stored(components(links(points, lists, s)), "found")
-        # Lists that are full, or once were and then became longer.
-        full = sizes.where(F.col("size") > s.lists).select("id").unionByName(full_lists(lists, s)).distinct()
-        found = stored(joined_by(found, bridges(points, found, full, s)), "found")
+        found = _components(points, lists, s)
         n_links = stored(counted(points, found, s), "n_links")
-        if audit(points, n_links, s) >= s.recall:
+        near = lists.where("first").where(F.col("sim") >= s.threshold - 2 * s.slack).select(F.col("a").alias("id"))
+        seen = audit(points, near, n_links, s)
+        log.info("%s; recall %s after %s rounds", seen, seen.recall, rounds)
+        if seen.links == 0 or seen.recall >= s.recall:
             break
         if rounds >= s.most_rounds:
             rows_of = points.select("kind", "id", "unit").join(found, "id", "left")
             rows_of = rows_of.withColumn("component", F.coalesce("component", "id"))
-            found = stored(joined_by(found, crossing(rows_of, ("kind",), s)), "found")
+            found = stored(joined_by(found, stored(crossing(rows_of, ("kind",), s), "crossing")), "found")
             n_links = stored(counted(points, found, s), "n_links")
             break
         wanted += s.more_rounds
-    of_node = vectors.join(found, "id", "left").join(n_links, "id", "left")
-    of_node = of_node.select(
-        "kind",
-        "embedding",
-        (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "id").alias("component"),
-    )
-    joined = rows.join(of_node, ["kind", "embedding"], "left")
-    component = F.coalesce("component", "vec_id")
-    return joined.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
-    )
+    joined = _with_links(rows.where("usable"), points, found, n_links)
+    alone = rows.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component"))
+    every = joined.unionByName(alone)
+    kept = F.coalesce(F.col("vec_id") == F.col("component"), F.lit(True)).alias("kept")
+    return every.select("vec_id", "n_links", F.col("component").alias("component_id"), kept), seen

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from pagetally.llm import mixing, nn_descent, tool_calls
-from pagetally.llm.components import components
+from pagetally.llm.components import components, small_components
 
 # --- components ------------------------------------------------------------------------------
 
@@ -19,7 +19,10 @@ def test_components_of_chains_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 620)]
     links += [(7, 7), (9, 8), (8, 9), (9, 8), (1, 2), (2, 3), (3, 1)]
     rnd.shuffle(links)
-    got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    frame = spark.createDataFrame(links, "a long, b long")
+    got = dict(map(tuple, components(frame).collect()))
+    assert dict(map(tuple, small_components(frame).collect())) == got
+    assert small_components(frame.limit(0)).count() == 0
     want = {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 620)} | {8: 8, 9: 8, 1: 1, 2: 1, 3: 1, 7: 7}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
@@ -99,9 +102,52 @@ def test_audit_sees_missing_links(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     points = nn_descent.nodes(nn_descent.distinct(nn_descent.usable(frame)))
     nothing = spark.createDataFrame([], "id long, n_links long")
-    assert nn_descent.audit(points, nothing, nn_descent.Settings()) == 0.0
+    nowhere = nothing.select("id")
+    assert nn_descent.audit(points, nowhere, nothing, nn_descent.Settings()).recall == 0.0
     every = nn_descent.near_duplicates(frame).selectExpr("vec_id id", "n_links")
-    assert nn_descent.audit(points, every, nn_descent.Settings()) == 1.0
+    assert nn_descent.audit(points, nowhere, every, nn_descent.Settings()).recall == 1.0
+
+
+def test_audit_of_rare_links_asks_those_with_near_ones(spark, monkeypatch):
+    """Two near copies among 3,000 vectors: a random sample would not see them."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 16)).astype(np.float32)
+    x[2999] = x[17] * np.float32(1.0001) + np.float32(0.001)
+    rows = [(i, [float(v) for v in row], 1) for i, row in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    few = nn_descent.Settings(audited=16, most_audited=16)
+    got, seen = nn_descent.audited(frame, few)
+    assert seen.links >= 2 and seen.recall == 1.0 and 16 < seen.asked <= 32
+    assert {r.vec_id for r in got.collect() if r.n_links} == {17, 2999}
+    none = frame.where("vec_id < 2999")
+    seen = nn_descent.audited(none, nn_descent.Settings(audited=16, most_audited=100))[1]
+    assert seen.links == 0 and math.isnan(seen.recall) and seen.asked >= 100  # asked for more
+
+
+def test_hot_vectors_and_null_labels(spark):
+    """A third of all rows have one vector, another third no label."""
+    rng = np.random.default_rng(9)
+    some = [[float(np.float32(v)) for v in row] for row in rng.normal(size=(200, 8))]
+    rows = [(i, some[0] if i % 3 == 0 else some[i % 200], 1 if i % 3 < 2 else None) for i in range(1500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(6)
+    want = true_links(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicates(frame).collect()}
+    assert got == {i: want.get(i, (0, i)) for i in range(1500)}
+
+
+def test_few_jobs_where_there_are_no_links(spark):
+    """The number of jobs does not grow with rounds of small tables."""
+    rng = np.random.default_rng(10)
+    rows = [(i, [float(np.float32(v)) for v in row], 1) for i, row in enumerate(rng.normal(size=(500, 16)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("nn_descent", "jobs")
+    try:
+        nn_descent.near_duplicates(frame).collect()
+        jobs = len(tracker.getJobIdsForGroup("nn_descent"))
+    finally:
+        spark.sparkContext.setJobGroup("tests", "others")
+    assert jobs <= 60
 
 
 def two_groups(n, across=0.985):
