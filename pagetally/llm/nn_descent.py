@@ -267,14 +267,29 @@ def links(points: DataFrame, lists: DataFrame, settings: Settings) -> DataFrame:
 def _dealt(rows: DataFrame, groups: tuple[str, ...], settings: Settings) -> DataFrame:
     """The rows of each group dealt out to blocks, once for each pair (i, j) of blocks that theirs
     (`own`) is in."""
-    blocks = F.ceil(F.count("*") / settings.block).cast("int").alias("blocks")
-    rows = rows.join(rows.groupBy(*groups).agg(blocks), list(groups))
+    blocks = F.ceil(F.col("n") / settings.block).cast("int")
+    sizes = stored(rows.groupBy(*groups).agg(F.count("*").alias("n")).withColumn("blocks", blocks), "blocks")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    large = sizes.where(F.col("n") * HOT > total)
+    rows = _spread_join(rows, sizes.drop("n"), list(groups), large, "id")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     ends = {"i": F.least("own", "other"), "j": F.greatest("own", "other")}
     return rows.withColumns(ends).drop("blocks", "other")
 
 
+def _spread_join(rows: DataFrame, others: DataFrame, key: list[str], hot: DataFrame, by: str) -> DataFrame:
+    """The rows with the columns of others, which has one row for each key. Rows of the keys in
+    hot, fewer than HOT, are dealt to SPREAD tasks by another column."""
+    hot = F.broadcast(hot.select(*key, F.lit(SPREAD).alias("#spread")))
+    spread = F.coalesce("#spread", F.lit(1)).cast("long")
+    deal = F.pmod(F.xxhash64(by), spread).alias("#deal")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), spread - 1)).alias("#deal")
+    mine = rows.join(hot, key, "left").select(*rows.columns, deal)
+    theirs = others.join(hot, key, "left").select(*others.columns, every)
+    return mine.join(theirs, [*key, "#deal"]).drop("#deal")
+
+
 def _sides(group: pa.Table, blobs: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a pair of blocks: the vectors, and the rows of either block."""
     own = group.column("own").to_numpy()
@@ -483,16 +498,13 @@ def _with_links(rows: DataFrame, points: DataFrame, found: DataFrame, n_links: D
     """The usable rows with the links and the component of their vector. Rows with a vector that
     very many others have are dealt to several tasks."""
     of_node = points.select("kind", "embedding", "id", "copies").join(found, "id", "left").join(n_links, "id", "left")
-    all_copies = points.agg(F.sum("copies")).first()[0] or 0
-    hot = points.where(F.col("copies") * HOT > all_copies).select("kind", "embedding")
-    hot = F.broadcast(hot.withColumn("spread", F.lit(SPREAD)))  # less than HOT rows
-    key, spread = ["kind", "embedding"], F.coalesce("spread", F.lit(1)).cast("long")
-    deal = F.pmod(F.xxhash64("vec_id"), spread).alias("deal")
-    mine = rows.join(hot, key, "left").select("vec_id", *key, deal)
-    every = F.explode(F.sequence(F.lit(0).cast("long"), spread - 1)).alias("deal")
+    total = points.agg(F.sum("copies")).first()[0] or 0
     n = (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    theirs = of_node.join(hot, key, "left").select(*key, n, F.coalesce("component", "id").alias("component"), every)
-    return mine.join(theirs, [*key, "deal"]).select("vec_id", "n_links", "component")
+    theirs = of_node.select("kind", "embedding", n, F.coalesce("component", "id").alias("component"))
+    copied = points.where(F.col("copies") * HOT > total)
+    mine = rows.select("vec_id", "kind", "embedding")
+    joined = _spread_join(mine, theirs, ["kind", "embedding"], copied, "vec_id")
+    return joined.select("vec_id", "n_links", "component")
 
 
 def near_duplicates(embeddings: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -4,8 +4,9 @@ Every text is measured once. The measures of each language and source go into me
 sketches: counts per bucket of a log-linear scale (values below 128 exactly, above that seven
 leading bits, so a quantile is off by less than 1/64 of its value). Sketches add up, so those of
 a language or of all rows are sums of the others', and neither order nor retries change them.
-A threshold is a fence beyond the quartiles of the row's own group; groups of few rows take the
-sketch of their language, or of all rows. The thresholds are joined to the rows as a filter.
+A threshold is a fence beyond an outer quantile of the row's own group, by several times the
+distance of that quantile from the opposite one; groups of few rows take the sketch of their
+language, or of all rows. The thresholds are joined to the rows as a filter.
 """
 
 from __future__ import annotations
@@ -28,29 +29,35 @@ SCALE = 10_000
 
 @dataclass(frozen=True)
 class Rule:
-    """A measure `part` / `of`, in units of 1 / SCALE, and the least spread of its quartiles."""
+    """A measure `part` / `of`, in units of 1 / SCALE. Its fence lies above the quantile `outer` (per
+    cent) by `spreads` times what that is above the quantile 100 - `outer`, and a `low` one below
+    the latter likewise. `least` stands for a smaller distance: where a group has one value
+    throughout, a few in a hundred words or lines still pass."""
 
     name: str
     part: str
     of: str
-    least_spread: int
+    outer: int
+    spreads: int
+    least: int
     low: bool = False
 
 
+#: Junk may be a tenth of a group, so what marks it is judged by quartiles. Repeats are rare: most
+#: texts have none, and their fence follows the last hundredth.
 RULES = (
-    Rule("symbols_per_word", "n_symbols", "n_words", 500),
-    Rule("word_length", "word_chars", "n_words", 5_000, low=True),
-    Rule("dup_lines", "n_dup_lines", "n_lines", 1_500),
-    Rule("repeat_words", "n_repeat_words", "n_words", 500),
+    Rule("symbols_per_word", "n_symbols", "n_words", 75, 6, 100),
+    Rule("word_length", "word_chars", "n_words", 75, 12, 500, low=True),
+    Rule("dup_lines", "n_dup_lines", "n_lines", 99, 2, 1000),
+    Rule("repeat_words", "n_repeat_words", "n_words", 99, 2, 250),
 )
+QUANTILES = sorted({q for r in RULES for q in (r.outer, 100 - r.outer)})
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Fences lie `spreads` times the quartiles' distance beyond them; groups of fewer rows than
-    `least_rows` take the thresholds of a larger one."""
+    """Groups of fewer rows than `least_rows` take the thresholds of a larger one."""
 
-    spreads: int = 6
     least_rows: int = 500
     min_words: int = 10
     max_repeat_percent: int = 20
@@ -129,8 +136,9 @@ def merged(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
     return sketch.groupBy(*groups, "rule", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    """rows, q25 and q75 of each group and rule. A group has few buckets, however many rows."""
+def quantiles(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
+    """rows and the QUANTILES of each group and rule, as q75 and so on. A group has few buckets,
+    however many rows."""
     key = [*groups, "rule"]
     below = Window.partitionBy(*key).orderBy("bucket")
     placed = sketch.select(
@@ -139,19 +147,18 @@ def quartiles(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
         F.sum("n").over(below).alias("upto"),
         F.sum("n").over(Window.partitionBy(*key)).alias("rows"),
     )
-    at = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("rows"), F.col("bucket")))
-    return placed.groupBy(*key).agg(
-        F.max("rows").alias("rows"), at(1).alias("q25"), at(3).alias("q75")
-    )
+    at = lambda q: F.min(F.when(100 * F.col("upto") >= q * F.col("rows"), F.col("bucket")))
+    found = [at(q).alias(f"q{q}") for q in QUANTILES]
+    return placed.groupBy(*key).agg(F.max("rows").alias("rows"), *found)
 
 
 def thresholds(rows: DataFrame, limits: Limits) -> DataFrame:
     """lang, source and for every rule <rule>_low and <rule>_high."""
     own = stored(sketches(rows, ("lang", "source")), "sketches")
     levels = [
-        quartiles(own, ("lang", "source")),
-        quartiles(merged(own, ("lang",)), ("lang",)),
-        quartiles(merged(own, ()), ()),
+        quantiles(own, ("lang", "source")),
+        quantiles(merged(own, ("lang",)), ("lang",)),
+        quantiles(merged(own, ()), ()),
     ]
     found = levels[0].where(F.col("rows") >= limits.least_rows)
     lang = levels[1].where(F.col("rows") >= limits.least_rows)
@@ -163,11 +170,12 @@ def thresholds(rows: DataFrame, limits: Limits) -> DataFrame:
         .join(levels[2].alias("a"), same("g", "a", "rule"), "left")
     )
     q = lambda c: F.coalesce(*[F.col(f"{x}.{c}") for x in "fla"])
-    chosen = joined.select("g.lang", "g.source", "g.rule", q("q25").alias("q25"), q("q75").alias("q75"))
+    chosen = joined.select("g.lang", "g.source", "g.rule", *[q(f"q{n}").alias(f"q{n}") for n in QUANTILES])
     fences = []
     for r in RULES:
-        one, spread = F.col("rule") == r.name, F.greatest(F.col("q75") - F.col("q25"), F.lit(r.least_spread))
-        high, low = F.col("q75") + limits.spreads * spread, F.col("q25") - limits.spreads * spread
+        one, upper, lower = F.col("rule") == r.name, F.col(f"q{r.outer}"), F.col(f"q{100 - r.outer}")
+        beyond = r.spreads * F.greatest(upper - lower, F.lit(r.least))
+        high, low = upper + beyond, lower - beyond
         fences.append(F.max(F.when(one, high)).alias(f"{r.name}_high"))
         fences.append(F.max(F.when(one, low if r.low else F.lit(None))).cast("long").alias(f"{r.name}_low"))
     return chosen.groupBy("lang", "source").agg(*fences)

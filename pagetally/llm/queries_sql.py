@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pagetally.llm.mixing import GRID, PLACE_BITS
-from pagetally.llm.quality_rules import RULES, SCALE, Limits
+from pagetally.llm.quality_rules import QUANTILES, RULES, SCALE, Limits
 from pagetally.llm.queries import MIX
 
 #: The words of a text, in the expression language of the engine that checks.
@@ -16,11 +16,16 @@ def _quality_rules() -> str:
         f"case when {r.of} > 0 then {r.part} * {SCALE} // {r.of} else 0 end as {r.name}" for r in RULES
     )
     long = " union all ".join(
-        f"select lang, source, '{r.name}' as rule, {r.name} as v, {r.least_spread} as least, "
-        f"{r.low} as low from measures where not base_failed"
+        f"select lang, source, '{r.name}' as rule, {r.name} as v, {r.outer} as outer_q, "
+        f"{r.spreads} as spreads, {r.least} as least, {r.low} as low from measures where not base_failed"
         for r in RULES
     )
 
+    at = ", ".join(f"min(bucket) filter (100 * upto >= {q} * total) as q{q}" for q in QUANTILES)
+    chosen = ", ".join(f"coalesce(s.q{q}, l.q{q}, a.q{q}) as q{q}" for q in QUANTILES)
+    upper = "case outer_q " + " ".join(f"when {q} then q{q}" for q in QUANTILES) + " end"
+    lower = "case 100 - outer_q " + " ".join(f"when {q} then q{q}" for q in QUANTILES) + " end"
+
     def level(name: str, groups: str) -> str:
         return f"""{name}_at as (
             select {groups} rule, bucket, sum(n) over (partition by {groups} rule order by bucket) as upto,
@@ -28,8 +33,7 @@ def _quality_rules() -> str:
             from (select {groups} rule, bucket, sum(n) as n from own group by all)),
         {name} as (
             select {groups} rule, max(total) as total,
-                   min(bucket) filter (4 * upto >= total) as q25,
-                   min(bucket) filter (4 * upto >= 3 * total) as q75
+                   {at}
             from {name}_at group by all)"""
 
     failing = " or ".join(
@@ -67,18 +71,17 @@ def _quality_rules() -> str:
     {level("by_lang", "lang,")},
     {level("by_all", "")},
     chosen as (
-        select g.lang, g.source, g.rule, g.least, g.low,
-               coalesce(s.q25, l.q25, a.q25) as q25, coalesce(s.q75, l.q75, a.q75) as q75
-        from (select distinct lang, source, rule, least, low from long) as g
+        select g.*, {chosen}
+        from (select distinct lang, source, rule, outer_q, spreads, least, low from long) as g
         left join by_source as s on s.lang is not distinct from g.lang
             and s.source is not distinct from g.source and s.rule = g.rule and s.total >= {limits.least_rows}
         left join by_lang as l on l.lang is not distinct from g.lang and l.rule = g.rule
             and l.total >= {limits.least_rows}
         left join by_all as a on a.rule = g.rule),
     fences as (
-        select *, q75 + {limits.spreads} * greatest(q75 - q25, least) as high,
-               q25 - {limits.spreads} * greatest(q75 - q25, least) as bottom
-        from chosen),
+        select *, upper_q + spreads * greatest(upper_q - lower_q, least) as high,
+               lower_q - spreads * greatest(upper_q - lower_q, least) as bottom
+        from (select *, {upper} as upper_q, {lower} as lower_q from chosen)),
     outside as (
         select distinct m.doc_id
         from measures as m join fences as t

@@ -69,8 +69,34 @@ def test_thresholds_follow_language_and_source(spark):
     assert bad == {5000, 5001}  # the rare source takes the language's sketch, with both kinds
 
 
+def plain_lines(rnd, n, words=8):
+    return "\n".join(prose(rnd, words, 4000) for _ in range(n))
+
+
+def test_each_rule_rejects_a_row_of_its_own(spark):
+    """Rows that pass the base rules, and fail one rule alone, in a source where such do not occur;
+    in another one, where they are common, they stay."""
+    rnd = random.Random(11)
+    lines = [prose(rnd, 9, 4000) for _ in range(12)]
+    short = ["ab cd", "ef gh"]
+    odd = {
+        "symbols_per_word": " ".join(w + "#" * (i % 8 == 0) for i, w in enumerate(prose(rnd, 80, 4000).split())),
+        "word_length": " ".join("longwordlongword" + w for w in prose(rnd, 60, 4000).split()),
+        "dup_lines": "\n".join(x for one in lines for x in (one, short[0], prose(rnd, 9, 4000), short[1])),
+        "repeat_words": " ".join([prose(rnd, 60, 4000), *[" ".join(lines[0].split()[:6])] * 2]),
+    }
+    rows = [(i, plain_lines(rnd, 10), "en", "plain", None) for i in range(600)]
+    rows += [(1000 + i, text, "en", "plain", None) for i, text in enumerate(odd.values())]
+    rows += [(2000 + i, list(odd.values())[i % 4], "en", "mixed", None) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n long")
+    judged = {r.doc_id: r for r in quality_rules.apply_rules(docs).collect()}
+    for i, name in enumerate(odd):
+        assert not judged[1000 + i].base_failed and judged[1000 + i].failed_rules == [name]
+    assert all(r.kept for i, r in judged.items() if not 1000 <= i < 2000)
+
+
 def test_sketches_merge(spark):
-    """The sketch of two halves, added up, is the sketch of the whole; quartiles are near."""
+    """The sketch of two halves, added up, is the sketch of the whole; quantiles are near."""
     values = [int(random.Random(5).lognormvariate(8, 2)) for _ in range(1)] + [
         int(x) for x in np.random.default_rng(5).lognormal(8, 2, 4000)
     ]
@@ -81,9 +107,9 @@ def test_sketches_merge(spark):
     key = lambda df: sorted(map(tuple, df.select("rule", "bucket", "n").collect()))
     whole = quality_rules.sketches(rows, ())
     assert key(quality_rules.merged(halves, ())) == key(whole)
-    found = quality_rules.quartiles(whole, ()).first()
+    found = quality_rules.quantiles(whole, ()).first()
     ordered = sorted(values)
-    for q, got in ((0.25, found.q25), (0.75, found.q75)):
+    for q, got in ((0.01, found.q1), (0.25, found.q25), (0.75, found.q75), (0.99, found.q99)):
         exact = ordered[int(np.ceil(q * len(ordered))) - 1]
         assert exact * (1 - 1 / 64) <= got <= exact
 
