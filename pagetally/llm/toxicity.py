@@ -142,14 +142,19 @@ class Chain:
 
 
 def limit(p: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The smallest probability, at least twice the share of positive rows, from which on so
-    great a share of the rows is positive. Without positive rows: never."""
-    if not len(y):
+    """The smallest probability of a positive row, at least twice the share of positive rows, from
+    which on so great a share of the rows may be positive: not more of them are negative than two
+    standard deviations above what such a share lets one expect, or than one at least, so that a
+    few wrong labels among few positive ones do not decide. If there is none, the probability of
+    the best F score that weighs precision twice. Without positive rows: never."""
+    if not len(y) or not y.any():
         return 2.0
     order = np.argsort(-p, kind="stable")
-    right = np.cumsum(y[order]) / np.arange(1, len(p) + 1)
-    good = np.flatnonzero((right >= precision) & (p[order] >= 2 * y.mean()))
-    return float(p[order][good[-1]]) if good.size else 2.0
+    rank, hits = np.arange(1, len(p) + 1), np.cumsum(y[order])
+    wrong = rank * (1 - precision)
+    good = np.flatnonzero((rank - hits <= wrong + 2 * np.sqrt(wrong) + 1) & (p[order] >= 2 * y.mean()) & (y[order] > 0))
+    best = good[-1] if good.size else np.argmax(1.25 * hits / (0.25 * y.sum() + rank))
+    return float(p[order][best])
 
 
 def fit(rows: Rows, labels: np.ndarray, categories: list[str], settings: Settings = Settings()) -> Chain:

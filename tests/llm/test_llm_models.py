@@ -76,6 +76,55 @@ def test_toxic_texts_are_found_among_unseen_ones(learnt):
     assert left == {r.doc_id for r in toxicity.score(frame, chain).collect() if not r.rejected}
 
 
+def test_limit_bears_few_wrong_labels():
+    """Forty positive rows, one of them unmarked, wherever it ranks; and no good model at all."""
+    for at in range(40):
+        p, y = np.linspace(0.99, 0.01, 2000), np.zeros(2000)
+        y[:40] = 1
+        y[at] = 0
+        found = toxicity.limit(p, y, 0.995)
+        assert (p >= found).sum() == (40 if at < 39 else 39)
+    p, y = np.linspace(0.99, 0.01, 2000), np.zeros(2000)
+    y[1::4] = 1  # a quarter, spread out: not even twice the share
+    assert 0 < (p >= toxicity.limit(p, y, 0.995)).sum() <= 2000
+    assert toxicity.limit(p, np.zeros(2000), 0.995) == 2.0 == toxicity.limit(p[:0], y[:0], 0.995)
+    y = (p > 0.7).astype(float)  # many positive rows: one in two hundred may be wrong, not more
+    y[::50] = 0
+    sure = (p >= toxicity.limit(p, y, 0.995)).sum()
+    assert 50 <= sure < 300
+
+
+def test_one_wrong_label_does_not_end_rejection(spark):
+    docs, labels = corpus(1600, 6)
+    few = [(i, q, t if i % 30 == 0 else 0) for i, q, t in labels]  # about fifty positive rows
+    texts = {i: t for i, t, *_ in docs}
+    clean = [(i, t if few[i][2] or "vile" not in t else prose(random.Random(i), 30), *rest) for i, t, *rest in docs]
+    wrong = next(i for i, _, t in few if t)
+    few[wrong] = (wrong, 1, 0)
+    frame = spark.createDataFrame(clean, "doc_id long, text string, lang string, source string, n long")
+    chain = toxicity.fit_labels(frame, spark.createDataFrame(few, LABELS))
+    rejected = {r.doc_id for r in toxicity.score(frame, chain).collect() if r.rejected}
+    toxic = {i for i, _, t in few if t}
+    assert len(rejected & toxic) >= 0.9 * len(toxic) and rejected <= toxic | {wrong} and texts
+
+
+def test_chain_equals_a_dense_recomputation(spark, learnt):
+    """Probabilities and verdicts of a few texts, from whole weight vectors."""
+    frame, marked, _ = learnt
+    chain = toxicity.fit_labels(frame, marked)
+    some = frame.where("doc_id < 40").unionByName(frame.limit(1).selectExpr("-1l doc_id", "'' text", "lang", "source", "n"))
+    for r in toxicity.score(some, chain).collect():
+        x = np.zeros(1 << toxicity.BITS)
+        x[toxicity.features(r.text)[0]] = 1
+        earlier = []
+        for model, name in zip(chain.models, chain.categories):
+            logits = [math.log(min(max(q, 1e-4), 1 - 1e-4) / (1 - min(max(q, 1e-4), 1 - 1e-4))) / 10 for q in earlier]
+            z = x @ model.weights + sum(w * v for w, v in zip(model.earlier, logits)) + model.constant
+            earlier.append(1 / (1 + math.exp(-max(-30, min(30, z)))))
+            assert abs(r[f"p_{name}"] - earlier[-1]) < 1e-9
+        assert r.rejected == (earlier[1] >= chain.limits[1])
+
+
 def test_later_models_use_earlier_probabilities():
     """The second label is the first one, hidden in the text: only the chain can know it."""
     rng = np.random.default_rng(4)
