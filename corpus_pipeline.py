@@ -11,9 +11,9 @@ from pagetally.llm import bpe, mixing, simhash, substring_dedup, toxicity
 from pagetally.llm.common import stored
 from pagetally.llm.queries import MIX, PATTERN, VOCABULARY, table
 
-#: Shingles of the fingerprints, and the differing bits that still make a near copy. Six of 64
-#: bits are as many as two texts differ in that share about nine tenths of their shingles.
-SHINGLE, RADIUS = 3, 6
+#: Words of a shingle of the fingerprints, and the differing bits that still make a near copy, as
+#: the operator's own query has them.
+SHINGLE, RADIUS = 3, 3
 WINDOW = 13
 
 
