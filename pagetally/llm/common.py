@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -60,6 +61,18 @@ def only_last(spark: SparkSession, trail: list[str]) -> None:
     del trail[:-1]
 
 
+class Shared:
+    """An object of bounded size that is sent to all tasks, its classes by value: executors need no
+    copy of this package for it."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.pickled = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return cloudpickle.loads(self.pickled.value)
+
+
 def crc_of_id(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text; folds are remainders of it. A null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))

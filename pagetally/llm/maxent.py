@@ -9,8 +9,9 @@ smoothed relative frequency. The probability of a word given the words before it
 The first two are softmaxes over few outcomes, with weights for features of the history: the unit
 one back (n-gram), the unit two back (skip), both together in hashed buckets, and constants. All
 tokens of the training texts are brought down to counts of outcomes per history, which is all
-that training needs. Every round computes the observed and expected counts of all histories in
-tasks, and the driver adds up and updates the bounded table of weights by iterative scaling.
+that training needs. Every round computes the expected counts of all histories in tasks; observed
+less expected counts are the gradient of the log-likelihood, and the driver adds them up and moves
+the bounded table of weights along it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import lower_words, slices, stored, whole_texts
+from pagetally.llm.common import Shared, lower_words, slices, stored, whole_texts
 
 #: The end of a text is a token; no word is empty, so it is written as the empty word.
 END = b""
@@ -179,7 +180,7 @@ def outcome_counts(texts: DataFrame, known: Vocabulary, hold: int = 1_000_000) -
     """
     shape = known.shape
     u, c = shape.units, shape.classes
-    shared = texts.sparkSession.sparkContext.broadcast(known)  # `known` words at most
+    shared = Shared(texts.sparkSession, known)  # `known` words at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, size = shared.value, [], 0
@@ -267,9 +268,11 @@ def feature_sums(outcomes: DataFrame, shape: Shape, weights: np.ndarray | None)
 
 
 def train(outcomes: DataFrame, shape: Shape) -> np.ndarray:
-    """The weights. They start at the smoothed distribution after the unit one back; every round
-    then moves each by what its expected count lacks of the observed one, on a log scale, divided
-    by the number of features that a history has. Such steps never overshoot."""
+    """The weights, by gradient steps with a rate for each weight. They start at the smoothed
+    distribution after the unit one back. The curvature of the log-likelihood along a weight is
+    its expected count at most, times the number of features that a history has; the rate is
+    one by that, or by the observed count where it is greater, so no step is longer than one by
+    the number of features."""
     observed, k = feature_sums(outcomes, shape, None), shape.smoothing
     u, c, slot = shape.units, shape.classes, shape.slot_rows
     weights = np.zeros((shape.rows, c), np.float32)
@@ -285,7 +288,8 @@ def train(outcomes: DataFrame, shape: Shape) -> np.ndarray:
     features = np.where(np.arange(shape.rows) < slot, 4, 2)[:, None]
     for _ in range(shape.rounds):
         expected = feature_sums(outcomes, shape, weights)
-        weights += (np.log((observed + k) / (expected + k)) / features).astype(np.float32)
+        rate = 1 / (features * (np.maximum(observed, expected) + k))
+        weights += (rate * (observed - expected)).astype(np.float32)
     return weights
 
 
@@ -342,7 +346,7 @@ def fit(texts: DataFrame, shape: Shape = Shape()) -> tuple[Model, DataFrame]:
 def _scored(docs: DataFrame, model: Model) -> DataFrame:
     """Rows with what tasks can tell alone: n_tokens, n_known, base, score, and `rest`, the words
     whose counts are still missing."""
-    shared, kept = docs.sparkSession.sparkContext.broadcast(model), docs.drop("text").columns
+    shared, kept = Shared(docs.sparkSession, model), docs.drop("text").columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pagetally.llm.common import slices, whole_texts, with_fields
+from pagetally.llm.common import Shared, slices, whole_texts, with_fields
 from pagetally.llm.labelled import Rows, sample
 
 BITS = 16
@@ -135,7 +135,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     new one are replaced; rows are independent.
     """
     columns = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # a few MB by BITS and rank
+    shared = Shared(docs.sparkSession, machine)  # a few MB by BITS and rank
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetally.llm.common import slices, whole_texts, with_fields
+from pagetally.llm.common import Shared, slices, whole_texts, with_fields
 from pagetally.llm.labelled import Rows, sample
 
 BITS = 18
@@ -198,7 +198,7 @@ def score(docs: DataFrame, chain: Chain, category: str = "toxic") -> DataFrame:
     made = [f"p_{c}" for c in chain.categories] + ["rejected"]
     columns = [c for c in docs.columns if c.lower() not in made]
     which = chain.categories.index(category)
-    shared = docs.sparkSession.sparkContext.broadcast(chain)  # a few MB by BITS
+    shared = Shared(docs.sparkSession, chain)  # a few MB by BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
@@ -216,7 +216,7 @@ def score(docs: DataFrame, chain: Chain, category: str = "toxic") -> DataFrame:
 def accepted(docs: DataFrame, chain: Chain, category: str = "toxic") -> DataFrame:
     """The rows of docs that are not rejected, with exactly the columns they have."""
     which = chain.categories.index(category)
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    shared = Shared(docs.sparkSession, chain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value

@@ -1,5 +1,6 @@
 """Classifiers and language model: held-out accuracy, identities, brute force."""
 
+import dataclasses
 import math
 import random
 from collections import Counter
@@ -296,6 +297,42 @@ def test_probabilities_sum_to_one(sequences, shape):
         assert math.isclose(total, 1, abs_tol=1e-4)
 
 
+def test_training_equals_a_plain_recomputation(spark):
+    """Weights after two steps, from loops over histories, features and outcomes."""
+    rnd = random.Random(12)
+    docs = spark.createDataFrame([(prose(rnd, 40, 30),) for _ in range(30)], "text string")
+    known = maxent.vocabulary(maxent.word_counts(docs), SMALL)
+    outcomes = maxent.outcome_counts(docs, known)
+    histories = [(r.history, list(r)[1:]) for r in outcomes.collect()]
+    u, c, k = SMALL.units, SMALL.classes, SMALL.smoothing
+    shape = dataclasses.replace(SMALL, rounds=2)
+    weights = maxent.train(outcomes, dataclasses.replace(SMALL, rounds=0)).astype(float)
+
+    def rows_of(history):
+        if history < u * u:
+            one, two = divmod(history, u)
+            pair = int(maxent.pair_row(SMALL, np.array([one]), np.array([two]))[0])
+            return [0, 1 + one, 1 + u + two, pair]
+        slot = history - u * u
+        return [SMALL.slot_rows + slot % c, SMALL.slot_rows + c + slot]
+
+    for _ in range(2):
+        observed, expected = np.zeros_like(weights), np.zeros_like(weights)
+        features = {}
+        for history, counts in histories:
+            z = [math.exp(sum(weights[r][o] for r in rows_of(history))) for o in range(c)]
+            for r in rows_of(history):
+                features[r] = len(rows_of(history))
+                for o in range(c):
+                    observed[r][o] += counts[o]
+                    expected[r][o] += sum(counts) * z[o] / sum(z)
+        for r, n in features.items():
+            for o in range(c):
+                step = (observed[r][o] - expected[r][o]) / (n * (max(observed[r][o], expected[r][o]) + k))
+                weights[r][o] += step
+    assert np.abs(maxent.train(outcomes, shape) - weights).max() < 1e-3
+
+
 def test_gradients_do_not_depend_on_partitions(sequences):
     docs, _ = sequences
     shape = SMALL
