@@ -211,7 +211,7 @@ def compact(spark: SparkSession, args) -> None:
     table.manifest.clean(spark)
 
 
-def run(spark: SparkSession, args) -> None:
+def _run(spark: SparkSession, args) -> None:
     values, cfg = settings(args.settings), config(args)
     if args.job in ("count_tiles", "compact"):
         {"count_tiles": count_tiles, "compact": compact}[args.job](spark, args)
@@ -229,7 +229,6 @@ def run(spark: SparkSession, args) -> None:
     if rows.isStreaming:
         if not args.checkpoint:
             raise SystemExit("a stream needs --checkpoint")
-        spark.streams.addListener(runner.LateRows())
         if args.state_partitions:
             spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
     if args.job == "land_raw_logs":
@@ -276,6 +275,16 @@ def run(spark: SparkSession, args) -> None:
         target.write(report(rows, dim, cfg))
 
 
+def run(spark: SparkSession, args) -> None:
+    """One job; late rows are logged while it runs."""
+    late = runner.LateRows()
+    spark.streams.addListener(late)
+    try:
+        _run(spark, args)
+    finally:
+        spark.streams.removeListener(late)
+
+
 def main() -> None:
     args = parser().parse_args()
     run(build_session(args.job), args)
