@@ -11,14 +11,20 @@ documents share so comes to its bucket a few times per task, not once per docume
 
 A minimiser that would fill a bucket by itself is hot. Its windows travel one by one, to the bucket
 of a hash of all their words: equal windows still meet, and different ones spread.
+
+A pack falls into a piece per bucket, and small pieces compress badly and cost time each. So very
+many buckets are reached in two exchanges: packs are cut by group of buckets first, and what
+comes together of a group is packed anew and cut by bucket.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +41,9 @@ LEVEL = 6
 #: Which ones are hot decides where windows are counted, not what is found.
 SAMPLE = 16
 LEAST = 1 << 16
+#: Buckets that one exchange deals to at most; the pieces of a pack are as many. More buckets take
+#: two exchanges, each with about the square root of their number.
+FAN = 2048
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -140,29 +149,65 @@ def _buckets_of(docs: list[tuple[int, int, list[bytes]]], buckets: int, window:
     first = start - np.concatenate(([0], ends[:-1]))[of]  # word within the document
     bucket = (low % np.uint64(buckets)).astype(np.int64)
     tag = (low // np.uint64(buckets)).astype(np.uint32)
+    yield from _cut(bucket, ids, checks, of, first, count, tag, settled, strings)
+
+
+def _cut(bucket, ids, checks, of, first, count, tag, settled, strings) -> Iterator[tuple]:
+    """(bucket, packed) of super-k-mers, their documents being places in ids and checks. Settled
+    ones need neither tag nor string."""
+    if not len(bucket):
+        return
+    diff = lambda a: np.diff(a, prepend=0).astype("<i4")
     order = np.argsort(bucket, kind="stable")
+    index = np.zeros(len(ids), np.int64)
     for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         known, new = rows[settled[rows]], rows[~settled[rows]]
-        used, place = np.unique(of[rows], return_inverse=True)
-        index = np.zeros(len(of), np.int64)
-        index[rows] = place
+        used = np.unique(of[rows])
+        index[used] = np.arange(len(used))
         texts = [strings[i] for i in new.tolist()]
-        diff = lambda a: np.diff(a, prepend=0).astype("<i4")
         arrays = [
             ids[used].astype("<i8"),
             checks[used].astype("<u4"),
-            diff(index[new]),
+            diff(index[of[new]]),
             diff(first[new]),
             count[new].astype("<i4"),
             tag[new].astype("<u4"),
             np.array([len(t) for t in texts], "<i4"),
-            diff(index[known]),
+            diff(index[of[known]]),
             diff(first[known]),
             count[known].astype("<i4"),
         ]
         yield int(bucket[rows[0]]), _pack(arrays, b"".join(texts))
 
 
+def _opened(blobs: list[bytes]) -> tuple:
+    """Packed pieces, one after the other: ids and checks of documents; of super-k-mers to be
+    counted the place of the document, first word, windows, minimiser, begin and length of the
+    string; of settled ones place, first word, windows; all strings."""
+    docs, new, known, texts, place, at = [], [], [], [], 0, 0
+    for blob in blobs:
+        (ids, checks, of, first, count, tag, length, k_of, k_first, k_count), text = _unpack(blob)
+        docs.append(np.stack([ids, checks]))
+        begin = at + np.cumsum(length, dtype=np.int64) - length
+        new.append(np.stack([place + np.cumsum(of), np.cumsum(first), count, tag, begin, length]))
+        known.append(np.stack([place + np.cumsum(k_of), np.cumsum(k_first), k_count]))
+        texts.append(text)
+        place, at = place + len(ids), at + len(text)
+    return *(np.concatenate(a, axis=1) for a in (docs, new, known)), b"".join(texts)
+
+
+def _split(blobs: list[bytes], per: int) -> Iterator[tuple]:
+    """(place in the group, packed) of pieces of a group of so many buckets. Settled super-k-mers
+    have nothing to meet; they go by document."""
+    (ids, checks), new, known, text = _opened(blobs)
+    of, first, count, tag, begin, length = new
+    strings = [text[i : i + n] for i, n in zip(begin.tolist(), length.tolist(), strict=True)]
+    bucket = np.concatenate([tag % per, ids[known[0]] % per])
+    of, first, count = (np.concatenate(x) for x in zip((of, first, count), known, strict=True))
+    settled = np.arange(len(of)) >= len(strings)
+    yield from _cut(bucket, ids, checks, of, first, count, tag, settled, strings)
+
+
 def hot_minimisers(docs: DataFrame, buckets: int, window: int = WINDOW) -> np.ndarray:
     """The minimisers, at most `buckets`, whose super-k-mers are as many bytes as an average
     bucket, of (doc_id, check, text)."""
@@ -187,15 +232,25 @@ def hot_minimisers(docs: DataFrame, buckets: int, window: int = WINDOW) -> np.nd
     return np.sort(np.array([r["low"] for r in rows], np.int64).view(np.uint64))
 
 
-def packed(docs: DataFrame, keys: list[int], window: int = WINDOW, hot: np.ndarray = NO_HOT) -> DataFrame:
-    """(bucket, packed) of (doc_id, check, text), for buckets of these names."""
+def layout(buckets: int) -> tuple[int, int]:
+    """Groups, and buckets in each, for so many buckets at least; groups of one need one exchange."""
+    if buckets <= FAN:
+        return buckets, 1
+    per = math.isqrt(buckets - 1) + 1
+    return -(-buckets // per), per
+
+
+def packed(docs: DataFrame, keys: list[int], per: int = 1, window: int = WINDOW, hot: np.ndarray = NO_HOT) -> DataFrame:
+    """(bucket, packed) of (doc_id, check, text), for buckets of these names, `per` of which are a
+    group. Pieces are of a group, and come to any of its buckets in turn."""
+    groups = len(keys) // per
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, turn = [], 0, TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
-            rows = list(_buckets_of(held, len(keys), window, hot))
-            names, blobs = [keys[b] for b, _ in rows], [p for _, p in rows]
+            rows = list(_buckets_of(held, groups, window, hot))
+            names, blobs = [keys[b * per + turn % per] for b, _ in rows], [p for _, p in rows]
             arrays = [pa.array(names, pa.int64()), pa.array(blobs, pa.binary())]
             return pa.RecordBatch.from_arrays(arrays, ["bucket", "packed"])
 
@@ -207,13 +262,39 @@ def packed(docs: DataFrame, keys: list[int], window: int = WINDOW, hot: np.ndarr
                 size += len(text)
                 if size >= PACK:
                     yield flush()
-                    held, size = [], 0
+                    held, size, turn = [], 0, turn + 1
         if held:
             yield flush()
 
     return docs.mapInArrow(run, "bucket long, packed binary")
 
 
+def by_bucket(rows: DataFrame, keys: list[int], per: int) -> DataFrame:
+    """(bucket, packed) of pieces that came together by group, now cut by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group_of = {key: i // per for i, key in enumerate(keys)}
+        held: dict[int, list[bytes]] = {}
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            cut = [(keys[g * per + b], p) for g, blobs in held.items() for b, p in _split(blobs, per)]
+            arrays = [pa.array([k for k, _ in cut], pa.int64()), pa.array([p for _, p in cut], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, ["bucket", "packed"])
+
+        for batch in slices(batches):
+            for key, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.setdefault(group_of[key], []).append(blob)
+                size += len(blob)
+                if size >= PACK:
+                    yield flush()
+                    held, size = {}, 0
+        if held:
+            yield flush()
+
+    return rows.mapInArrow(run, "bucket long, packed binary")
+
+
 def repeats(strings: list[bytes], counts: list[int], owners: list[int], window: int) -> list[np.ndarray]:
     """For super-k-mers of one minimiser: which of their windows a smaller owner has as well.
     The windows are sorted as strings, equal ones by owner; the first is the smallest."""
@@ -238,20 +319,13 @@ def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(edges[::2].tolist(), (edges[1::2] - edges[::2]).tolist(), strict=True)
 
 
-def _count(blobs: list[bytes], window: int) -> tuple[list[np.ndarray], list[tuple]]:
+def _count(blobs: list[bytes], window: int) -> tuple[np.ndarray, list[tuple]]:
     """Repeated windows of one bucket as (doc_id, check, first word, windows): the settled ones as
     arrays, the counted ones as tuples."""
-    known, new, texts, at = [], [], [], 0
-    for blob in blobs:
-        (ids, checks, of, first, count, tag, length, k_of, k_first, k_count), text = _unpack(blob)
-        of, k_of = np.cumsum(of), np.cumsum(k_of)
-        known.append(np.stack([ids[k_of], checks[k_of], np.cumsum(k_first), k_count]))
-        begin = at + np.cumsum(length, dtype=np.int64) - length
-        new.append(np.stack([ids[of], checks[of], np.cumsum(first), count, tag, begin, length]))
-        texts.append(text)
-        at += len(text)
-    text, found = b"".join(texts), []
-    doc, check, first, count, tag, begin, length = np.concatenate(new, axis=1)
+    (ids, checks), new, known, text = _opened(blobs)
+    of, first, count, tag, begin, length = new
+    doc, check, found = ids[of], checks[of], []
+    known = np.stack([ids[known[0]], checks[known[0]], *known[1:]])
     order = np.lexsort((doc, tag))
     edges = np.flatnonzero(np.diff(tag[order], prepend=-1, append=-1))
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -274,13 +348,16 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         known, found = _count(table.column("packed").to_pylist(), window)
-        both = np.concatenate([*known, np.array(found, np.int64).reshape(-1, 4).T], axis=1)
+        both = np.concatenate([known, np.array(found, np.int64).reshape(-1, 4).T], axis=1)
         columns = [both[0], both[1], both[2], both[2] + both[3] + window - 1]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names)
 
-    n = parts(docs)
-    hot = hot_minimisers(docs, n, window)
-    rows = packed(docs, even_keys(docs.sparkSession, n), window, hot).repartition(n, "bucket")
+    groups, per = layout(parts(docs))
+    n = groups * per
+    hot, keys = hot_minimisers(docs, n, window), even_keys(docs.sparkSession, n)
+    rows = packed(docs, keys, per, window, hot).repartition(n, "bucket")
+    if per > 1:
+        rows = by_bucket(rows, keys, per).repartition(n, "bucket")
     return rows.groupBy("bucket").applyInArrow(run, ", ".join(f"`{n}` long" for n in names))
 
 

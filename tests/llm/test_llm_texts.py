@@ -229,6 +229,47 @@ def test_removal_equals_brute_force_on_random_texts(spark, monkeypatch, pack):
     assert found(substring_dedup.dedup(docs)) == sorted(map(str, without_repeats(rows)))
 
 
+@pytest.mark.parametrize("pack", [1, 4 << 20])
+def test_buckets_beyond_one_exchange_equal_brute_force(spark, odd, odd_rows, monkeypatch, pack):
+    """Two exchanges: pieces by group, then by bucket; hot windows and settled ones among them."""
+    monkeypatch.setattr(substring_dedup, "FAN", 3)
+    monkeypatch.setattr(substring_dedup, "PACK", pack)
+    monkeypatch.setattr(substring_dedup, "LEAST", 1)
+    monkeypatch.setattr(substring_dedup, "parts", lambda docs: 11)
+    assert found(substring_dedup.dedup(odd)) == sorted(map(str, without_repeats([r[:2] for r in odd_rows])))
+    rows = template_rows(120)
+    rows += [(1000 + i, text) for i, (_, text) in enumerate(rows[:40])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(substring_dedup.dedup(docs)) == sorted(map(str, without_repeats(rows)))
+
+
+def test_layout_has_enough_buckets():
+    fan = substring_dedup.FAN
+    assert [substring_dedup.layout(n) for n in (1, 51, fan)] == [(1, 1), (51, 1), (fan, 1)]
+    for n in (fan + 1, 40_000, 400_000, 4_000_000):
+        groups, per = substring_dedup.layout(n)
+        assert n <= groups * per <= 1.05 * n and max(groups, per) <= fan
+
+
+def test_pieces_stay_large_at_any_number_of_buckets():
+    """Bytes written in an exchange for each byte of text, with 40,000 buckets and with 51."""
+    rnd = random.Random(13)
+    docs, size = [], 0
+    while size < substring_dedup.PACK:
+        own = prose(rnd, rnd.randrange(20, 600), 3000).encode().split()
+        docs.append((len(docs), len(docs), own))
+        size += sum(map(len, own)) + len(own)
+
+    def written(buckets):
+        return [p for _, p in substring_dedup._buckets_of(docs, buckets, 13, substring_dedup.NO_HOT)]
+
+    few = sum(map(len, written(51)))
+    groups, per = substring_dedup.layout(40_000)
+    assert sum(map(len, written(groups))) < 1.2 * few
+    again = [p for _, p in substring_dedup._split(written(1), per)]
+    assert sum(map(len, again)) < 1.2 * few and len(again) <= per
+
+
 def test_super_kmers_hold_every_window_once():
     rnd = random.Random(9)
     docs = [prose(rnd, n, 20).encode().split() for n in (0, 12, 13, 40, 300)]
