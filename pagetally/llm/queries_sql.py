@@ -147,7 +147,8 @@ MIXING = rf"""
     from placed"""
 
 
-# Every call has one result at most here, and what a call comes after is two turns before it.
+# Every call has one result at most here. A call comes after the one two turns before it, every
+# third also after the one six turns before; the longest way counts.
 TOOL_CALLS = """
     with recursive asked as (
         select conv_id, turn, text, 'call-' || conv_id || '-' || turn as call_id,
@@ -156,12 +157,17 @@ TOOL_CALLS = """
     answered as (
         select conv_id, turn, text, 'call-' || conv_id || '-' || (turn - 1) as call_id
         from conversations where role = 'assistant'),
-    depth as (
+    comes as (
+        select a.conv_id, a.turn, b.turn as before
+        from asked as a join asked as b
+          on b.conv_id = a.conv_id and (b.turn = a.turn - 2 or (a.kind = 2 and b.turn = a.turn - 6))),
+    ways as (
         select conv_id, turn, 0::bigint as level from asked as a
-        where not exists (select 1 from asked as b where b.conv_id = a.conv_id and b.turn = a.turn - 2)
-        union all
-        select a.conv_id, a.turn, level + 1
-        from depth as d join asked as a on a.conv_id = d.conv_id and a.turn = d.turn + 2),
+        where not exists (select 1 from comes as c where c.conv_id = a.conv_id and c.turn = a.turn)
+        union
+        select c.conv_id, c.turn, level + 1
+        from ways as w join comes as c on c.conv_id = w.conv_id and c.before = w.turn),
+    depth as (select conv_id, turn, max(level) as level from ways group by all),
     called as (
         select a.*, level,
                case kind when 0 then 'search' when 1 then 'translate' else 'count_words' end as name,

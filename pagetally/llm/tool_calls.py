@@ -2,7 +2,8 @@
 
 Everything here is a DataFrame operation. Calls and results are brought to one row per identifier
 before they are hash-joined, so an identifier that very many rows share is no hot key. The order
-follows what a call says it comes after, by doubling the distance looked back each round.
+follows what a call says it comes after. Where that is one call, the distance looked back doubles
+each round; calls after several are forks, and what lies between forks is contracted to one step.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from pagetally.llm.common import only_last, stored
 
@@ -83,37 +85,109 @@ def _first(rows: DataFrame, columns: list[str], count: str) -> DataFrame:
     return picked.select(*KEY, "x.*", count)
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """conv_id, call_id and level: 0 for a call that comes after none, or after one that is not
-    there, else one more than the call it comes after; null if it leads into a circle."""
-    ids = calls.select(F.col("conv_id"), F.col("call_id").alias("after"), F.lit(True).alias("there"))
-    state = calls.select(*KEY, "after").join(ids, ["conv_id", "after"], "left")
-    state = state.select(
+def _followed(nodes: DataFrame, edges: DataFrame, trail: list[str]) -> DataFrame:
+    """The ways back of nodes (least) over edges (before, add) among them, each to the first fork,
+    a node of several edges: fork, to, add, least and moving. The level is at least `least`, and
+    that of `to`, if any, and `add`. Ways that are still moving lead into circles."""
+    own = edges.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("before").alias("to"), F.max("add").alias("add"))
+    n = F.coalesce("n", F.lit(0))
+    state = nodes.join(own, [*KEY], "left").select(
         *KEY,
-        F.when(F.col("there"), F.col("after")).alias("hop"),
-        F.when(F.col("there"), 1).otherwise(0).cast("long").alias("level"),
+        (n > 1).alias("fork"),
+        F.when(n == 1, F.col("to")).alias("to"),
+        F.when(n == 1, F.col("add")).alias("add"),
+        "least",
+        (n == 1).alias("moving"),
     )
-    trail: list[str] = []
     state, before = stored(state, "levels", trail), None
+    while (left := state.where("moving").count()) not in (0, before):
+        before = left
+        # Rows that stay meet themselves, so that null is no hot key.
+        to = state.withColumn("at", F.coalesce("to", "call_id")).join(_ahead(state), ["conv_id", "at"])
+        hop = F.col("moving") & ~F.col("fork_at")
+        state = to.select(
+            *KEY,
+            "fork",
+            F.when(hop, F.col("to_at")).otherwise(F.col("to")).alias("to"),
+            F.when(hop, F.col("add") + F.col("add_at")).otherwise(F.col("add")).alias("add"),
+            F.when(hop, F.greatest("least", F.col("add") + F.col("least_at"))).otherwise(F.col("least")).alias("least"),
+            (hop & F.col("moving_at")).alias("moving"),
+        )
+        state = stored(state, "levels", trail)
+        only_last(nodes.sparkSession, trail)
+    return state
+
+
+def _ahead(state: DataFrame) -> DataFrame:
+    others = [F.col(c).alias(f"{c}_at") for c in ("fork", "to", "add", "least", "moving")]
+    return state.select("conv_id", F.col("call_id").alias("at"), *others)
+
+
+def levels(calls: DataFrame) -> DataFrame:
+    """conv_id, call_id and level of calls (conv_id, call_id, after), after being a list: 0 for a
+    call that comes after none that is there, else one more than the greatest level of these, so
+    the longest way; null if a way leads into a circle.
+
+    Forks whose ways meet again at one fork are no forks in the next round. The rounds are as many
+    as forks are nested without meeting, and each takes only the forks that are left.
+    """
+    spark, trails = calls.sparkSession, []
+    there = calls.select("conv_id", F.col("call_id").alias("before"))
+    pairs = calls.select(*KEY, F.explode(F.array_distinct("after")).alias("before")).join(there, ["conv_id", "before"])
+    nodes = calls.select(*KEY, F.lit(0).cast("long").alias("least"))
+    edges = stored(pairs.select(*KEY, "before", F.lit(1).cast("long").alias("add")), "after", helpers := [])
+    layers, before = [], None
     while True:
-        left = state.where("hop is not null").count()
-        if left in (0, before):  # all that is left leads into circles
+        trails.append([])
+        state = _followed(nodes, edges, trails[-1])
+        layers.append(state)
+        forks = state.where("fork")
+        if (left := forks.count()) in (0, before):  # all that is left comes after circles
             break
         before = left
-        ahead = state.select("conv_id", F.col("call_id").alias("hop"), F.col("hop").alias("next"), F.col("level").alias("more"))
-        joined = state.join(ahead, ["conv_id", "hop"], "left")
-        total = F.col("level") + F.coalesce("more", F.lit(0))
-        state = stored(joined.select(*KEY, F.col("next").alias("hop"), total.alias("level")), "levels", trail)
-        only_last(calls.sparkSession, trail)
-    return state.select(*KEY, F.when(F.col("hop").isNull(), F.col("level")).alias("level"))
+        ends = edges.join(forks.select(*KEY), [*KEY], "left_semi").withColumnRenamed("before", "at")
+        ends = ends.join(_ahead(state), ["conv_id", "at"])
+        stays = F.col("fork_at") | F.col("moving_at")
+        # An edge into a circle becomes one of its own: the fork never gets a level.
+        end = F.when(F.col("fork_at"), F.col("at")).when(F.col("moving_at"), F.col("call_id")).otherwise(F.col("to_at"))
+        ends = ends.select(
+            *KEY,
+            end.alias("before"),
+            F.when(stays, F.col("add")).otherwise(F.col("add") + F.col("add_at")).alias("add"),
+            F.when(~stays, F.col("add") + F.col("least_at")).alias("gain"),
+        )
+        met = stored(ends.groupBy(*KEY, "before").agg(F.max("add").alias("add"), F.max("gain").alias("gain")), "after", helpers)
+        only_last(spark, helpers)
+        edges = met.where("before is not null").drop("gain")
+        gains = met.groupBy(*KEY).agg(F.max("gain").alias("gain"))
+        nodes = forks.select(*KEY, "least").join(gains, [*KEY]).select(*KEY, F.greatest("least", "gain").alias("least"))
+    found = layers.pop()
+    found = found.select(*KEY, F.when(F.col("to").isNull() & ~F.col("fork"), F.col("least")).alias("level"))
+    named: list[str] = []
+    for state in reversed(layers):
+        known = found.select("conv_id", F.col("call_id").alias("at"), F.col("level").alias("level_at"))
+        rows = state.where("not fork").withColumn("at", F.coalesce("to", "call_id")).join(known, ["conv_id", "at"], "left")
+        level = F.when(F.col("to").isNull(), F.col("least")).when(
+            F.col("level_at").isNotNull(), F.greatest("least", F.col("add") + F.col("level_at"))
+        )
+        found = stored(found.unionByName(rows.select(*KEY, level.alias("level"))), "levels", named)
+        only_last(spark, named)
+    return found
+
+
+def listed(calls: DataFrame) -> DataFrame:
+    """The calls with `after` as a list; a single identifier is a list of one."""
+    if isinstance(calls.schema["after"].dataType, ArrayType):
+        return calls.withColumn("after", F.col("after").cast("array<string>"))
+    return calls.withColumn("after", F.array(F.col("after").cast("string")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     """Linked calls: conv_id, call_id, turn, level, status, problems, n_calls, n_results, message.
 
     calls are (conv_id, call_id, turn, name, arguments, after), arguments being JSON and after the
-    call_id it comes after or null; results are (conv_id, call_id, turn, content). All columns may
-    be null, others are not read. There is a row per identifier: of several calls or results with
+    call_id it comes after, or a list of such, or null; results are (conv_id, call_id, turn,
+    content). All columns may be null, in lists too, others are not read. There is a row per identifier: of several calls or results with
     it the first by turn counts, and n_calls and n_results tell their number. Rows without conv_id
     or call_id are linked with nothing and stay as they are, a row each.
 
@@ -122,7 +196,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     keys left out; arguments that are no JSON stand there as text. Rows sorted by (conv_id, level,
     turn, call_id) are in topological order, rows of no level last.
     """
-    calls = calls.select("conv_id", "call_id", "turn", "name", "arguments", "after")
+    calls = listed(calls.select("conv_id", "call_id", "turn", "name", "arguments", "after"))
     results = results.select("conv_id", "call_id", "turn", "content")
     called = stored(_first(calls, ["name", "arguments", "after"], "n_calls"), "calls")
     answered = _first(results, ["content"], "n_results").withColumnRenamed("turn", "answer_turn")
@@ -177,8 +251,9 @@ TOOLS: Schemas = {
 
 
 def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every user message as a call that comes after the user message two turns before, and every
-    assistant message as the result of the message before it. Arguments vary with the turn and
+    """Every user message as a call that comes after the user message two turns before, every third
+    also after the one six turns before, and every assistant message as the result of the message
+    before it. Arguments vary with the turn and
     the length of the text; some break their schema, keys are in no order."""
     rows = conversations.select("conv_id", "turn", "role", "text")
     size, kind = F.length("text"), F.expr("pmod(turn div 2, 3)")
@@ -197,8 +272,9 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     name = F.element_at(F.array(*map(F.lit, TOOLS)), (kind + 1).cast("int"))
     at = lambda turn: F.concat(F.lit("call-"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
     turn = F.col("turn")
+    after = F.when(kind == 2, F.array(at(turn - 2), at(turn - 6))).otherwise(F.array(at(turn - 2)))
     calls = rows.where("role = 'user'").select(
-        "conv_id", at(turn).alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"), at(turn - 2).alias("after")
+        "conv_id", at(turn).alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"), after.alias("after")
     )
     results = rows.where("role = 'assistant'").select(
         "conv_id", at(turn - 1).alias("call_id"), "turn", text.alias("content")

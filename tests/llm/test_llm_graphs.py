@@ -246,6 +246,64 @@ def test_levels_of_a_long_chain(spark):
     assert {r.call_id: r.level for r in linked(spark, calls, [])} == {str(i): i for i in range(n)}
 
 
+def plain_levels(after):
+    """The longest way back for each call of a dictionary of lists, by trying again until nothing
+    changes; None where a way leads into a circle."""
+    there = {k: {x for x in v or () if x in after} for k, v in after.items()}
+    level = {}
+    while True:
+        new = {k: 1 + max((level[x] for x in v), default=-1) for k, v in there.items() if k not in level and v <= level.keys()}
+        if not new:
+            return {k: level.get(k) for k in after}
+        level |= new
+
+
+SEVERAL = "conv_id long, call_id string, turn long, name string, arguments string, after array<string>"
+
+
+def several(spark, after):
+    rows = [(1, k, i, "search", GOOD, v) for i, (k, v) in enumerate(after.items())]
+    calls = tool_calls.link(spark.createDataFrame(rows, SEVERAL), spark.createDataFrame([], RESULT), tool_calls.TOOLS)
+    return {r.call_id: (r.level, r.status) for r in calls.collect()}
+
+
+LATER = [str(i) for i in range(1, 40)]
+GRAPHS = {
+    "null and absent": {"a": None, "b": [], "c": [None, "x", "a", "a"], "d": ["x", None]},
+    "longest way": {"a": [], "b": ["a"], "c": ["b"], "d": ["a", "c"], "e": ["d", "a"], "f": ["e"]},
+    "ways that meet": {str(i): [str(i - 1)] + ([str(i - 3)] if i % 3 == 2 else []) for i in range(60)},
+    "nested forks": {str(i): [str(i - 1), str(i - 2)] for i in range(7)},
+    "circles": {
+        "a": [], "b": ["a", "d"], "c": ["b"], "d": ["c"], "e": ["e"], "f": ["e", "a"], "g": ["a", "f"], "h": ["g"],
+        "i": ["b", "h"], "j": ["a"], "k": ["j", "a"], "l": ["i", "k"], "m": ["n", "o"], "n": ["m", "o"], "o": ["m", "n"],
+    },
+    "hot call": {"a": [], **{x: ["a"] for x in LATER}, "end": LATER},
+}
+
+
+@pytest.mark.parametrize("name", GRAPHS)
+def test_levels_of_calls_after_several(spark, name):
+    want = plain_levels(GRAPHS[name])
+    got = several(spark, GRAPHS[name])
+    assert {k: v for k, (v, _) in got.items()} == want
+    assert {k for k, (_, status) in got.items() if status == "circle"} == {k for k, v in want.items() if v is None}
+
+
+def test_levels_of_random_graphs(spark):
+    """Many conversations at once, of all kinds of graphs, with and without circles."""
+    rnd, rows, want = random.Random(14), [], {}
+    for conv in range(60):
+        n, back = rnd.randrange(1, 14), rnd.random() < 0.3
+        after = {}
+        for i in range(n):
+            pool = range(n) if back else range(i)
+            after[str(i)] = [str(x) for x in pool if rnd.random() < 0.25]
+        want |= {(conv, k): v for k, v in plain_levels(after).items()}
+        rows += [(conv, k, v) for k, v in after.items()]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, after array<string>")
+    assert {(r.conv_id, r.call_id): r.level for r in tool_calls.levels(calls).collect()} == want
+
+
 @pytest.mark.parametrize(
     "name, arguments, wrong",
     [
