@@ -37,7 +37,8 @@ def components(links: DataFrame) -> DataFrame:
     Each round brings every id to the root of its way to smaller neighbours and keeps only the
     links between different roots; after the first one dense groups have none left. All tables
     are in the shared folder. Minima combine before the shuffle, so an id with very many links is
-    no hot group. Links of an id with itself, repeated ones and none at all are fine.
+    no hot group there. In the join that follows the ways, all ids of a large component have one
+    `to`: that key is met by a single row, and is split by Spark's handling of skewed joins. Links of an id with itself, repeated ones and none at all are fine.
     """
     spark, trail, named = links.sparkSession, [], []
     ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
